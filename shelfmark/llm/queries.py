@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import licenses, warc
+from shelfmark.llm import licenses, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": licenses.op2_license_scan,
     "op3_warc": warc.op3_warc,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES: dict[str, str] = {
