@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import licenses, quality, toxicity, warc
+from shelfmark.llm import decontaminate, licenses, neighbours, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_license_scan": licenses.op2_license_scan,
     "op3_warc": warc.op3_warc,
+    "op4_neighbours": neighbours.op4_neighbours,
     "op5_toxicity": toxicity.op5_toxicity,
     "op10_quality": quality.op10_quality,
 }
