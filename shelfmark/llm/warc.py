@@ -34,6 +34,8 @@ from shelfmark.llm._session import new_folder, table, written
 
 MIN_REVISIT = 100
 CHUNK = 1 << 16
+#: A row of repeated payloads is about 100 bytes.
+BROADCAST_ROWS = 100_000
 #: Bytes of a record's headers; more means a broken archive.
 MAX_HEADER = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -176,22 +178,25 @@ def read_records(stream: BinaryIO, keep_payload: bool = True) -> Iterator[tuple]
 def with_record_types(pages: DataFrame) -> DataFrame:
     """page_id, url, html, payload_digest, refers_to, is_revisit.
 
-    Only (digest, page_id) is grouped, with a minimum taken before the shuffle; a frequent payload is a skewed key of
-    an outer join, which Spark splits at run time.
+    Only (digest, page_id) is grouped, with a minimum taken before the shuffle. The payloads that occur more than once
+    are written down and counted: up to ``BROADCAST_ROWS`` of them are broadcast, so that pages stay where they are;
+    beyond that they are joined by shuffling, where Spark splits a frequent payload's rows at run time.
     """
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("payload_digest", F.sha2(F.encode("html", "UTF-8"), 256))
     ids = rows.filter(F.octet_length("html") >= MIN_REVISIT).groupBy("payload_digest", "page_id").agg(F.count("*").alias("same"))
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "same")
-    first = ids.groupBy("payload_digest").agg(F.min(order).alias("first"), F.sum("same").alias("n")).filter("n > 1")
-    marked = rows.join(first, "payload_digest", "left").withColumn("is_first", F.col("page_id").eqNullSafe(F.col("first.page_id")))
+    first = written(ids.groupBy("payload_digest").agg(F.min(order).alias("first"), F.sum("same").alias("n")).filter("n > 1"), "first-pages")
+    small = first.count() <= BROADCAST_ROWS
+    marked = rows.join(F.broadcast(first) if small else first, "payload_digest", "left").withColumn("is_first", F.col("page_id").eqNullSafe(F.col("first.page_id")))
+    names = ["page_id", "url", "html", "payload_digest", F.when(F.col("is_revisit"), F.col("first.page_id")).alias("refers_to"), "is_revisit"]
+    plain = marked.withColumn("is_revisit", F.col("n").isNotNull() & ~F.col("is_first"))
+    if not first.filter("first.same > 1").limit(1).count():
+        return plain.select(*names)
     # Only rows that repeat the smallest page_id of a payload need a turn.
     tied = F.col("is_first") & F.coalesce(F.col("first.same") > 1, F.lit(False))
-    turn = F.row_number().over(Window.partitionBy("payload_digest").orderBy("url"))
-    plain = marked.filter(~tied).withColumn("is_revisit", F.col("n").isNotNull() & ~F.col("is_first"))
-    again = marked.filter(tied).withColumn("is_revisit", turn > 1)
-    out = plain.unionByName(again)
-    return out.select("page_id", "url", "html", "payload_digest", F.when(F.col("is_revisit"), F.col("first.page_id")).alias("refers_to"), "is_revisit")
+    again = marked.filter(tied).withColumn("is_revisit", F.row_number().over(Window.partitionBy("payload_digest").orderBy("url")) > 1)
+    return plain.filter(~tied).unionByName(again).select(*names)
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
