@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, licenses, neighbours, quality, toxicity, warc
+from shelfmark.llm import decontaminate, jaccard, licenses, mixing, neighbours, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -14,10 +14,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": warc.op3_warc,
     "op4_neighbours": neighbours.op4_neighbours,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op8_secrets": secrets.op8_secrets,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.oracle(),
     "op3_warc": warc.ORACLE,
+    "op6_mix_sources": mixing.oracle(),
 }
