@@ -1,16 +1,61 @@
-"""The corpus pipeline: from raw documents to a weighted mixture."""
+"""The corpus pipeline: from raw documents to a weighted mixture.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents.
+
+1. quality: documents that the classifier rejects go;
+2. near copies: of each component of near copies (five words, Jaccard 0.8) one document stays;
+3. benchmark: documents that hold a passage of the benchmark go;
+4. secrets: spans are replaced by a mark;
+5. mixture: documents are chosen to meet the target weights, with the passes each is read in.
+
+A row without text counts as an empty text in every stage.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
-#: The stages that learn a model have no SQL.
+from shelfmark.llm import decontaminate, jaccard, mixing, quality, secrets
+from shelfmark.llm._session import table, written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact_secrets(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("secret scans", redact_secrets),
+    ("mixing sources to target weights", mix_sources),
+]
+#: The quality classifier is a trained model, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
