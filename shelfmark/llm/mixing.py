@@ -110,7 +110,7 @@ def order_of(key: Column, epoch: Column, seed: int) -> Column:
 
 def plan(docs: DataFrame, percent: int, epochs: int, seed: int, weights: tuple[Mapping[str, int] | None, ...]) -> DataFrame:
     """For each leaf: its whole passes, and the last place of the prefix of one more (null if it is empty)."""
-    keyed = written(leaves_of(docs).select(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_tokens").alias("n"), F.col("_key").alias("key")), "mix-keys")
+    keyed = written(leaves_of(docs.select("doc_id", "text", "lang", "source")).select(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_tokens").alias("n"), F.col("_key").alias("key")), "mix-keys")
     leaves = keyed.groupBy(*TREE).agg(F.sum("n").alias("tokens"))
     leaf = written(
         budgets(leaves, percent, epochs, weights)
@@ -140,12 +140,13 @@ def mix(
     """The chosen documents, with their columns and domain, n_tokens and epochs (in how many passes each is read)."""
     cuts = plan(docs, percent, epochs, seed, weights).select(*(F.col(c).alias(f"_{c}") for c in (*TREE, "passes", "last")))
     cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts
-    joined = leaves_of(docs).join(cuts, [f"_{c}" for c in TREE])
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "doc_id", "text", "lang", "source")  # apart from our columns
+    joined = leaves_of(own).join(cuts, [f"_{c}" for c in TREE])
     inside = F.coalesce(order_of(F.col("_key"), F.col("_passes"), seed) <= F.col("_last"), F.lit(False))
     times = (F.col("_passes") + inside.cast("long")).cast("int")
     out = joined.withColumn("_times", times).filter("_times > 0")
     kept = [c for c in docs.columns if c not in ("domain", "n_tokens", "epochs")]
-    return out.select(*kept, F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), F.col("_times").alias("epochs"))
+    return out.select(*(F.col("_row").getField(c).alias(c) for c in kept), F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), F.col("_times").alias("epochs"))
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

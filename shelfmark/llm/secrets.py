@@ -216,8 +216,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by a mark, and n_chars to match; columns as they were."""
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")  # apart from our columns
     rejects = written(rejected_from(with_base_spans(docs.select("text")).select("_runs")), "secret-limits")
-    spanned = with_spans(with_base_spans(docs), rejects)
+    spanned = with_spans(with_base_spans(own), rejects)
     # Spans that overlap are one; the pieces between them are joined by marks.
     grow = lambda a, s: F.when((F.size(a) > 0) & (s["start"] < F.element_at(a, -1)["end"]), F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], s["end"]).alias("end"))))).otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     merged = spanned.withColumn("_merged", F.aggregate("_spans", F.array().cast("array<struct<start:bigint,end:bigint>>"), grow))
@@ -225,10 +226,11 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     ends = F.concat(F.transform("_merged", lambda s: s["start"]), F.array(F.length("text").cast("long")))
     pieces = F.zip_with(starts, ends, lambda a, b: F.substr(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")))
     text = F.when(F.size("_merged") > 0, F.array_join(pieces, mark)).otherwise(F.col("text"))
-    out = merged.withColumn("text", text)
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_merged") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        old = F.col("_row").getField("n_chars")
+        changed["n_chars"] = F.when(F.size("_merged") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(old)
+    return merged.select(*(changed.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
