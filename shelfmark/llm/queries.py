@@ -25,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.oracle(),
     "op3_warc": warc.ORACLE,
     "op6_mix_sources": mixing.oracle(),
+    "op8_secrets": secrets.oracle(),
 }

@@ -235,3 +235,60 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def oracle() -> str:
+    """The same in DuckDB, whose patterns have no look-ahead: cases are spelled out, shapes are conditions."""
+    cased = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    words = "|".join([*map(cased, ("password", "passwd", "secret", "token")), cased("api") + "_?" + cased("key")])
+    assign = rf"""(?:{words})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    patterns = (assign, r"AKIA[A-Z0-9]+", r"[0-9a-f]+", RUN)
+    keep = (f"length(regexp_extract(m, {_quoted(assign)}, 1)) >= {VALUE}", "length(m) >= 18", "length(m) >= 16", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')")
+    found = " UNION ALL ".join(
+        f"""SELECT r, {i} AS kind, e - length(m) AS a, e, m FROM (SELECT r, unnest(ms) AS m,
+  unnest(list_transform(range(1, len(ms) + 1), lambda j: list_sum(list_transform(gs[1:j], lambda g: length(g))) + list_sum(list_transform(ms[1:j], lambda g: length(g))))) AS e
+  FROM (SELECT r, regexp_extract_all(t, {_quoted(p)}, 0) AS ms, string_split_regex(t, {_quoted(p)}) AS gs FROM doc)) WHERE {keep[i]}"""
+        for i, p in enumerate(patterns)
+    )
+    need = lambda m, *classes: " AND ".join(f"regexp_matches(m, '{c}')" for c in (m, *classes))
+    shapes = (
+        need("^[0-9a-f]+$", "[a-f]", "[0-9]"), need("^[0-9A-F]+$", "[A-F]", "[0-9]"), need("^[A-Z2-7]+=*$", "[A-Z]", "[2-7]"), need("^[a-z0-9]+$", "[a-z]", "[0-9].*[0-9]"),
+        need("^[A-Z0-9]+$", "[A-Z]", "[0-9].*[0-9]"), need("^[A-Za-z0-9]+$", "[A-Z]", "[a-z]", "[0-9]"), need("^[A-Za-z0-9+/]+=*$", "[A-Z]", "[a-z]", "[0-9]"), need("^[A-Za-z0-9_-]+=*$", "[A-Z]", "[a-z]", "[0-9]"),
+    )
+    which = "CASE " + " ".join(f"WHEN {s} THEN {i}" for i, s in enumerate(shapes)) + " END"
+    alphabets = ", ".join(
+        f"({i}, '{a}', {len(a)}, [{', '.join(repr(sum(j * BINS // len(a) == b for j in range(len(a))) / len(a)) for b in range(BINS))}])" for i, (a, _) in enumerate(ENCODINGS)
+    )
+    lengths = "CASE " + " ".join(f"WHEN e - a <= {n} THEN {i}" for i, n in enumerate(LENGTHS)) + f" ELSE {len(LENGTHS)} END"
+    chi = " + ".join(f"power(count_if(floor(x * {BINS} / k) = {b}) - n * shares[{b + 1}], 2) / (n * shares[{b + 1}])" for b in range(BINS))
+    tail = lambda z: f"greatest(1e-30, least(1.0, 2 / (1 + exp(1.5976 * least(abs({z}), 8.0) + 0.07056 * power(least(abs({z}), 8.0), 3)))))"
+    names = "CASE kind " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(KINDS)) + " END"
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+hit AS ({found}),
+alphabet(enc, letters, k, shares) AS (VALUES {alphabets}),
+run AS (SELECT row_number() OVER () AS id, r, a, e, rtrim(m, '=') AS body, {which} AS enc FROM hit WHERE kind = 3),
+sym AS (SELECT id, k, shares, length(body) AS n, i, strpos(letters, body[i]) - 1 AS x FROM (SELECT run.*, letters, k, shares, unnest(range(1, length(body) + 1)) AS i FROM run JOIN alphabet USING (enc))),
+mid AS (SELECT *, avg(x) OVER (PARTITION BY id) AS mu, lead(x) OVER (PARTITION BY id ORDER BY i) AS y FROM sym),
+stat AS (SELECT id, n::DOUBLE AS n, {chi} AS chi, count_if(x * 2 >= k)::DOUBLE AS hi, count_if(y IS NOT NULL AND (x * 2 >= k) <> (y * 2 >= k)) AS ch,
+  sum(power(x - mu, 2)) AS ss, sum((x - mu) * (y - mu)) AS sp FROM mid GROUP BY id, n, k, shares),
+three AS (SELECT id, greatest(1e-30, least(1.0, exp(-chi / 2) * (1 + chi / 2))) AS p1,
+  CASE WHEN hi = 0 OR hi = n THEN 1e-9 ELSE {tail("(ch + 1 - (1 + 2 * hi * (n - hi) / n)) / sqrt(greatest((2 * hi * (n - hi) / n) * (2 * hi * (n - hi) / n - 1) / (n - 1), 1e-9))")} END AS p2,
+  CASE WHEN ss = 0 THEN 1e-9 ELSE {tail("(sp / ss + 1 / n) * sqrt(n)")} END AS p3 FROM stat),
+comb AS (SELECT id, -(ln(p1) + ln(p2) + ln(p3)) AS h FROM three),
+tested AS (SELECT run.*, {lengths} AS cls, least({LEVELS}, floor(-ln(greatest(least(1.0, exp(-h) * (1 + h + h * h / 2)), 1e-30)) * 8))::INT AS lvl FROM run JOIN comb USING (id)),
+cnt AS (SELECT cls, lvl, count(*) AS c FROM tested GROUP BY ALL),
+step AS (SELECT *, sum(c) OVER (PARTITION BY cls ORDER BY lvl DESC) AS k, sum(c) OVER (PARTITION BY cls) AS m FROM cnt),
+rej AS (SELECT cls, min(lvl) AS lim FROM step WHERE exp(-lvl / 8) * m <= {FDR} * k GROUP BY cls),
+more AS (SELECT r, 3 AS kind, a, e FROM tested LEFT JOIN rej USING (cls) WHERE lvl < coalesce(lim, {LEVELS} + 1)
+  AND NOT EXISTS (SELECT 1 FROM hit b WHERE b.kind < 3 AND b.r = tested.r AND b.a < tested.e AND tested.a < b.e)),
+span AS (SELECT r, kind, a, e FROM hit WHERE kind < 3 UNION ALL SELECT * FROM more),
+listed AS (SELECT r, count_if(kind = 0) AS c0, count_if(kind = 1) AS c1, count_if(kind = 2) AS c2,
+  string_agg({names} || ':' || a || ':' || e, ',' ORDER BY a, kind) FILTER (WHERE kind < 3) AS base, string_agg({names} || ':' || a || ':' || e, ',' ORDER BY a, kind) AS spans FROM span GROUP BY r)
+SELECT doc_id, coalesce(c0, 0)::BIGINT AS n_assign, coalesce(c1, 0)::BIGINT AS n_access, coalesce(c2, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN listed USING (r)
+"""
