@@ -133,3 +133,9 @@ def or_fallback(found: DataFrame, fallback: DataFrame) -> DataFrame:
 def only_hit(found: DataFrame) -> DataFrame:
     """The row, if there is exactly one: two are looked at."""
     return found.limit(2).withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(1)))).filter("_n = 1").drop("_n")
+
+
+def mixed_page(tagged: DataFrame, order: Sequence[Column], page: int, size: int, kind: str) -> DataFrame:
+    """A page of mixed results of which only one kind is shown afterwards, so it can be short. Only for compatibility:
+    everything else here filters first."""
+    return page_of(tagged, order, page, size).filter(F.col("object_type") == kind)

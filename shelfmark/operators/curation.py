@@ -66,3 +66,14 @@ def member_price(price: Column, tags: Column) -> Column:
 def availability(copies: DataFrame, product: str) -> DataFrame:
     """product, copies, available: sold copies leave the pool."""
     return copies.groupBy(product).agg(F.count_if(F.col("status") != "Sold").alias("copies"), F.count_if(F.col("status") == "Available").alias("available"))
+
+
+def curated(rows: DataFrame, refs: str, products: DataFrame, key: str) -> DataFrame:
+    """Hand-picked references of each row, in their order; those without a product are left out."""
+    each = rows.select(*(c for c in rows.columns if c != refs), F.posexplode(refs).alias("pos", key))
+    return each.join(products, key)
+
+
+def surplus_pool(copies: DataFrame, product: str, keep: int, order: str) -> DataFrame:
+    """Copies beyond the first ``keep`` of each product."""
+    return copies.withColumn("place", F.row_number().over(Window.partitionBy(product).orderBy(order))).filter(F.col("place") > keep)

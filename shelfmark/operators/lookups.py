@@ -73,3 +73,9 @@ def remove_first(values: Column, value: Column) -> Column:
     """Without the value's first occurrence."""
     at = F.array_position(values, value).cast("int")
     return F.when(at > 0, F.concat(F.slice(values, F.lit(1), at - 1), F.slice(values, at + 1, F.size(values)))).otherwise(values)
+
+
+def resolve_variants(variants: DataFrame, selections: DataFrame, options: str) -> DataFrame:
+    """Selections with the variant that has the same option values, in whatever order; null where none has."""
+    keyed = lambda rows: rows.withColumn("_options", F.array_sort(options)).drop(options)
+    return keyed(selections).join(keyed(variants), "_options", "left").drop("_options")

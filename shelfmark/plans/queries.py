@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions import money, rules, text
+from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import cart, catalog, curation, lookups
 from shelfmark.plans.request import CatalogRequest, Facets, clamp_bounds
 from shelfmark.sources.tables import alive, minor_units, read, to_json_rows, upsert
@@ -566,3 +566,86 @@ def bundle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*(F.concat_ws("-", "p_brand", F.lit(str(i))) for i in range(3)))
     rows = read(spark, sf_dir, "part").select("p_partkey", F.slice(names, F.lit(1), F.least(F.lit(3), F.col("p_size") % 4)).alias("parts"))
     return cart.component_lines(rows, "parts").withColumn("component_pos", F.col("component_pos").cast("long"))
+
+
+# Template filters
+
+
+@query("""WITH l AS (SELECT l_orderkey, list({'n': l_linenumber, 'q': l_quantity::INT, 'f': CASE WHEN l_returnflag <> 'N' THEN l_returnflag END} ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, len(list_filter(r, lambda x: x.f IS NOT NULL)) AS n_set, len(list_filter(r, lambda x: x.f IS DISTINCT FROM 'R')) AS n_kept, (list_filter(r, lambda x: x.f = 'A')[1]).n AS first_a,
+  list_position(list_transform(r, lambda x: x.f IS NOT DISTINCT FROM 'A'), true) - 1 AS index_a, len(list_filter(r, lambda x: x.f = 'R')) > 0 AS has_r, list_sum(list_transform(r, lambda x: x.q))::BIGINT AS quantity,
+  r[1].q AS first_q, r[-1].q AS last_q FROM l""")
+def array_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """where, reject, find, find_index, has, sum, first and last over the lines of each order."""
+    row = F.struct(F.col("l_linenumber").alias("n"), "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("q"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("f"))
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(row)).alias("r"))
+    r, a = F.col("r"), F.lit("A")
+    return rows.select(
+        "l_orderkey", F.size(arrays.where_set(r, "f")).cast("long").alias("n_set"), F.size(arrays.reject(r, "f", F.lit("R"))).cast("long").alias("n_kept"), arrays.find(r, "f", a)["n"].alias("first_a"),
+        arrays.find_index(r, "f", a).cast("int").alias("index_a"), arrays.has(r, "f", F.lit("R")).alias("has_r"), arrays.total(r, "q").alias("quantity"), arrays.first(r)["q"].alias("first_q"), arrays.last(r)["q"].alias("last_q"),
+    )
+
+
+@query("""SELECT p_partkey, floor((p_size - 25) / 4)::BIGINT AS quotient, (((p_size - 25) % 7) + 7) % 7 AS rest, abs(p_size - 25) AS size, least(greatest(p_size, 10), 40) AS bounded, ceil(p_size / 3)::BIGINT AS up, round(p_size / 4.0)::BIGINT AS near FROM part""")
+def math_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    return read(spark, sf_dir, "part").select(
+        "p_partkey", template.divided_by(size - 25, 4).alias("quotient"), template.modulo(size - 25, 7).alias("rest"), F.abs(size - 25).alias("size"),
+        template.at_most(template.at_least(size, F.lit(10)), F.lit(40)).alias("bounded"), F.ceil(size / 3).alias("up"), F.round(size.cast("decimal(9,2)") / 4, 0).cast("long").alias("near"),
+    )
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%b %d') AS short, strftime(o_orderdate, '%B %-d, %Y') AS long, o_orderdate::DATE BETWEEN DATE '1998-01-01' AND DATE '1998-01-01' + 90 AS sendable FROM orders")
+def date_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.col("o_orderdate")
+    return read(spark, sf_dir, "orders").select(
+        "o_orderkey", template.format_date(day, "%Y-%m-%d").alias("iso"), template.format_date(day, "%b %d").alias("short"), template.format_date(day, "%B %e, %Y").alias("long"),
+        rules.sendable(day.cast("date"), F.lit("1998-01-01").cast("date")).alias("sendable"),
+    )
+
+
+@query("SELECT p_partkey, CASE WHEN p_size = 1 THEN '1 film' ELSE p_size || ' films' END AS films, CASE WHEN p_type = 'PROMO' THEN 'On promotion' ELSE p_type END AS kind FROM part")
+def translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = {"films.one": "{{ count }} film", "films.other": "{{ count }} films", "PROMO": "On promotion"}
+    return read(spark, sf_dir, "part").select("p_partkey", template.translate(texts, F.lit("films"), F.col("p_size")).alias("films"), template.translate(texts, F.col("p_type")).alias("kind"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, list_distinct(list(CASE WHEN l_partkey % 2 = 0 THEN upper(p_type) ELSE lower(p_type) END)) AS v FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)
+SELECT l_orderkey, array_to_string(list_transform(list_sort(list_transform(v, lambda x: {'k': lower(x), 'v': x})), lambda s: s.v), ',') AS kinds FROM l""")
+def sort_natural(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    cased = F.when(F.col("l_partkey") % 2 == 0, F.upper("p_type")).otherwise(F.lower("p_type"))
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").join(parts, "l_partkey").groupBy("l_orderkey").agg(F.collect_set(cased).alias("v"))
+    return rows.select("l_orderkey", F.array_join(arrays.sort_natural(F.col("v")), ",").alias("kinds"))
+
+
+@query("""WITH v AS (SELECT p_brand, p_type, min(p_partkey) AS variant FROM part GROUP BY ALL), s AS (SELECT l_orderkey, l_linenumber, l_partkey, 'Brand#' || (l_partkey % 30) AS b,
+  CASE l_partkey % 3 WHEN 0 THEN 'PROMO' WHEN 1 THEN 'SMALL' ELSE 'LARGE' END AS t FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, variant FROM s LEFT JOIN v ON p_brand = b AND p_type = t""")
+def variant_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    variants = read(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.min("p_partkey").alias("variant")).select("variant", F.array("p_brand", "p_type").alias("options"))
+    part = F.col("l_partkey")
+    kind = F.when(part % 3 == 0, "PROMO").when(part % 3 == 1, "SMALL").otherwise("LARGE")
+    chosen = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array(kind, F.concat(F.lit("Brand#"), (part % 30).cast("string"))).alias("options"))
+    return lookups.resolve_variants(variants, chosen, "options")
+
+
+@query("SELECT r.p_partkey AS film, pos::INT AS pos, ref AS p_partkey, q.p_name FROM (SELECT p_partkey, unnest([p_partkey + 1, p_partkey * 7, -1]) AS ref, unnest([0, 1, 2]) AS pos FROM part) r JOIN part q ON ref = q.p_partkey")
+def curated_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    refs = parts.select(key.alias("film"), F.array(key + 1, key * 7, F.lit(-1).cast("long")).alias("refs"))
+    return curation.curated(refs, "refs", parts.select("p_partkey", "p_name"), "p_partkey")
+
+
+@query("SELECT l_partkey, l_orderkey, place::INT AS place FROM (SELECT l_partkey, l_orderkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey) AS place FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem)) WHERE place > 20")
+def surplus_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = read(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey").distinct()
+    return curation.surplus_pool(copies, "l_partkey", 20, "l_orderkey")
+
+
+@query("SELECT * FROM (SELECT 'product' AS object_type, p_partkey AS id, p_name AS title FROM part UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier ORDER BY id, object_type LIMIT 24) WHERE object_type = 'product'")
+def mixed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = read(spark, sf_dir, "part").select(F.lit("product").alias("object_type"), F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
+    more = read(spark, sf_dir, "supplier").select(F.lit("supplier").alias("object_type"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
+    return catalog.mixed_page(own.unionByName(more), [F.asc("id"), F.asc("object_type")], 1, 24, "product")

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions import money, rules, text
+from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import catalog, curation, lookups
 from shelfmark.plans.request import CatalogRequest, range_summary
 from shelfmark.sources.tables import alive, from_json, upsert, upsert_map
@@ -163,3 +163,30 @@ def test_cascade_is_one_level(spark):
     lines = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "a"), ("e", None)], "key string, parent string")
     gone = spark.createDataFrame([("a",)], "key string")
     assert sorted(r.key for r in lookups.cascade(lines, gone, "key", "parent").collect()) == ["a", "b", "d"]
+
+
+def test_array_filters(spark):
+    rows = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(v).cast("int").alias("v")) for k, v in (("a", 1), ("b", None), ("a", 3))))
+    assert [r.v for r in one(spark, arrays.where(rows, "k", F.lit("a")))] == [1, 3]
+    assert [r.k for r in one(spark, arrays.reject(rows, "v", F.lit(1)))] == ["b", "a"]
+    assert one(spark, arrays.find_index(rows, "k", F.lit("b"))) == 1
+    assert one(spark, arrays.find_index(rows, "k", F.lit("z"))) is None
+    assert one(spark, arrays.find(rows, "k", F.lit("z"))) is None
+    assert one(spark, arrays.total(rows, "v")) == 4
+    assert one(spark, arrays.pluck(rows, "v")) == [1, None, 3]
+    assert one(spark, arrays.sort_natural(F.array(*map(F.lit, ("b", "A", "a", "C"))))) == ["A", "a", "b", "C"]
+    assert [(r.value, r.next) for r in one(spark, arrays.lookahead(F.array(F.lit(1), F.lit(5))))] == [(1, 5), (5, None)]
+
+
+def test_template_functions(spark):
+    assert one(spark, template.to_int_or(F.lit("12px"), F.lit(0))) == 12
+    assert one(spark, template.to_int_or(F.lit("x"), F.lit(7))) == 7
+    assert one(spark, template.to_int_or(F.lit(None).cast("string"), F.lit(7))) == 7
+    assert one(spark, template.modulo(F.lit(-3), 7)) == 4
+    assert one(spark, template.divided_by(F.lit(-3), 2)) == -2
+    assert one(spark, template.without_trailing_zeros(F.lit("12.00"))) == "12"
+    assert one(spark, template.without_trailing_zeros(F.lit("12.50"))) == "12.50"
+    assert one(spark, template.unit_price(F.lit("$1"), F.lit("g"), F.lit(500))) == "$1/500g"
+    assert one(spark, template.format_date(F.lit(dt.date(2024, 3, 5)), "on %B %e, %Y")) == "on March 5, 2024"
+    assert one(spark, template.translate({"a.one": "{{ count }} x", "a.other": "{{ count }} xs"}, F.lit("a"), F.lit(3))) == "3 xs"
+    assert one(spark, template.translate({"a": "b"}, F.lit("missing"))) == "missing"
