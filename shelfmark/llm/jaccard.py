@@ -17,7 +17,10 @@ members outside the list's largest component meet the others, under the position
 texts that can reach the threshold and isn't connected yet is verified: no link between components is lost, and a
 large group of copies costs a number of pairs in proportion to its size. Equal texts are one text from the start.
 
-Skew: sums and centres are aggregated before shuffles; joins on n-grams or texts with many rows are plain equi-joins
+Skew: n-grams of very many texts would make their fragment's task long. They are found beforehand by a sketch (counts of
+hash cells over all texts, of a size that the corpus gives up to ``CELLS``): what lies in a cell of at least ``HOT`` counts,
+and of ``OVER`` times the mean, skips the fragments and goes straight to its texts, with the cell's count as its frequency.
+The order stays one order for all texts, so results don't depend on it. Sums and centres are aggregated before shuffles; joins on n-grams or texts with many rows are plain equi-joins
 that Spark splits at run time. N-grams are compared by their fragment and ``BITS`` bits of their hash, five bytes.
 
 Nulls and edges: a text without words has no n-gram, size 0 and links to nothing; one with fewer words than k is one
@@ -35,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.llm import _sums
 from shelfmark.llm._session import table, written
-from shelfmark.llm._text import NOT_WHITE, shingle_sets
+from shelfmark.llm._text import NOT_WHITE, mix, shingle_sets
 
 #: Fragments hold about so many n-grams.
 FRAGMENT = 1_500_000
@@ -44,6 +48,9 @@ FRAGMENT = 1_500_000
 BITS = 40
 #: Verification counts partial overlaps in so many groups of fragments.
 GROUPS = 8
+#: Cells of the sketch at most, n-grams a cell on average below that; from which counts on an n-gram is hot.
+CELLS, PER_CELL = 1 << 22, 512
+HOT, OVER = 20_000, 16
 
 
 def least_shared(percent: int) -> str:
@@ -78,22 +85,55 @@ def node_of() -> Column:
     return F.when(F.col("doc_id").isNull(), -bits - 1).otherwise(F.shiftleft("doc_id", 16).bitwiseXOR(F.pmod(bits, F.lit(1 << 16))))
 
 
-def membership(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, node, n for each row: which distinct text it has, and the size of its set."""
+def cells_of(grams: np.ndarray, cells: int) -> np.ndarray:
+    """The sketch's cell of each hash, made of bits that are kept of it."""
+    return ((grams >> np.uint64(8)) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def measured(docs: DataFrame, k: int, cells: int) -> DataFrame:
+    """A table of (doc_id, h, n) for each row: the key of its text and the size of its set; and, in rows with a block
+    instead, the tasks' sketches."""
+    schema = f"doc_id long, h string, n long, {_sums.SCHEMA}"
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in schema.split(", ")]
+        total, seen = np.zeros(cells), 0
         for batch in batches:
-            n = [len(s) for s in shingle_sets(batch.column(2).to_pylist(), k, NOT_WHITE)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["doc_id", "h", "n"])
+            n = []
+            for s in shingle_sets(batch.column(2).to_pylist(), k, NOT_WHITE):
+                n.append(len(s))
+                np.add.at(total, cells_of(s, cells), 1)
+            seen += sum(n)
+            none = [pa.nulls(len(n), t) for t in (pa.int32(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *none], names=names)
+        if seen:
+            at, group, part = _sums.blocks(total, seen)
+            none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.string(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(at, pa.int32()), pa.array(group, pa.int32()), pa.array(part, pa.binary())], names=names)
 
     picked = docs.select(F.col("doc_id").cast("long"), text_key().alias("h"), "text")
-    keyed = written(picked.mapInArrow(size, "doc_id long, h string, n long"), "keys")
+    return written(picked.mapInArrow(size, schema), "measured")
+
+
+def membership(measures: DataFrame) -> DataFrame:
+    """doc_id, node, n for each row: which distinct text it has, and the size of its set."""
+    keyed = measures.filter("block is null").select("doc_id", "h", "n")
     first = keyed.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("h", node_of().alias("node"))
     return keyed.join(first, "h").select("doc_id", "node", "n")
 
 
-def fragments(texts: DataFrame, k: int, n_fragments: int) -> DataFrame:
-    """Rows of (frag, nodes, sizes, counts, grams, tops): the runs of several texts in a fragment, one after the other.
+def hot_cells(measures: DataFrame, cells: int, hot: int) -> np.ndarray:
+    """The count of each cell that is hot, 0 of any other."""
+    total = _sums.added(measures.filter("block is not null").select("block", "grp", "part"), cells)
+    return np.where(total >= max(hot, OVER * total.mean()), total, 0).astype(np.uint32)
+
+
+RUNS = "frag int, nodes binary, sizes binary, counts binary, grams binary, tops binary, frags binary, dfs binary"
+
+
+def fragments(texts: DataFrame, k: int, n_fragments: int, hot: np.ndarray) -> DataFrame:
+    """The runs of several texts in a fragment, one after the other; hot n-grams with their counts, by buckets of texts
+    (numbered after the fragments).
 
     sizes are the whole sets' sizes, counts the runs' lengths; a hash's bits are packed as four bytes and a fifth.
     """
@@ -107,52 +147,104 @@ def fragments(texts: DataFrame, k: int, n_fragments: int) -> DataFrame:
                 sizes = np.array([len(s) for s in sets], np.int32)
                 flat = np.concatenate(sets)
                 owner = np.repeat(np.arange(len(sets)), sizes)
-                frag = ((flat >> np.uint64(32)) * np.uint64(n_fragments) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(frag, kind="stable")  # by fragment, then text
-                bounds = np.searchsorted(frag[order], np.arange(n_fragments + 1))
-                flat, owner = flat[order], owner[order]
+                frag = ((flat >> np.uint64(32)) * np.uint64(n_fragments) >> np.uint64(32)).astype(np.int32)
+                df = hot[cells_of(flat, len(hot))]
+                place = np.where(df > 0, n_fragments + _scattered(nodes, n_fragments)[owner], frag)
+                order = np.argsort(place, kind="stable")  # by fragment or bucket, then text
+                flat, owner, frag, df = flat[order], owner[order], frag[order], df[order]
+                bounds = np.searchsorted(place[order], np.arange(2 * n_fragments + 1))
                 grams, tops = flat.astype(np.uint32), (flat >> np.uint64(32)).astype(np.uint8)
                 out: list[tuple] = []
-                for f in range(n_fragments):
+                for f in np.flatnonzero(np.diff(bounds)).tolist():
                     a, b = bounds[f], bounds[f + 1]
-                    if a < b:
-                        own, counts = np.unique(owner[a:b], return_counts=True)
-                        out.append((f, *(x.tobytes() for x in (nodes[own], sizes[own], counts.astype(np.int32), grams[a:b], tops[a:b]))))
-                columns = list(zip(*out, strict=True)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["frag", "nodes", "sizes", "counts", "grams", "tops"]
-                )
+                    own, counts = np.unique(owner[a:b], return_counts=True)
+                    more = (frag[a:b], df[a:b]) if f >= n_fragments else (frag[:0], df[:0])
+                    out.append((f, *(x.tobytes() for x in (nodes[own], sizes[own], counts.astype(np.int32), grams[a:b], tops[a:b], *more))))
+                columns = list(zip(*out, strict=True)) or [[]] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=[x.split()[0] for x in RUNS.split(", ")])
+
+    return texts.mapInArrow(cut, RUNS)
+
 
-    return texts.mapInArrow(cut, "frag int, nodes binary, sizes binary, counts binary, grams binary, tops binary")
+def _scattered(nodes: np.ndarray, n: int) -> np.ndarray:
+    """A number below n for each node."""
+    return (mix(nodes.view(np.uint64)) % np.uint64(n)).astype(np.int32)
 
 
-def shared_grams(runs: DataFrame) -> DataFrame:
-    """(node, n, frag, grams, dfs): of each text in each fragment the n-grams that another text has too."""
+def _joined(held: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(held[name].to_pylist()), kind)
+
+
+def shared_grams(runs: DataFrame, n_fragments: int) -> DataFrame:
+    """As in fragments, but by buckets of texts (as many as fragments), and only n-grams that another text has too, with
+    the number of texts that have them."""
 
     def count(held: pa.Table) -> pa.Table:
-        join = lambda name, kind: np.frombuffer(b"".join(held[name].to_pylist()), kind)
-        frag, counts = held["frag"][0].as_py(), join("counts", np.int32)
-        grams = (join("tops", np.uint8).astype(np.int64) << 32) | join("grams", np.uint32)
+        place = held["frag"][0].as_py()
+        if place >= n_fragments:
+            return held.set_column(0, "bucket", pa.array(np.full(len(held), place - n_fragments, np.int32)))
+        counts, bottoms, tops = _joined(held, "counts", np.int32), _joined(held, "grams", np.uint32), _joined(held, "tops", np.uint8)
+        nodes, sizes = _joined(held, "nodes", np.int64), _joined(held, "sizes", np.int32)
+        grams = (tops.astype(np.int64) << 32) | bottoms
         order = np.argsort(grams, kind="stable")
         ranked = grams[order]
         df = np.diff(np.append(np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])), len(ranked)))
-        of = np.empty(len(grams), np.int64)
+        of = np.empty(len(grams), np.uint32)
         of[order] = np.repeat(df, df)
-        keep = of > 1
-        owner = np.repeat(np.arange(len(counts)), counts)[keep]
-        own, first = np.unique(owner, return_index=True)
-        cut = pa.array(np.append(first, len(owner)).astype(np.int32))
-        return pa.table(
-            {
-                "node": join("nodes", np.int64)[own],
-                "n": join("sizes", np.int32)[own].astype(np.int64),
-                "frag": np.full(len(own), frag, np.int32),
-                "grams": pa.ListArray.from_arrays(cut, pa.array((grams[keep] + (frag << BITS)))),
-                "dfs": pa.ListArray.from_arrays(cut, pa.array(of[keep])),
-            }
-        )
-
-    return runs.groupBy("frag").applyInArrow(count, "node long, n long, frag int, grams array<long>, dfs array<long>")
+        owner = np.repeat(np.arange(len(counts)), counts)
+        keep = np.flatnonzero(of > 1)
+        bucket = _scattered(nodes, n_fragments)
+        keep = keep[np.argsort(bucket[owner[keep]], kind="stable")]
+        cut = np.searchsorted(bucket[owner[keep]], np.arange(n_fragments + 1))
+        out: list[tuple] = []
+        for i in range(n_fragments):
+            some = keep[cut[i] : cut[i + 1]]
+            if len(some):
+                own, n = np.unique(owner[some], return_counts=True)
+                frags = np.full(len(some), place, np.int32)
+                out.append((i, *(x.tobytes() for x in (nodes[own], sizes[own], n.astype(np.int32), bottoms[some], tops[some], frags, of[some]))))
+        columns = list(zip(*out, strict=True)) or [[]] * 8
+        return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=[x.split()[0] for x in SHARED.split(", ")])
+
+    return runs.groupBy("frag").applyInArrow(count, SHARED)
+
+
+SHARED = RUNS.replace("frag int", "bucket int")
+TEXTS = "node long, n long, own long, prefix array<long>, parts array<array<long>>"
+
+
+def sharing_texts(shared: DataFrame, percent: int, n_fragments: int) -> DataFrame:
+    """The texts that share enough n-grams to have a partner: how many they share (own of n), which of these stand in their
+    prefix, rarest first, and all of them by groups of fragments."""
+
+    def gather(held: pa.Table) -> pa.Table:
+        counts, nodes, sizes = _joined(held, "counts", np.int32), _joined(held, "nodes", np.int64), _joined(held, "sizes", np.int32)
+        frag = _joined(held, "frags", np.int32).astype(np.int64)
+        grams = (frag << BITS) | (_joined(held, "tops", np.uint8).astype(np.int64) << 32) | _joined(held, "grams", np.uint32)
+        dfs = _joined(held, "dfs", np.uint32)
+        names, text = np.unique(nodes, return_inverse=True)
+        n = np.empty(len(names), np.int64)
+        n[text] = sizes
+        text = np.repeat(text, counts)
+        own = np.bincount(text, minlength=len(names))
+        least = (n * percent + 99) // 100
+        alive = np.flatnonzero(own >= least)
+        number = np.full(len(names), -1)
+        number[alive] = np.arange(len(alive))
+        mine = np.flatnonzero(number[text] >= 0)
+        text, grams, dfs, frag = number[text[mine]], grams[mine], dfs[mine], frag[mine]
+        own, n, take = own[alive], n[alive], (own - least + 1)[alive]
+
+        rare = np.lexsort((grams, dfs, text))
+        place = np.arange(len(rare)) - np.repeat(np.cumsum(own) - own, own)
+        first = rare[place < take[text[rare]]]
+        prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(take)).astype(np.int32)), pa.array(grams[first]))
+        cell = text * GROUPS + frag * GROUPS // n_fragments
+        inner = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(cell, minlength=len(alive) * GROUPS))).astype(np.int32)), pa.array(grams[np.argsort(cell, kind="stable")]))
+        parts = pa.ListArray.from_arrays(pa.array((np.arange(len(alive) + 1) * GROUPS).astype(np.int32)), inner)
+        return pa.table([pa.array(names[alive]), pa.array(n), pa.array(own), prefix, parts], names=[x.split()[0] for x in TEXTS.split(", ")])
+
+    return shared.groupBy("bucket").applyInArrow(gather, TEXTS)
 
 
 def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -185,21 +277,14 @@ def components(links: DataFrame) -> DataFrame:
         labels = now.select("node", "comp")
 
 
-def link_texts(texts: DataFrame, k: int, percent: int, n_fragments: int) -> DataFrame:
+def link_texts(texts: DataFrame, k: int, percent: int, n_fragments: int, hot: np.ndarray) -> DataFrame:
     """node, comp of every distinct text that links to another."""
-    shared = written(shared_grams(fragments(texts, k, n_fragments)), "shared-grams")
-
-    # Texts with too few shared n-grams have no partner.
     least = least_shared(percent)
-    alive = shared.groupBy("node", "n").agg(F.sum(F.size("grams")).alias("own")).filter(f"own >= {least}").select("node", "own")
-    kept = written(shared.join(alive, "node").withColumn("part", (F.col("frag") * GROUPS / n_fragments).cast("int")), "kept-grams")
-    segments = kept.groupBy("node", "part").agg(F.flatten(F.collect_list("grams")).alias("grams"))
-
-    # The shared n-grams that stand in a text's prefix, after its unshared ones.
-    ranked = kept.groupBy("node", "n", "own").agg(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("dfs", "grams")))).alias("x"))
-    prefix = F.posexplode(F.slice("x", F.lit(1), F.expr(f"cast(own - {least} + 1 as int)")))
-    posts = ranked.select("node", "n", "own", prefix.alias("at", "x")).select(F.col("x.grams").alias("gram"), "node", "n", F.expr("n - own + at + 1").alias("pos"), (F.col("own") / F.col("n")).alias("share"))
-    posts = written(posts, "postings")
+    shared = shared_grams(fragments(texts, k, n_fragments, hot), n_fragments)
+    sharing = written(sharing_texts(shared, percent, n_fragments), "sharing-texts")
+    segments = sharing.select("node", F.posexplode("parts").alias("part", "grams")).filter("size(grams) > 0")
+    posts = sharing.select("node", "n", "own", F.posexplode("prefix").alias("at", "gram"))
+    posts = posts.select("gram", "node", "n", F.expr("n - own + at + 1").alias("pos"), (F.col("own") / F.col("n")).alias("share"))
 
     # One centre for each list.
     centre = posts.groupBy("gram").agg(F.max(F.struct("share", "node", "n", "pos")).alias("c"), F.count("*").alias("df")).filter("df > 1")
@@ -222,11 +307,13 @@ def link_texts(texts: DataFrame, k: int, percent: int, n_fragments: int) -> Data
     return components(links.unionByName(more)) if more.limit(1).count() else comps
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    comps = link_texts(distinct_texts(docs), k, percent, max(16, math.ceil(chars / 5 / FRAGMENT)))
-    rows = membership(docs, k).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    grams = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // 5
+    cells = min(CELLS, max(1 << 12, 1 << (grams // PER_CELL).bit_length()))
+    measures = measured(docs, k, cells)
+    comps = link_texts(distinct_texts(docs), k, percent, max(16, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot))
+    rows = membership(measures).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     rows = written(rows, "members")
     name = rows.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = rows.join(name, "comp", "left")
