@@ -80,18 +80,18 @@ def record(page_id: int | None, url: str | None, html: bytes, digest: str, refer
 
 def inflated(stream: BinaryIO) -> Iterator[tuple[bool, bytes]]:
     """(is this the start of a member, some bytes), in order; an empty piece for a member's first byte never comes."""
-    unpack, fresh, raw = zlib.decompressobj(31), True, stream.read(CHUNK)
+    unpack, fresh, begun, raw = zlib.decompressobj(31), True, False, stream.read(CHUNK)
     while raw:
-        data = unpack.decompress(raw, CHUNK)
+        data, begun = unpack.decompress(raw, CHUNK), True
         raw = unpack.unused_data if unpack.eof else unpack.unconsumed_tail
         if data:
             yield fresh, data
             fresh = False
         if unpack.eof:
-            unpack, fresh = zlib.decompressobj(31), True
+            unpack, fresh, begun = zlib.decompressobj(31), True, False
         if not raw:
             raw = stream.read(CHUNK)
-    if not fresh:
+    if begun:  # a member may end before its first byte of data
         raise ValueError("the archive ends within a record")
 
 
