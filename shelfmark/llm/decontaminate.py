@@ -1,11 +1,11 @@
-"""Benchmark decontamination: SimHash over windows of an item's length, looked up in Hamming blocks, then verified.
+"""Benchmark decontamination: windows of an item's length that share a shingle with it, screened by SimHash, then verified.
 
-For each benchmark item windows of as many words as it has slide over a text. A window's fingerprint is the 64-bit
-SimHash of its word shingles, weighted by how often they occur. Fingerprints are cut into ``BLOCKS`` blocks; two
-that differ in at most ``RADIUS`` bits differ in at most RADIUS // BLOCKS bits of some block, so looking up the blocks
-at that smaller radius finds all fingerprints within RADIUS. Every candidate is verified by the exact weighted Jaccard
-similarity of its shingles (sum of minima over sum of maxima). Shared shingles are the only source of similarity, so
-windows without any shingle of the item are not fingerprinted.
+For each benchmark item windows of as many words as it has slide over a text; a text with fewer words is one window.
+Shared shingles are the only source of similarity, so an index of the items' shingles finds the candidates: it stands in
+place of a table of fingerprint blocks, and misses nothing. Of the windows that slide, those whose 64-bit SimHash (of
+their word shingles, weighted by how often they occur) differs from the item's in more than ``RADIUS`` bits are passed
+over; comparing ``BLOCKS`` blocks first rejects none that the whole distance would keep, nor any other. What is left is
+verified by the exact weighted Jaccard similarity of its shingles (sum of minima over sum of maxima).
 
 Documents stay where they are: one scan, no shuffle. What goes to the tasks is the benchmark, in parts of at most
 ``PART_BYTES`` of text, each with a scan of its own.
@@ -98,7 +98,10 @@ class Index:
         for item, at in places.items():
             item_id, n_words, own = self.items[item]
             last = len(shingles) - len(own)
-            if last < 0:
+            if last < 0:  # a text shorter than the item is one window
+                value = similarity(shingles, own)
+                if value >= SIMILARITY and value > out.get(item_id, (0.0,))[0]:
+                    out[item_id] = (value, 0, len(shingles) + k - 1)
                 continue
             # Windows that hold a shared shingle.
             steps = np.zeros(last + 2, np.int64)
