@@ -4,12 +4,14 @@ Base: matches of three patterns, leftmost and not overlapping within a kind. A m
 of what stands before it: the gaps between matches (split) and the matches themselves.
 
 Battery: every run of at least ``LEAST`` characters of the base64 alphabets is a candidate, if its characters fit an
-encoding that was inferred from them (hex, base32, lower-case or mixed letters and digits, base64). Its characters'
+encoding that was inferred from them (hex, base32, lower-case or mixed letters and digits, base64). So are the pieces of
+a run (``PIECES``): what stands between inner equals signs (name=value), and the longest pieces of either base64 alphabet and
+of letters and digits alone (paths, mixed separators). A candidate's characters'
 ranks in that alphabet are tested for what random ones would show: chi-squared uniformity over five bins, runs above and
 below the middle, and serial correlation at lag one. Fisher's method combines the three; the hypothesis is that the
 run is random. Within each class of lengths (longer ones are told apart better), Benjamini-Hochberg at level ``FDR``
-rejects it over the whole corpus; what is rejected is ordinary text, what remains and overlaps no base match is a
-secret of kind rand. For the step-up rule p-values are rounded up to powers of exp(-1/8), so that it needs only counts
+rejects it over the whole corpus, apart for runs and for pieces; what is rejected is ordinary text, what remains is a secret
+of kind rand, without what base matches cover; a piece within a longer candidate that remains is part of it. For the step-up rule p-values are rounded up to powers of exp(-1/8), so that it needs only counts
 by length class and power: a table of bounded size, the only thing that is shuffled or broadcast.
 
 Nulls and edges: a null text is empty; an empty text has no spans (their digest is that of the empty string); a null
@@ -36,6 +38,8 @@ KINDS = ("assign", "access", "hex", "rand")
 
 LEAST = 20
 RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+#: Equals signs count as padding where nothing of a run follows them.
+PIECES = tuple(rf"[{x}]{{{LEAST},}}(?:=+(?![A-Za-z0-9+/_=-]))?" for x in ("A-Za-z0-9+/_-", "A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9"))
 FDR = 0.05
 BINS = 5
 #: Upper ends of the length classes.
@@ -98,10 +102,17 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
     base = F.concat(
         places(F.col("_text"), F.col("_assign"), ASSIGN, 0, long_enough), places(F.col("_text"), F.col("_access"), ACCESS, 1), places(F.col("_text"), F.col("_hex"), HEX, 2)
     )
-    runs = places(F.col("_text"), F.col("_run"), RUN, 3, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]"))
-    found = found.withColumn("_base", F.array_sort(base)).withColumn("_runs", runs)
+    mixed = lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")
+    runs = places(F.col("_text"), F.col("_run"), RUN, 3, mixed)
+    # Pieces have kinds from 4 on; only runs with separators have any of their own.
+    found = found.withColumn("_cut", F.exists("_run", lambda m: m.rlike("[+/_=-]")))
+    for i, pattern in enumerate(PIECES):
+        found = found.withColumn(f"_piece{i}", F.when(F.col("_cut"), F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    found = found.withColumn("_base", F.array_sort(base)).withColumn("_runs", F.concat(runs, *(places(F.col("_text"), F.col(f"_piece{i}"), p, 4 + i, mixed) for i, p in enumerate(PIECES))))
+    ordered = F.array_sort(F.transform("_runs", lambda s: F.struct(*(s[x].alias(x) for x in ("start", "end", "kind", "value")))))
+    found = found.withColumn("_runs", let(ordered, lambda x: F.filter(x, lambda s, i: (i == 0) | (F.get(x, i - 1)["start"] != s["start"]) | (F.get(x, i - 1)["end"] != s["end"]))))
     tested = F.filter(F.transform("_runs", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), battery(s["value"]).alias("p"))), lambda s: s["p"].isNotNull())
-    return found.withColumn("_runs", tested).drop("_text", "_assign", "_access", "_hex", "_run")
+    return found.withColumn("_runs", tested).drop("_text", "_assign", "_access", "_hex", "_run", "_cut", *(f"_piece{i}" for i in range(len(PIECES))))
 
 
 def battery(value: Column) -> Column:
@@ -162,10 +173,11 @@ def serial(x: Column) -> Column:
 
 
 def length_class(span: Column) -> Column:
+    """Of a run; those of pieces come after."""
     out = F.lit(len(LENGTHS))
     for i, end in reversed(list(enumerate(LENGTHS))):
         out = F.when(span["end"] - span["start"] <= end, i).otherwise(out)
-    return out
+    return out + F.when(span["kind"] > 3, len(LENGTHS) + 1).otherwise(0)
 
 
 def level(p: Column) -> Column:
@@ -176,7 +188,7 @@ def level(p: Column) -> Column:
 def rejected_from(runs: DataFrame) -> DataFrame:
     """class, reject: the level from which Benjamini-Hochberg rejects randomness; of (class, level) rows with counts.
 
-    At most (len(LENGTHS) + 1) * (LEVELS + 1) rows.
+    At most 2 * (len(LENGTHS) + 1) * (LEVELS + 1) rows.
     """
     counts = runs.select(F.explode("_runs").alias("s")).groupBy(length_class(F.col("s")).alias("class"), level(F.col("s.p")).alias("level")).agg(F.count("*").alias("n"))
     down = Window.partitionBy("class").orderBy(F.desc("level"))
@@ -185,17 +197,27 @@ def rejected_from(runs: DataFrame) -> DataFrame:
 
 
 def with_spans(spanned: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Adds _spans: base matches and, of the candidates, those that still pass for random and overlap none of them.
+    """Adds _spans: base matches and, of the candidates that still pass for random, what these don't cover.
 
     rejects has a row for each length class at most, and goes into the expression.
     """
     limit = {r["class"]: r.reject for r in rejects.collect()}
-    limits = F.array(*(F.lit(limit.get(i, LEVELS + 1)) for i in range(len(LENGTHS) + 1)))
+    limits = F.array(*(F.lit(limit.get(i, LEVELS + 1)) for i in range(2 * (len(LENGTHS) + 1))))
     passes = lambda s: level(s["p"]) < F.get(limits, length_class(s))
-    alone = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     place = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
-    more = F.filter("_runs", lambda s: passes(s) & alone(s))
-    return spanned.withColumn("_spans", F.array_sort(F.concat(F.transform("_base", place), F.transform(more, place))))
+    within = lambda s, o: (o["kind"] < s["kind"]) & (o["start"] <= s["start"]) & (s["end"] <= o["end"])
+    rand = lambda a, b: F.array(F.struct(a.alias("start"), F.lit(3).alias("kind"), b.alias("end")))
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+
+    def uncovered(s: Column) -> Column:
+        """The parts of s beside the base matches, which are in the order of their starts."""
+        met = F.filter("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        step = lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), F.when(b["start"] > a["at"], F.concat(a["out"], rand(a["at"], b["start"]))).otherwise(a["out"]).alias("out"))
+        return F.aggregate(met, F.struct(s["start"].alias("at"), none.alias("out")), step, lambda a: F.when(a["at"] < s["end"], F.concat(a["out"], rand(a["at"], s["end"]))).otherwise(a["out"]))
+
+    more = let(F.filter("_runs", passes), lambda x: F.filter(x, lambda s: ~F.exists(x, lambda o: within(s, o))))
+    rest = F.array_distinct(F.flatten(F.transform(more, uncovered)))
+    return spanned.withColumn("_spans", F.array_sort(F.concat(F.transform("_base", place), rest)))
 
 
 def listed(spans: Column) -> Column:

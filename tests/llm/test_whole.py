@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from shelfmark.llm import decontaminate
+from shelfmark.llm import decontaminate, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -38,3 +38,27 @@ def test_texts_shorter_than_an_item(spark):
     assert found.keys() == want.keys()
     assert all(abs(found[x][0] - want[x][0]) < 1e-12 and found[x][1:] == want[x][1:] for x in want)
     assert {r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_secrets_in_assignments_and_paths(spark):
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ("AWS_SECRET_ACCESS_KEY={}", "sig={}==", "SESSION={};", "https://host.example/some-path/{}", "x_y/{}", "see {} there")
+    keys = ["".join(rng.choices(letters, k=40)) for _ in range(120)]
+    docs = [(i, forms[i % len(forms)].format(key)) for i, key in enumerate(keys)]
+    table = spark.createDataFrame(docs, DOCS)
+    left = {r.doc_id: r.text for r in secrets.redact_secrets(table).collect()}
+    for i in range(len(forms)):
+        assert sum(keys[d] not in left[d] for d in range(i, len(keys), len(forms))) >= 16, forms[i]
+    for r in secrets.find_secrets(table).collect():
+        for _, a, b in (s.split(":") for s in filter(None, r.spans.split(","))):
+            assert 0 <= int(a) < int(b) <= len(docs[r.doc_id][1])
+
+
+def test_rest_of_a_secret_beside_a_base_match(spark):
+    rng = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choices(letters, k=n))
+    docs = [(i, "".join((key(40), "Z", "".join(rng.choices("0123456789abcdef", k=16)), "Z", key(40)))) for i in range(40)]
+    left = [r.text for r in secrets.redact_secrets(spark.createDataFrame(docs, DOCS), "*").collect()]
+    assert sum(set(t) == {"*"} for t in left) >= 32
