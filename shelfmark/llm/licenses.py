@@ -1,7 +1,8 @@
-"""License scans: an exact set-similarity join of lines against license templates.
+"""License scans: an exact set-similarity join of lines and windows against license templates.
 
-A block (a line of a text) meets a template if it holds at least ``threshold`` of the template's distinct
-words. Words are ordered by how many blocks of the whole corpus hold them, rarest first. A block that holds
+A block (a line of a text, or ``SPREAD`` times as many consecutive words as the template has, whatever lines they stand in)
+meets a template if it holds at least ``threshold`` of the template's distinct
+words. Words are ordered by how many blocks of the whole corpus hold them, rarest first (lines are counted). A block that holds
 ``o = ceil(threshold * |T|)`` of a template's words must hold one of the first ``|T| - o + 1`` of them (prefix
 filter), must have o distinct words (length filter), and at the rarest word it shares enough of the template
 must be left (positional filter). What passes is verified on the words themselves, so nothing is missed.
@@ -52,6 +53,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.92
+#: A notice that is wrapped may have as many other words between its own.
+SPREAD = 2
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
@@ -121,6 +124,8 @@ def scan_licenses(
     hashes = _hash(ranked) if ranked else np.empty(0, np.uint64)
     by_hash = np.argsort(hashes)
     known, is_prefix = hashes[by_hash], np.isin(by_hash, list(posts))
+    widths = [SPREAD * len(_words(text)) for _, text in templates if _words(text)]
+    members = [np.isin(np.arange(len(ranked)), x) for x in ordered]
     phrase_hashes = [(label, _hash(_words(text))) for label, text in phrases]
 
     def verify(block: bytes) -> Iterator[tuple[str, float]]:
@@ -136,6 +141,17 @@ def scan_licenses(
                 if shared >= needs[t]:
                     yield sets[t][0], shared / len(sets[t][1])
 
+    def widest(ranks: np.ndarray, t: int) -> int:
+        """The most of a template's words in a window of these words (ranks; -1 for any other word)."""
+        mine = np.flatnonzero((ranks >= 0) & members[t][ranks])
+        if len(np.unique(ranks[mine])) < needs[t]:
+            return 0
+        last, best = {}, 0
+        for i in mine.tolist():
+            last[int(ranks[i])] = i
+            best = max(best, sum(j > i - widths[t] for j in last.values()))
+        return best
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -173,6 +189,15 @@ def scan_licenses(
                             k = first + int(np.searchsorted(begins, a, "right")) - 1
                             more[k].add(label)
                             score[k] = max(score[k], share)
+                    ranks = np.where(known[at] == found, by_hash[at], -1)
+                    doc = np.searchsorted(edge, np.arange(len(found)), "right") - 1
+                    for i in np.flatnonzero((ranks >= 0) & is_prefix[at]).tolist():
+                        d = int(doc[i])
+                        for t, _ in posts[int(ranks[i])]:
+                            a, b = max(int(edge[d]), i - widths[t] + 1), min(int(edge[d + 1]), i + widths[t])
+                            if (shared := widest(ranks[a:b], t)) >= needs[t]:
+                                more[first + d].add(sets[t][0])
+                                score[first + d] = max(score[first + d], shared / len(sets[t][1]))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from shelfmark.llm import decontaminate, secrets
+from shelfmark.llm import decontaminate, licenses, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -40,6 +40,23 @@ def test_texts_shorter_than_an_item(spark):
     assert {r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal"""
+BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this file */"""
+
+
+def test_wrapped_notices(spark):
+    long = " ".join(["filler words of prose"] * 20_000)
+    texts = [MIT, BSD, MPL, f"{long}\n{MIT}", "Permission is hereby\n" + "other words\n" * 40 + "granted, free of charge, to any person obtaining a copy", long]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(10, "Redistribution and use in source and binary forms, with"), (11, "or without modification, are permitted")]
+    found = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame(docs, DOCS).coalesce(1)).collect()}
+    assert found == {0: "mit", 1: "bsd", 2: "mpl-2", 3: "mit", 4: "", 5: "", 10: "", 11: ""}
+    assert found.keys() == {d for d, _ in docs}
+
+
 def test_secrets_in_assignments_and_paths(spark):
     rng = random.Random(9)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
