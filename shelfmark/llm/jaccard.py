@@ -119,7 +119,7 @@ def membership(measures: DataFrame) -> DataFrame:
     """doc_id, node, n for each row: which distinct text it has, and the size of its set."""
     keyed = measures.filter("block is null").select("doc_id", "h", "n")
     first = keyed.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("h", node_of().alias("node"))
-    return keyed.join(first, "h").select("doc_id", "node", "n")
+    return keyed.join(first, "h").select("doc_id", "h", "node", "n")
 
 
 def hot_cells(measures: DataFrame, cells: int, hot: int) -> np.ndarray:
@@ -307,25 +307,36 @@ def link_texts(texts: DataFrame, k: int, percent: int, n_fragments: int, hot: np
     return components(links.unionByName(more)) if more.limit(1).count() else comps
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row."""
+def members(docs: DataFrame, k: int, percent: int, hot: int) -> DataFrame:
+    """doc_id, h (the key of its text), node, n (the size of its set), comp for each row."""
     grams = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // 5
     cells = min(CELLS, max(1 << 12, 1 << (grams // PER_CELL).bit_length()))
     measures = measured(docs, k, cells)
     comps = link_texts(distinct_texts(docs), k, percent, max(16, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot))
     rows = membership(measures).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rows = written(rows, "members")
+    return written(rows, "members")
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row."""
+    rows = members(docs, k, percent, hot)
     name = rows.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = rows.join(name, "comp", "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, the one with the smallest id, with the columns it had; of rows with one id
-    one stays. Rows without doc_id can't be named and stay."""
-    found = jaccard_components(docs, k, percent)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    """One row of each component, with the columns it had: the one with the smallest id, of rows with one id or none
+    the one with the smallest text key. Rows of one id in different components all stay. Texts without words are no
+    copies of each other; they stay, one for each id and text."""
+    key = ["_none", "_id", "_h"]  # no id comes last
+    keyed = lambda h: (F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), h.alias("_h"))
+    rows = members(docs, k, percent, HOT)
+    named = rows.filter("n > 0").select("comp", F.struct(*keyed(F.col("h"))).alias("_key")).groupBy("comp").agg(F.min("_key").alias("_key")).select("_key.*")
+    first = named.unionByName(rows.filter("n = 0").select(*keyed(F.col("h"))).distinct())
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *keyed(text_key()))  # apart from our columns
+    kept = own.dropDuplicates(key).join(first, key, "left_semi")
+    return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

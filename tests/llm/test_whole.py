@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from shelfmark.llm import decontaminate, licenses, secrets
+from shelfmark.llm import decontaminate, jaccard, licenses, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -79,3 +79,13 @@ def test_rest_of_a_secret_beside_a_base_match(spark):
     docs = [(i, "".join((key(40), "Z", "".join(rng.choices("0123456789abcdef", k=16)), "Z", key(40)))) for i in range(40)]
     left = [r.text for r in secrets.redact_secrets(spark.createDataFrame(docs, DOCS), "*").collect()]
     assert sum(set(t) == {"*"} for t in left) >= 32
+
+
+def test_one_row_of_each_component_stays(spark):
+    words = lambda seed: " ".join(f"w{random.Random(seed).randrange(10**6)}x{i}" for i in range(40))
+    a, b, c, d = (words(i) for i in range(4))
+    rows = [(1, a, "p"), (5, a, "q"), (5, b, "r"), (None, a, "s"), (None, c, "t"), (None, c, "u"), (None, c + " more", "v"), (7, d, "w"), (None, d, "x"), (7, d, "y"), (8, "", "z"), (9, " ", "z"), (None, None, "z"), (None, None, "z")]
+    kept = jaccard.drop_near_copies(spark.createDataFrame(rows, DOCS + ", h string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, (r.text or "").removesuffix(" more")) for r in kept) == sorted(
+        [(False, 1, a), (False, 5, b), (True, 0, c), (False, 7, d), (False, 8, ""), (False, 9, " "), (True, 0, "")]
+    )
