@@ -14,8 +14,8 @@ range in which the budget ends are put in order, and a leaf with a third of all
 themselves stay where they are: the tree with its cut points is joined to them (broadcast if its counted rows are few).
 
 Nulls and edges: a null lang or source is a leaf named 'none'; a null text has no tokens and is in with every pass of
-its leaf; a row without doc_id is ordered by its text; an empty table gives an empty result; a weight of 0, or none for
-a name that isn't listed, gives nothing; other columns are not read, and pass through the mixture as they are.
+its leaf; a row without doc_id is ordered by its text; an empty table gives an empty result; a weight of 0 gives
+nothing; a name that isn't listed has the weight listed for None, 0 without it; other columns are not read, and pass through the mixture as they are.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ DOMAINS = {"web": 40, "books": 30, "code": 10, "news": 20}
 LANGS = {"en": 60, "de": 15, "fr": 15, "es": 10}
 #: A source's domain, by its number modulo four.
 DOMAIN_OF = ("web", "books", "code", "news")
+#: Those of the names that aren't listed: each has this weight beside its listed siblings.
+UNLISTED = {None: 1}
 TREE = ("domain", "lang", "source")
 
 
@@ -49,11 +51,11 @@ def domain_of(source: Column) -> Column:
     return out
 
 
-def weight_of(name: Column, weights: Mapping[str, int] | None) -> Column:
+def weight_of(name: Column, weights: Mapping[str | None, int] | None) -> Column:
     if weights is None:
         return F.lit(1).cast("long")
-    out = F.lit(0).cast("long")
-    for key, value in weights.items():
+    out = F.lit(int(weights.get(None, 0))).cast("long")
+    for key, value in ((k, v) for k, v in weights.items() if k is not None):
         out = F.when(name == key, F.lit(int(value)).cast("long")).otherwise(out)
     return out
 
@@ -135,7 +137,7 @@ def plan(docs: DataFrame, percent: int, epochs: int, seed: int, weights: tuple[M
 
 
 def mix(
-    docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, seed: int = SEED, weights: tuple[Mapping[str, int] | None, ...] = (DOMAINS, LANGS, None)
+    docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, seed: int = SEED, weights: tuple[Mapping[str, int] | None, ...] = (DOMAINS | UNLISTED, LANGS | UNLISTED, None)
 ) -> DataFrame:
     """The chosen documents, with their columns and domain, n_tokens and epochs (in how many passes each is read)."""
     cuts = plan(docs, percent, epochs, seed, weights).select(*(F.col(c).alias(f"_{c}") for c in (*TREE, "passes", "last")))

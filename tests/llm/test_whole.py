@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from shelfmark.llm import decontaminate, jaccard, licenses, secrets
+from shelfmark.llm import decontaminate, jaccard, licenses, mixing, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -89,3 +89,9 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, (r.text or "").removesuffix(" more")) for r in kept) == sorted(
         [(False, 1, a), (False, 5, b), (True, 0, c), (False, 7, d), (False, 8, ""), (False, 9, " "), (True, 0, "")]
     )
+
+
+def test_leaves_without_a_listed_name_get_budget(spark):
+    rows = [(i, "w", lang, source) for i, (lang, source) in enumerate([("en", "src0"), ("it", "src0"), (None, "src1"), ("de", "wiki"), ("en", None)] * 400)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), percent=100).collect()
+    assert {(r.lang, r.source) for r in found} == {(lang, source) for _, _, lang, source in rows}
