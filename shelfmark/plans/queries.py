@@ -571,7 +571,7 @@ def bundle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Template filters
 
 
-@query("""WITH l AS (SELECT l_orderkey, list({'n': l_linenumber, 'q': l_quantity::INT, 'f': CASE WHEN l_returnflag <> 'N' THEN l_returnflag END} ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem GROUP BY l_orderkey)
+@query("""WITH l AS (SELECT l_orderkey, list({'n': l_linenumber, 'q': l_quantity::INT, 'f': CASE WHEN l_returnflag <> 'N' THEN l_returnflag END} ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity::INT, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END NULLS FIRST) AS r FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey, len(list_filter(r, lambda x: x.f IS NOT NULL)) AS n_set, len(list_filter(r, lambda x: x.f IS DISTINCT FROM 'R')) AS n_kept, (list_filter(r, lambda x: x.f = 'A')[1]).n AS first_a,
   list_position(list_transform(r, lambda x: x.f IS NOT DISTINCT FROM 'A'), true) - 1 AS index_a, len(list_filter(r, lambda x: x.f = 'R')) > 0 AS has_r, list_sum(list_transform(r, lambda x: x.q))::BIGINT AS quantity,
   r[1].q AS first_q, r[-1].q AS last_q FROM l""")
