@@ -1,19 +1,25 @@
-"""Benchmark decontamination: windows of an item's length that share a shingle with it, screened by SimHash, then verified.
+"""Benchmark decontamination: SimHash over item-sized windows, looked up in a multi-index of Hamming blocks, then verified.
 
-For each benchmark item windows of as many words as it has slide over a text; a text with fewer words is one window.
-Shared shingles are the only source of similarity, so an index of the items' shingles finds the candidates: it stands in
-place of a table of fingerprint blocks, and misses nothing. Of the windows that slide, those whose 64-bit SimHash (of
-their word shingles, weighted by how often they occur) differs from the item's in more than ``RADIUS`` bits are passed
-over; comparing ``BLOCKS`` blocks first rejects none that the whole distance would keep, nor any other. What is left is
-verified by the exact weighted Jaccard similarity of its shingles (sum of minima over sum of maxima).
+For each size that items have, windows of as many words slide over a text; a text with fewer words is one window, for
+items up to 1 / ``SIMILARITY`` times its size. A window's 64-bit SimHash (of its word shingles, weighted by how often
+they occur) is looked up in the index of that size: the fingerprints of all items of the size are cut into ``BLOCKS``
+blocks, and each block has a table from its value to the items that have it. Of two fingerprints that differ in at
+most ``RADIUS`` bits some block differs in at most ``RADIUS // BLOCKS``, so the items found in some table within that
+distance of the window's block are all within the radius, and some others, which the whole distance drops. What is
+left is verified by the exact weighted Jaccard similarity of its shingles (sum of minima over sum of maxima).
 
-Documents stay where they are: one scan, no shuffle. What goes to the tasks is the benchmark, in parts of at most
-``PART_BYTES`` of text, each with a scan of its own.
+Windows that hold no shingle of any item of their size have similarity 0 to all of them, and get no fingerprint.
+SimHash is a sketch: at similarity 0.8 fingerprints differ in 10 bits on average with a deviation of 3, so that a window
+at the threshold lies beyond the radius of 23 about once in 10,000 to 100,000 times; more similar ones are safer.
+
+Documents stay where they are: one scan, no shuffle. What goes to the tasks is the benchmark's index, as flat arrays, in
+parts of at most ``PART_BYTES`` of text, each with a scan of its own.
 
 Words are runs of letters and digits, case-folded in A-Z. Nulls and edges: a null or empty text has no windows; items
 without words match nothing; an item with fewer words than a shingle is one shingle; items without item_id or repeated
-ones are matched like any other, repeated (doc_id, item_id) pairs in one row of the table give one match; empty tables
-give an empty result; other columns are not read, and pass through the filter as they are.
+ones are matched like any other, repeated (doc_id, item_id) pairs in one row of the table give one match, the best and
+first; a long text is scanned whole; empty tables give an empty result; other columns are not read, and pass through
+the filter as they are.
 """
 
 from __future__ import annotations
@@ -30,8 +36,10 @@ from shelfmark.llm._session import table
 from shelfmark.llm._text import ALNUM, pieces, shingle_hashes, spans, word_hashes
 
 K, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 24, 4
+RADIUS, BLOCKS = 23, 4
 PART_BYTES = 32 << 20
+#: Windows that are looked up at once.
+ASKED = 2048
 _BITS = np.array([bin(x).count("1") for x in range(1 << 16)], np.uint8)
 SCHEMA = "doc_id long, item_id long, similarity double, start_word long, n_words long"
 
@@ -59,67 +67,123 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return least / (len(a) + len(b) - least)
 
 
+def _ball(radius: int) -> np.ndarray:
+    """The 16-bit masks with at most so many bits set."""
+    return np.flatnonzero(_BITS <= radius).astype(np.uint16)
+
+
+class BlockTable:
+    """Fingerprints by the value of each of their blocks."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        self.blocks = []
+        for part in prints.view(np.uint16).reshape(-1, BLOCKS).T:
+            order = np.argsort(part, kind="stable")
+            values, first = np.unique(part[order], return_index=True)
+            self.blocks.append((values, np.append(first, len(part)), order))
+
+    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(asked, held): the pairs of fingerprints that differ in at most RADIUS bits, each once."""
+        pairs = []
+        for block, asked in enumerate(prints.view(np.uint16).reshape(-1, BLOCKS).T):
+            values, first, order = self.blocks[block]
+            distinct, back = np.unique(asked, return_inverse=True)
+            at, key = self._keys(values, distinct)
+            # asked value -> keys of the table -> postings
+            found = np.searchsorted(at, np.arange(len(distinct) + 1))
+            own = np.repeat(np.arange(len(asked)), np.diff(found)[back])
+            held = key[_ranges(found[back], np.diff(found)[back])]
+            size = np.diff(first)[held]
+            pairs.append(np.repeat(own, size) * len(self.prints) + order[_ranges(first[held], size)])
+        asked, held = np.divmod(np.unique(np.concatenate(pairs)), len(self.prints))
+        within = _BITS[(prints[asked] ^ self.prints[held]).view(np.uint16).reshape(-1, BLOCKS)].sum(1, dtype=np.int64) <= RADIUS
+        return asked[within], held[within]
+
+    @staticmethod
+    def _keys(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index of an asked value, index of a table's value) for those within the block's radius: by walking the table's
+        values or by flipping bits, whichever is less."""
+        masks = _ball(RADIUS // BLOCKS)
+        if len(values) <= len(masks):
+            near = _BITS[asked[:, None] ^ values[None]] <= RADIUS // BLOCKS
+            return np.nonzero(near)
+        place = np.full(1 << 16, -1, np.int32)
+        place[values] = np.arange(len(values))
+        met = [place[a ^ masks] for a in asked]
+        hits = [x[x >= 0] for x in met]
+        return np.repeat(np.arange(len(asked)), [len(x) for x in hits]), np.concatenate([*hits, place[:0]])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0] .. starts[0] + sizes[0] - 1, then those of the next, and so on."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts, sizes)
+
+
+class Size:
+    """The items with one number of shingles: where their shingles stand, and the index of their fingerprints."""
+
+    def __init__(self, k: int, n: int, ids: list[int | None], shingles: list[np.ndarray]):
+        self.k, self.n, self.ids = k, n, ids
+        self.flat = np.concatenate(shingles).reshape(len(ids), n)
+        self.table = BlockTable(fingerprints(self.flat.ravel(), np.arange(len(ids)) * n, n))
+
+    def matches(self, shingles: np.ndarray, hits: np.ndarray, out: dict[int | None, tuple[float, int, int]]) -> None:
+        """Puts the best window of each item into ``out``, the first of equals; hits are places of shared shingles."""
+        last, n = len(shingles) - self.n, min(self.n, len(shingles))
+        if n < SIMILARITY * self.n:
+            return
+        steps = np.zeros(max(last, 0) + 2, np.int64)
+        np.add.at(steps, np.clip(hits - n + 1, 0, len(steps) - 1), 1)
+        np.add.at(steps, np.clip(hits + 1, 0, len(steps) - 1), -1)
+        starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
+        for a in range(0, len(starts), ASKED):
+            some = starts[a : a + ASKED]
+            asked, held = self.table.near(fingerprints(shingles, some, n))
+            for s, item in zip(some[asked].tolist(), held.tolist(), strict=True):
+                value, (best, at, _) = similarity(shingles[s : s + n], self.flat[item]), out.get(self.ids[item], (0.0, 0, 0))
+                if value >= SIMILARITY and (value, -s) > (best, -at):
+                    out[self.ids[item]] = value, s, n + self.k - 1
+
+
 class Index:
-    """Items by their number of words, and where each of their shingles stands."""
+    """All items of a part by size, and which sizes have a shingle: sorted shingles with the sizes that each occurs in."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
-        self.items: list[tuple[int | None, int, np.ndarray]] = []
-        where: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        held: dict[tuple[int, int], tuple[list, list]] = {}
         for item_id, text in items:
             for _, buf, _ in pieces([text]):
-                starts, ends = spans(buf, ALNUM)
-                n = len(starts)
-                if n:
-                    k = min(K, n)
-                    shingles = shingle_hashes(word_hashes(buf, starts, ends), k)
-                    for h in set(shingles.tolist()):
-                        where.setdefault(k, {}).setdefault(h, []).append(len(self.items))
-                    self.items.append((item_id, n, shingles))
-        self.where = where
-        self.known = {k: np.sort(np.array(list(found), np.uint64)) for k, found in where.items()}
-        self.prints = np.array([fingerprints(s, np.zeros(1, np.int64), len(s))[0] for _, _, s in self.items], np.uint64)
-
-    def matches(self, words: np.ndarray) -> dict[int | None, tuple[float, int, int]]:
-        """item_id -> (similarity, start, words) of the best window, the first of equals."""
-        out: dict[int | None, tuple[float, int, int]] = {}
-        for k, known in self.known.items():
-            shingles = shingle_hashes(words, k)
-            if not len(shingles):
-                continue
-            at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-            self._near(k, shingles, np.flatnonzero(known[at] == shingles), out)
-        return out
-
-    def _near(self, k: int, shingles: np.ndarray, hits: np.ndarray, out: dict) -> None:
-        places: dict[int, list[int]] = {}
-        for i in hits.tolist():
-            for item in self.where[k][int(shingles[i])]:
-                places.setdefault(item, []).append(i)
-        for item, at in places.items():
-            item_id, n_words, own = self.items[item]
-            last = len(shingles) - len(own)
-            if last < 0:  # a text shorter than the item is one window
-                value = similarity(shingles, own)
-                if value >= SIMILARITY and value > out.get(item_id, (0.0,))[0]:
-                    out[item_id] = (value, 0, len(shingles) + k - 1)
-                continue
-            # Windows that hold a shared shingle.
-            steps = np.zeros(last + 2, np.int64)
-            spots = np.array(at)
-            np.add.at(steps, np.clip(spots - len(own) + 1, 0, last + 1), 1)
-            np.add.at(steps, np.clip(spots + 1, 0, last + 1), -1)
-            starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
-            near = starts[self._within(fingerprints(shingles, starts, len(own)), self.prints[item])]
-            for s in near.tolist():
-                value = similarity(shingles[s : s + len(own)], own)
-                if value >= SIMILARITY and value > out.get(item_id, (0.0,))[0]:
-                    out[item_id] = (value, s, n_words)
-
-    @staticmethod
-    def _within(prints: np.ndarray, target: np.uint64) -> np.ndarray:
-        parts = _BITS[(prints ^ target).view(np.uint16).reshape(-1, BLOCKS)]
-        candidate = (parts <= RADIUS // BLOCKS).any(1)
-        return candidate & (parts.sum(1, dtype=np.int64) <= RADIUS)
+                words = word_hashes(buf, *spans(buf, ALNUM))
+                if len(words):
+                    k = min(K, len(words))
+                    shingles = shingle_hashes(words, k)
+                    ids, all_shingles = held.setdefault((k, len(shingles)), ([], []))
+                    ids.append(item_id)
+                    all_shingles.append(shingles)
+        self.sizes = [Size(k, n, *x) for (k, n), x in sorted(held.items())]
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in {s.k for s in self.sizes}:
+            each = [(np.unique(s.flat), i) for i, s in enumerate(self.sizes) if s.k == k]
+            flat, size = np.concatenate([x for x, _ in each]), np.repeat([i for _, i in each], [len(x) for x, _ in each])
+            order = np.argsort(flat, kind="stable")
+            values, first = np.unique(flat[order], return_index=True)
+            self.known[k] = values, np.append(first, len(flat)), size[order]
+
+    def found(self, k: int, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of shingles that items have, and where among the known ones."""
+        values = self.known[k][0]
+        at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
+        hit = np.flatnonzero(values[at] == shingles)
+        return hit, at[hit]
+
+    def matches(self, k: int, shingles: np.ndarray, hits: np.ndarray, at: np.ndarray, out: dict) -> None:
+        """The matches of one text, by way of each size that shares a shingle."""
+        _, first, sizes = self.known[k]
+        counts = np.diff(first)[at]
+        size, place = sizes[_ranges(first[at], counts)], np.repeat(hits, counts)
+        for i in np.unique(size).tolist():
+            self.sizes[i].matches(shingles, place[size == i], out)
 
 
 def _parts(items: DataFrame, part_bytes: int) -> Iterator[Index]:
@@ -136,17 +200,16 @@ def _scan(texts: list[str | None], index: Index) -> Iterator[tuple[int, dict]]:
         starts, ends = spans(buf, ALNUM)
         words = word_hashes(buf, starts, ends)
         edge = np.searchsorted(starts, [*begins, len(buf) + 1])
-        for k, known in index.known.items():  # texts without any shared shingle are passed over at once
+        for k in index.known:  # texts without any shared shingle are passed over at once
             shingles = shingle_hashes(words, k)
             if len(shingles):
-                at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-                hit = np.flatnonzero(known[at] == shingles)
+                hit, at = index.found(k, shingles)
                 doc = np.searchsorted(edge, hit, "right") - 1
                 for d in np.unique(doc).tolist():
                     found: dict = {}
                     a, b = int(edge[d]), int(edge[d + 1])
-                    own = hit[doc == d] - a
-                    index._near(k, shingles[a : max(a, b - k + 1)], own[own <= b - a - k], found)
+                    mine = np.flatnonzero((doc == d) & (hit <= b - k))
+                    index.matches(k, shingles[a : max(a, b - k + 1)], hit[mine] - a, at[mine], found)
                     if found:
                         yield first + d, found
 
@@ -161,7 +224,7 @@ def find_matches(docs: DataFrame, items: DataFrame, part_bytes: int = PART_BYTES
                 best: dict[tuple[int, int | None], tuple] = {}
                 for i, found in _scan(batch.column(1).to_pylist(), index):
                     for item_id, x in found.items():
-                        best[i, item_id] = max(best.get((i, item_id), (0.0, 0, 0)), x)
+                        best[i, item_id] = max(best.get((i, item_id), (0.0, 0, 0)), x, key=lambda v: (v[0], -v[1]))
                 ids = batch.column(0)
                 columns = [[ids[i].as_py() for i, _ in best], [item for _, item in best], *([x[j] for x in best.values()] for j in range(3))]
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
