@@ -1,20 +1,22 @@
 """Approximate nearest neighbours: a permutation index.
 
 Every vector is represented by its ``NEAREST`` nearest of ``PIVOTS`` pivots, in order, and posted with its place in
-that order in the inverted file of each. A query reads the files of its own nearest pivots; with places beyond the
-list counting as one more, Spearman's footrule between two lists is a constant less the sum over shared pivots of
-2 (m - max(place, place')), so it is accumulated from postings alone. The ``RERANK`` share of vectors with the
-smallest footrule is ranked anew by the exact distance.
+that order in the inverted file of each. A query reads the files of its own ``READS`` nearest pivots; with places
+beyond the list counting as one more, Spearman's footrule between two lists is a constant less the sum over shared
+pivots of 2 (m - max(place, place')), so it is accumulated from postings alone. The ``RERANK`` sqrt(n) vectors with
+the smallest footrule, of n in all, are ranked anew by the exact distance: a share that shrinks as the table grows.
 
 Pivots come from a bounded sample (``PIVOTS`` distinct vectors with the smallest hashes); every vector is indexed.
-The index is cut into blocks of about ``BLOCK`` vectors, each with its own inverted files, and the stated queries
-into blocks too; a task meets one block of each, so its memory is bounded, and sends on k rows for a query. Equal
-vectors are indexed once, with their k + 1 smallest ids, which are all that can be among k neighbours; they are
-gathered under a salt first. Nothing is broadcast but the pivots.
+The index is a table that is written once: blocks of about ``BLOCK`` vectors, each with its own inverted files. The
+stated queries meet it in blocks too; a task holds one block of each, so its memory is bounded, and sends on k rows
+for a query, of the block's part of what is ranked anew. Equal vectors are indexed once, with their k + 1 smallest
+ids, which are all that can be among k neighbours; they are gathered under a salt first. Nothing is broadcast but
+the pivots.
 
 Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 those with another length than most; rows without vec_id neither; a repeated row counts once, and of an id with
-several vectors the nearest counts; with fewer than k candidates all are returned; an empty table gives none.
+several vectors the nearest counts; with fewer than k candidates all are returned; an empty table gives none; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +30,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm._session import table, written
 
-PIVOTS, NEAREST, RERANK = 256, 128, 0.1
-#: At least so many vectors of a block are ranked anew.
-LEAST = 256
+PIVOTS, NEAREST, READS, RERANK = 384, 96, 64, 10.0
 BLOCK, QUERY_BLOCK, SALTS = 4096, 2048, 16
 K = 10
 
@@ -60,56 +60,86 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, m: int) -> np.ndarray:
 class Block:
     """The inverted files of one block: for each pivot the rows that have it among their nearest, and its place."""
 
-    def __init__(self, x: np.ndarray, pivots: np.ndarray, m: int):
-        self.x, self.pivots, self.m = x, pivots, min(m, len(pivots))
-        near = nearest_pivots(x, pivots, self.m)
-        order = np.argsort(near, axis=None, kind="stable")
-        self.rows, self.places = np.divmod(order, self.m)
-        self.edge = np.searchsorted(near.ravel()[order], np.arange(len(pivots) + 1))
+    def __init__(self, x: np.ndarray, m: int, edge: np.ndarray, rows: np.ndarray, places: np.ndarray):
+        self.x, self.m, self.edge, self.rows, self.places = x, m, edge, rows, places
 
-    def search(self, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def posted(x: np.ndarray, pivots: np.ndarray, m: int) -> Block:
+        m = min(m, len(pivots))
+        near = nearest_pivots(x, pivots, m)
+        order = np.argsort(near, axis=None, kind="stable")
+        rows, places = np.divmod(order, m)
+        edge = np.searchsorted(near.ravel()[order], np.arange(len(pivots) + 1))
+        return Block(x, m, edge.astype(np.int64), rows.astype(np.int32), places.astype(np.int16))
+
+    def shared(self, near: np.ndarray) -> np.ndarray:
+        """For each row the sum over shared pivots that falls as the footrule grows; only the files of ``near`` are read."""
+        out = np.zeros(len(self.x), np.int64)
+        for place, p in enumerate(near.tolist()):
+            a, b = self.edge[p], self.edge[p + 1]
+            out[self.rows[a:b]] += np.maximum(self.m - np.maximum(self.places[a:b], place), 0)
+        return out
+
+    def search(self, q: np.ndarray, near: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and exact distances of the ``most`` rows with the smallest footrule to q."""
-        if most >= len(self.x):
-            rows = np.arange(len(self.x))
+        if most < len(self.x):
+            rows = np.argpartition(-self.shared(near), most - 1)[:most]
         else:
-            shared = np.zeros(len(self.x), np.int64)
-            for place, p in enumerate(nearest_pivots(q[None], self.pivots, self.m)[0].tolist()):
-                a, b = self.edge[p], self.edge[p + 1]
-                shared[self.rows[a:b]] += self.m - np.maximum(self.places[a:b], place)
-            rows = np.argpartition(-shared, most - 1)[:most]  # the footrule is m (m + 1) - 2 shared
+            rows = np.arange(len(self.x))
         return rows, np.sqrt(((self.x[rows] - q) ** 2).sum(1))
 
 
+INDEX = "vb int, n int, ids array<array<long>>, x binary, edge binary, rows binary, places binary"
+
+
+def build(vectors: DataFrame, points: np.ndarray, nearest: int, blocks: int) -> DataFrame:
+    """The index: a row for each block of distinct vectors (v, ids), with its inverted files; written once."""
+
+    def post(held: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(held["v"].to_numpy()).astype(np.float64)
+        files = Block.posted(x, points, nearest)
+        packed = [y.tobytes() for y in (x, files.edge, files.rows, files.places)]
+        return pd.DataFrame([(held["vb"].iloc[0], len(x), held["ids"].tolist(), *packed)], columns=[c.split()[0] for c in INDEX.split(", ")])
+
+    dealt = vectors.withColumn("vb", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
+    return written(dealt.groupBy("vb").applyInPandas(post, INDEX), "permutation-index")
+
+
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS, nearest: int = NEAREST, rerank: float = RERANK, block: int = BLOCK
+    vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS, nearest: int = NEAREST, reads: int = READS, rerank: float = RERANK, block: int = BLOCK
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of ``vectors`` found for each row of ``queries``, without its own."""
     rows = written(usable(vectors), "vectors")
     asked = usable(queries).distinct()
-    index = written(distinct_vectors(rows, k), "distinct-vectors")
-    chosen = index.orderBy(F.xxhash64("v"), "v").limit(pivots).select("v").collect()
-    n, n_asked = index.count(), asked.count()
+    distinct = written(distinct_vectors(rows, k), "distinct-vectors")
+    chosen = distinct.orderBy(F.xxhash64("v"), "v").limit(pivots).select("v").collect()
+    n, n_asked = distinct.count(), asked.count()
     if not n or not n_asked:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     points = np.array([r.v for r in chosen])
+    m, share = min(nearest, len(points)), rerank / math.sqrt(n)
     blocks, asked_blocks = math.ceil(n / block), math.ceil(n_asked / QUERY_BLOCK)
+    index = build(distinct, points, nearest, blocks)
 
     def meet(asked_rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, float]] = []
         if len(held) and len(asked_rows):
-            part = Block(np.stack(held["v"].to_numpy()).astype(np.float64), points, nearest)
-            ids = held["ids"].tolist()
-            most = min(len(held), max(LEAST, 4 * (k + 1), math.ceil(rerank * len(held))))
-            for query_id, q in zip(asked_rows["vec_id"].tolist(), asked_rows["v"], strict=True):
-                at, far = part.search(np.asarray(q, np.float64), most)
+            own = held.iloc[0]
+            x = np.frombuffer(own["x"], np.float64).reshape(own["n"], -1)
+            part = Block(x, m, *(np.frombuffer(own[c], t) for c, t in (("edge", np.int64), ("rows", np.int32), ("places", np.int16))))
+            ids = list(own["ids"])
+            most = min(len(x), max(k + 1, math.ceil(share * len(x))))
+            wanted = np.stack(asked_rows["v"].to_numpy()).astype(np.float64)
+            for query_id, q, near in zip(asked_rows["vec_id"].tolist(), wanted, nearest_pivots(wanted, points, min(reads, m)), strict=True):
+                at, far = part.search(q, near, most)
                 some = at[np.argpartition(far, k)[: k + 1]] if len(at) > k + 1 else at
                 limit = max(far[np.isin(at, some)])
-                near = [(d, i, query_id) for r, d in zip(at.tolist(), far.tolist(), strict=True) if d <= limit for i in ids[r].tolist() if i != query_id]
-                found += [(query_id, i, d) for d, i, _ in sorted(near)[:k]]
+                nearer = [(d, i) for r, d in zip(at.tolist(), far.tolist(), strict=True) if d <= limit for i in ids[r].tolist() if i != query_id]
+                found += [(query_id, i, d) for d, i in sorted(nearer)[:k]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    left = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(asked_blocks).cast("long"))).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = index.withColumn("vb", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asked_blocks - 1).cast("long"))))
+    left = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(asked_blocks)).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = index.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
     met = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInPandas(meet, "query_id long, vec_id long, score double")
     best = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))

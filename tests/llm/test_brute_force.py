@@ -112,29 +112,45 @@ def test_matches_of_edited_passages(spark):
     assert {(r.doc_id, r.item_id) for r in parts.collect()} == set(want)
 
 
-def test_hamming_blocks_miss_nothing():
-    rng = np.random.default_rng(1)
-    prints = rng.integers(0, 2**63, 4000, dtype=np.uint64)
-    target = prints[0] ^ np.uint64(0b1011)
-    want = [bin(int(p) ^ int(target)).count("1") <= decontaminate.RADIUS for p in prints]
-    assert decontaminate.Index._within(prints, target).tolist() == want
-
-
-def test_neighbours_recall_and_distances(spark, sf_dir):
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    rows = vectors.select("vec_id", "embedding").collect()
-    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
-    found = {}
-    for r in neighbours.search(vectors, vectors.filter("vec_id % 25 = 0"), block=200).collect():
-        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+@pytest.mark.parametrize("n", [1, 40, 9000])
+def test_block_tables_find_all_within_the_radius(n):
+    """Pairs come from the tables alone, for few items (values are walked) and many (bits are flipped)."""
+    rng = np.random.default_rng(n)
+    items = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64)
+    asked = []
+    for flips in (0, 1, 5, decontaminate.RADIUS, decontaminate.RADIUS + 1, 40):
+        for i in rng.integers(0, n, 4):
+            asked.append(items[i] ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, flips, replace=False).astype(np.uint64), initial=np.uint64(0)))
+    asked = np.array([*asked, asked[0]], np.uint64)
+    a, b = decontaminate.BlockTable(items).near(asked)
+    bits = np.unpackbits(asked.view(np.uint8).reshape(-1, 1, 8) ^ items.view(np.uint8).reshape(1, -1, 8), axis=2).sum(2)
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [tuple(x) for x in np.argwhere(bits <= decontaminate.RADIUS).tolist()]
+
+
+def recall(ids, x, found, every):
+    """Share of the true ten nearest that were found; distances must be exact."""
     hits = n = 0
-    for q in ids[ids % 25 == 0]:
+    for q in ids[ids % every == 0]:
         far = np.sqrt(((x - x[ids == q]) ** 2).sum(1))
         near = [i for i in np.lexsort((ids, far)) if ids[i] != q][:10]
         hits += len({int(ids[i]) for i in near} & found[q].keys())
         n += 10
         assert all(abs(far[ids == v][0] - s) < 1e-12 for v, s in found[q].items())
-    assert hits / n >= 0.9
+    return hits / n
+
+
+@pytest.mark.parametrize(("scale", "every", "rerank", "least"), [("sf0.1", 40, neighbours.RERANK, 0.9), ("sf0.001", 25, neighbours.RERANK, 0.9), ("sf0.1", 40, 4.0, 0.8)])
+def test_neighbours_recall_and_distances(scale, every, rerank, least, spark):
+    """Against brute force, with fewer rows ranked anew than a block holds, over several blocks."""
+    vectors = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    rows = vectors.select("vec_id", "embedding").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    block = 300
+    assert rerank / math.sqrt(len(ids)) * block < 0.6 * block
+    found = {}
+    for r in neighbours.search(vectors, vectors.filter(f"vec_id % {every} = 0"), block=block, rerank=rerank).collect():
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert recall(ids, x, found, every) >= least
 
 
 def test_footrule_from_postings():
@@ -145,7 +161,9 @@ def test_footrule_from_postings():
     near = neighbours.nearest_pivots(np.vstack([x, q[None]]), pivots, m)
     place[np.arange(301)[:, None], near] = np.arange(m)
     footrule = np.abs(place[:-1] - place[-1]).sum(1)
-    rows, far = neighbours.Block(x, pivots, m).search(q, 40)
+    files = neighbours.Block.posted(x, pivots, m)
+    assert (m * (m + 1) - 2 * files.shared(near[-1]) == footrule).all()
+    rows, far = files.search(q, near[-1], 40)
     assert footrule[rows].max() <= np.sort(footrule)[39]
     assert np.allclose(far, np.sqrt(((x[rows] - q) ** 2).sum(1)))
 
