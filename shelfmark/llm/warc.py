@@ -232,7 +232,7 @@ def read_archives(files: DataFrame, folder: str, keep_payload: bool = True) -> D
                 with store.open_input_stream(path, compression=None) as stream:
                     yield from _batches(read_records(stream, keep_payload))
 
-    return files.select("path").repartition(64, F.xxhash64("path")).mapInArrow(read, RECORD_SCHEMA)
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(read, RECORD_SCHEMA)
 
 
 def _batches(rows: Iterator[tuple], most: int = 1000, most_bytes: int = 1 << 24) -> Iterator[pa.RecordBatch]:
