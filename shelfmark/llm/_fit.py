@@ -21,13 +21,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     """(doc_id, text, label) of at most ``most`` training rows, those with the smallest hashes of their ids.
 
     The sampled ids are bounded by ``most`` and hence broadcast. An id with more than one label gets the smallest;
-    of repeated documents any one is taken.
+    of documents that repeat an id the text with the smallest hash is taken.
     """
     rows = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     rows = rows.filter(train).groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
-    return joined.dropDuplicates(["doc_id"])
+    return joined.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 30) -> np.ndarray:

@@ -1,24 +1,26 @@
-"""Sums of equally long arrays that many tasks have: added up block by block, by way of partial groups."""
+"""Sums of equally long arrays that many tasks have: added up block by block, in levels of partial groups."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-#: An array is cut into so many blocks; each is first added up in so many groups of tasks.
-BLOCKS, GROUPS = 16, 64
+#: An array is cut into so many blocks; a group adds up at most FAN tasks' blocks, for up to FAN**LEVELS tasks.
+BLOCKS, FAN, LEVELS = 16, 64, 3
 SCHEMA = "block int, grp int, part binary"
 
 
-def blocks(total: np.ndarray, group: int) -> tuple[list[int], list[int], list[bytes]]:
-    """Columns of SCHEMA for one task's array; group is any number that differs between tasks."""
+def blocks(total: np.ndarray) -> tuple[list[int], list[int], list[bytes]]:
+    """Columns of SCHEMA for the array of the task that calls."""
     parts = [x.astype(np.float64).tobytes() for x in np.array_split(total.ravel(), BLOCKS)]
-    return list(range(BLOCKS)), [group % GROUPS] * BLOCKS, parts
+    return list(range(BLOCKS)), [TaskContext.get().partitionId()] * BLOCKS, parts
 
 
-def batch(total: np.ndarray, group: int) -> pa.RecordBatch:
-    at, groups, parts = blocks(total, group)
+def batch(total: np.ndarray) -> pa.RecordBatch:
+    at, groups, parts = blocks(total)
     return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(groups, pa.int32()), pa.array(parts, pa.binary())], names=["block", "grp", "part"])
 
 
@@ -26,8 +28,12 @@ def added(sums: DataFrame, size: int) -> np.ndarray:
     """The sum, on the driver; zeros without rows."""
 
     def add(held: pa.Table) -> pa.Table:
-        whole = sum(np.frombuffer(x.as_py(), np.float64) for x in held["part"])
+        whole = np.zeros(len(held["part"][0].as_py()) // 8)
+        for x in held["part"]:
+            whole += np.frombuffer(x.as_buffer(), np.float64)
         return pa.table({"block": held["block"][:1], "grp": held["grp"][:1], "part": pa.array([whole.tobytes()], pa.binary())})
 
-    rows = sums.groupBy("block", "grp").applyInArrow(add, SCHEMA).groupBy("block").applyInArrow(add, SCHEMA).collect()
+    for _ in range(LEVELS):
+        sums = sums.withColumn("grp", F.expr(f"grp div {FAN}").cast("int")).groupBy("block", "grp").applyInArrow(add, SCHEMA)
+    rows = sums.groupBy("block").applyInArrow(add, SCHEMA).collect()
     return np.concatenate([np.frombuffer(r.part, np.float64) for r in sorted(rows, key=lambda r: r.block)]) if rows else np.zeros(size)
