@@ -7,6 +7,7 @@ import io
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -264,6 +265,30 @@ def test_battery_tells_random_from_ordinary(spark):
     assert sum("rand:" in found[d] for d, _ in plain) <= 10
 
 
+ORDINARY = ["internationalization18n20", "CamelCaseClassName2Factory", "Chapter12SectionOfHandbook", "reallylongidentifier1number2", "docs/Section12/Introduction", "SOME_CONSTANT_NAME_OF_2024", "IdentifierOfTheYear2024Report", "zzzzzzzzzzzzzzzzzzzzzzzz1111"]
+
+
+@pytest.mark.parametrize("n_keys", [0, 200])
+def test_ordinary_names_are_no_discoveries(n_keys, spark):
+    """By themselves and beside many secrets."""
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(1000 + i, "see " + "".join(rng.choices(letters, k=rng.randrange(24, 64)))) for i in range(n_keys)]
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame([*enumerate(ORDINARY), *keys], DOCS)).collect()}
+    assert [ORDINARY[d] for d in range(len(ORDINARY)) if found[d]] == []
+    assert sum("rand:" in found[d] for d, _ in keys) >= 0.95 * n_keys
+
+
+def test_a_very_long_run(spark):
+    """A megabyte without a space: time grows in proportion to its length."""
+    rng = random.Random(8)
+    runs = {n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n)) for n in (10_000, 1_000_000)}
+    began = time.perf_counter()
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame([(n, f"data:{x}") for n, x in runs.items()], DOCS)).collect()}
+    assert all(f"rand:5:{n + 5}" in found[n] for n in runs)
+    assert time.perf_counter() - began < 60
+
+
 def test_places_in_a_text_with_many_matches(spark):
     text = " ".join(f"{i:016x}" for i in range(3000))
     r = secrets.find_secrets(spark.createDataFrame([(1, text)], DOCS)).first()
