@@ -40,8 +40,9 @@ def shingles(text, k):
 
 
 def brute_components(docs, k, percent):
-    sets = {d: shingles(t, k) for d, t in docs}
-    up = {d: d for d in sets}
+    docs = dict(docs)
+    sets = {d: shingles(t, k) for d, t in docs.items()}
+    up, linked = {d: d for d in sets}, {d: set() for d in sets}
 
     def top(x):
         while up[x] != x:
@@ -54,7 +55,10 @@ def brute_components(docs, k, percent):
             shared = len(sets[a] & sets[b])
             if sets[a] and sets[b] and 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
                 up[max(top(a), top(b))] = min(top(a), top(b))
-    return {d: (len(s), top(d)) for d, s in sets.items()}
+                if docs[a] != docs[b]:
+                    linked[a].add(docs[b])
+                    linked[b].add(docs[a])
+    return {d: (len(s), top(d), len(linked[d])) for d, s in sets.items()}
 
 
 @pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80), (1, 50)])
@@ -71,17 +75,35 @@ def test_components(k, percent, spark):
             docs.append((len(docs) * 3 + group, " ".join(copy[: rng.randrange(max(1, len(copy) - 4), len(copy) + 1)])))
             if rng.random() < 0.2:
                 words = copy
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(docs, DOCS), k, percent).collect()}
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.jaccard_components(spark.createDataFrame(docs, DOCS), k, percent).collect()}
     assert found == brute_components(docs, k, percent)
 
 
+def test_links_across_blocks_and_shares(spark, monkeypatch):
+    """A component of many blocks, and long keys dealt in shares."""
+    monkeypatch.setattr(jaccard, "CELL", 8)
+    monkeypatch.setattr(jaccard, "SPLIT", 10)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(80)]
+    docs = []
+    for i in range(120):
+        copy = list(words)
+        copy[rng.randrange(80)] = f"e{rng.randrange(9)}"
+        if i % 3:
+            copy[-1] = f"x{rng.randrange(9)}"
+        docs.append((i, " ".join(copy)))
+    docs += [(200 + i, docs[i % 5][1]) for i in range(60)]
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.jaccard_components(spark.createDataFrame(docs, DOCS), 4, 85).collect()}
+    assert found == brute_components(docs, 4, 85)
+
+
 def test_components_of_the_table(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     want = brute_components(rows, 4, 85)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op7_jaccard_join(spark, sf_dir).collect()} == want
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.op7_jaccard_join(spark, sf_dir).collect()} == want
     # With most n-grams hot the order changes, the result doesn't.
     hot = jaccard.jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85, hot=2)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in hot.collect()} == want
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in hot.collect()} == want
 
 
 def test_matches_of_edited_passages(spark):
@@ -334,7 +356,7 @@ def test_pipeline_stages(spark, sf_dir):
             assert docs.columns == names
         if i == 1:
             comps = brute_components([(d, r.text) for d, r in before.items()], 5, 80)
-            assert after.keys() == {d for d, (n, c) in comps.items() if d == c}
+            assert after.keys() == {d for d, (n, c, _) in comps.items() if d == c}
         if i == 2:
             assert all(t not in r.text for r in after.values() for t in items.values())
             assert all(any(set(shingles(re.sub(r"\W", " ", t), 5)) & set(shingles(re.sub(r"\W", " ", before[d].text), 5)) for t in items.values()) for d in before.keys() - after.keys())
