@@ -45,6 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ from shelfmark.llm._session import deleted, table, written, written_at
 from shelfmark.llm._text import NOT_WHITE, mix, shingle_sets
 
 #: Fragments hold about so many n-grams.
-FRAGMENT = 1_500_000
+FRAGMENT = 3_000_000
 #: N-grams are compared by the number of their fragment and so many bits of their hash.
 BITS = 40
 #: Verification counts partial overlaps in so many groups of fragments.
@@ -140,14 +141,14 @@ def hot_cells(measures: DataFrame, cells: int, hot: int) -> np.ndarray:
     return np.where(total >= max(hot, OVER * total.mean()), total, 0).astype(np.uint32)
 
 
-RUNS = "frag int, hot boolean, nodes binary, sizes binary, counts binary, grams binary, tops binary, frags binary, dfs binary"
+RUNS = "frag int, hot boolean, nodes binary, counts binary, grams binary, tops binary, frags binary, dfs binary"
 
 
 def fragments(texts: DataFrame, k: int, n_fragments: int, hot: np.ndarray) -> DataFrame:
     """The runs of several texts in a fragment, one after the other; hot n-grams with their counts, by buckets of texts
     (numbered after the fragments). A task takes equal texts once; those of different tasks are told by their node.
 
-    sizes are the whole sets' sizes, counts the runs' lengths; a hash's bits are packed as four bytes and a fifth.
+    counts are the runs' lengths; a hash's bits are packed as four bytes and a fifth.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +175,8 @@ def fragments(texts: DataFrame, k: int, n_fragments: int, hot: np.ndarray) -> Da
                     a, b = bounds[f], bounds[f + 1]
                     own, counts = np.unique(owner[a:b], return_counts=True)
                     more = (frag[a:b], df[a:b]) if f >= n_fragments else (frag[:0], df[:0])
-                    out.append((f, f >= n_fragments, *(x.tobytes() for x in (nodes[own], sizes[own], counts.astype(np.int32), grams[a:b], tops[a:b], *more))))
-                columns = list(zip(*out, strict=True)) or [[]] * 9
+                    out.append((f, f >= n_fragments, *(x.tobytes() for x in (nodes[own], counts.astype(np.int32), grams[a:b], tops[a:b], *more))))
+                columns = list(zip(*out, strict=True)) or [[]] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=[x.split()[0] for x in RUNS.split(", ")])
 
     return texts.mapInArrow(cut, RUNS)
@@ -199,11 +200,11 @@ def shared_grams(runs: DataFrame, n_fragments: int) -> DataFrame:
         if place >= n_fragments:
             return held.set_column(0, "bucket", pa.array(np.full(len(held), place - n_fragments, np.int32)))
         counts, bottoms, tops = _joined(held, "counts", np.int32), _joined(held, "grams", np.uint32), _joined(held, "tops", np.uint8)
-        nodes, sizes = _joined(held, "nodes", np.int64), _joined(held, "sizes", np.int32)
+        nodes = _joined(held, "nodes", np.int64)
         once = np.zeros(len(nodes), bool)
         once[np.unique(nodes, return_index=True)[1]] = True
         mine = np.repeat(once, counts)
-        counts, bottoms, tops, nodes, sizes = counts[once], bottoms[mine], tops[mine], nodes[once], sizes[once]
+        counts, bottoms, tops, nodes = counts[once], bottoms[mine], tops[mine], nodes[once]
         grams = (tops.astype(np.int64) << 32) | bottoms
         order = np.argsort(grams, kind="stable")
         ranked = grams[order]
@@ -221,8 +222,8 @@ def shared_grams(runs: DataFrame, n_fragments: int) -> DataFrame:
             if len(some):
                 own, n = np.unique(owner[some], return_counts=True)
                 frags = np.full(len(some), place, np.int32)
-                out.append((i, False, *(x.tobytes() for x in (nodes[own], sizes[own], n.astype(np.int32), bottoms[some], tops[some], frags, of[some]))))
-        columns = list(zip(*out, strict=True)) or [[]] * 9
+                out.append((i, False, *(x.tobytes() for x in (nodes[own], n.astype(np.int32), bottoms[some], tops[some], frags, of[some]))))
+        columns = list(zip(*out, strict=True)) or [[]] * 8
         return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=[x.split()[0] for x in SHARED.split(", ")])
 
     return runs.groupBy("frag").applyInArrow(count, SHARED)
@@ -232,12 +233,31 @@ SHARED = RUNS.replace("frag int", "bucket int")
 TEXTS = "node long, n long, own long, prefix array<long>, parts array<array<long>>"
 
 
+def sizes_of(texts: DataFrame, n_fragments: int) -> DataFrame:
+    """The sizes of all texts' sets by the buckets of shared_grams: rows without hot, with sizes in place of counts."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int32)
+            bucket = _scattered(nodes, n_fragments)
+            order = np.argsort(bucket, kind="stable")
+            places, first = np.unique(bucket[order], return_index=True)
+            parts = [(nodes[x].tobytes(), n[x].tobytes()) for x in np.split(order, first[1:])] if len(order) else []
+            columns = [pa.array(places, pa.int32()), pa.nulls(len(parts), pa.bool_()), *(pa.array([x[i] for x in parts], pa.binary()) for i in range(2)), *[pa.array([b""] * len(parts), pa.binary())] * 4]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SHARED.split(", ")])
+
+    return texts.select("node", "n").mapInArrow(deal, SHARED)
+
+
 def sharing_texts(shared: DataFrame, percent: int, n_fragments: int) -> DataFrame:
     """The texts that share enough n-grams to have a partner: how many they share (own of n), which of these stand in their
-    prefix, rarest first, and all of them by groups of fragments."""
+    prefix, rarest first, and all of them by groups of fragments. shared holds the rows of sizes_of too."""
 
     def gather(held: pa.Table) -> pa.Table:
-        counts, nodes, sizes = _joined(held, "counts", np.int32), _joined(held, "nodes", np.int64), _joined(held, "sizes", np.int32)
+        is_size = held["hot"].is_null()
+        sized, held = held.filter(is_size), held.filter(pc.invert(is_size))
+        known, sizes = _joined(sized, "nodes", np.int64), _joined(sized, "counts", np.int32)
+        counts, nodes = _joined(held, "counts", np.int32), _joined(held, "nodes", np.int64)
         frag = _joined(held, "frags", np.int32).astype(np.int64)
         grams = (frag << BITS) | (_joined(held, "tops", np.uint8).astype(np.int64) << 32) | _joined(held, "grams", np.uint32)
         dfs = _joined(held, "dfs", np.uint32)
@@ -246,10 +266,10 @@ def sharing_texts(shared: DataFrame, percent: int, n_fragments: int) -> DataFram
         once = ~hot
         once[np.flatnonzero(hot)[np.unique(nodes[hot], return_index=True)[1]]] = True
         mine = np.repeat(once, counts)
-        counts, nodes, sizes, frag, grams, dfs = counts[once], nodes[once], sizes[once], frag[mine], grams[mine], dfs[mine]
+        counts, nodes, frag, grams, dfs = counts[once], nodes[once], frag[mine], grams[mine], dfs[mine]
         names, text = np.unique(nodes, return_inverse=True)
-        n = np.empty(len(names), np.int64)
-        n[text] = sizes
+        order = np.argsort(known)
+        n = sizes[order[np.searchsorted(known[order], names)]].astype(np.int64) if len(names) else np.empty(0, np.int64)
         text = np.repeat(text, counts)
         own = np.bincount(text, minlength=len(names))
         least = (n * percent + 99) // 100
@@ -275,7 +295,8 @@ def sharing_texts(shared: DataFrame, percent: int, n_fragments: int) -> DataFram
 def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b, a_n, b_n) that link: partial overlaps are counted in each group of fragments."""
     left = segments.select(F.col("node").alias("a"), "part", F.col("grams").alias("a_grams"))
-    right = segments.select(F.col("node").alias("b"), "part", F.col("grams").alias("b_grams"))
+    centres = segments.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    right = centres.select(F.col("node").alias("b"), "part", F.col("grams").alias("b_grams"))
     met = salted_join(pairs.join(left, "a"), right, "b", long_keys(pairs, "b"), also=("part",))
     partial = met.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_grams", "b_grams")).cast("long").alias("shared"))
     summed = partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("shared").alias("shared"))
@@ -313,7 +334,7 @@ def link_texts(docs: DataFrame, texts: DataFrame, k: int, percent: int, n_fragme
     """node, name, n_links of every distinct text that links to another."""
     least = least_shared(percent)
     shared = shared_grams(fragments(docs.select(node_of().alias("node"), "text"), k, n_fragments, hot), n_fragments)
-    sharing, at = written_at(sharing_texts(shared, percent, n_fragments), "sharing-texts")
+    sharing, at = written_at(sharing_texts(shared.unionByName(sizes_of(texts, n_fragments)), percent, n_fragments), "sharing-texts")
     segments = sharing.select("node", F.posexplode("parts").alias("part", "grams")).filter("size(grams) > 0")
     posts = sharing.select("node", "n", "own", F.posexplode("prefix").alias("at", "gram"))
     posts = posts.select("gram", "node", "n", F.expr("n - own + at + 1").alias("pos"), (F.col("own") / F.col("n")).alias("share"))
