@@ -66,6 +66,9 @@ HOT, OVER = 20_000, 16
 CELL, CELL_BYTES = 256, 1 << 24
 #: Keys with more rows are dealt in shares of half of it: the SPLIT_KEYS longest, so that what is broadcast is bounded.
 SPLIT, SPLIT_KEYS = 1000, 1000
+#: Tables of up to so many rows of a few numbers are sent to all tasks, longer ones are shuffled; fragments at least.
+BROADCAST_ROWS = 1_000_000
+FRAGMENTS = 32
 
 
 def least_shared(percent: int) -> str:
@@ -95,6 +98,11 @@ def long_keys(rows: DataFrame, key: str) -> list[tuple[int, int]]:
     return [(r[0], math.ceil(r[1] / (SPLIT // 2))) for r in counts.collect()]
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """A written table of few columns, marked for broadcasting if it has few enough rows."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def salted_join(many: DataFrame, one: DataFrame, key: str, shares: list[tuple[int, int]], also: tuple[str, ...] = (), how: str = "inner") -> DataFrame:
     """Joins rows by a key (and also columns) with the rows of few for each key; long keys' rows are dealt in shares."""
     if not shares:
@@ -295,9 +303,10 @@ def sharing_texts(shared: DataFrame, percent: int, n_fragments: int) -> DataFram
 def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b, a_n, b_n) that link: partial overlaps are counted in each group of fragments."""
     left = segments.select(F.col("node").alias("a"), "part", F.col("grams").alias("a_grams"))
-    centres = segments.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    few = counted(pairs)
+    centres = segments.join(few.select(F.col("b").alias("node")), "node", "left_semi")
     right = centres.select(F.col("node").alias("b"), "part", F.col("grams").alias("b_grams"))
-    met = salted_join(pairs.join(left, "a"), right, "b", long_keys(pairs, "b"), also=("part",))
+    met = salted_join(few.join(left, "a"), right, "b", long_keys(pairs, "b"), also=("part",))
     partial = met.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_grams", "b_grams")).cast("long").alias("shared"))
     summed = partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("shared").alias("shared"))
     return summed.filter(f"shared * 100 >= (a_n + b_n - shared) * {percent}").select("a", "b")
@@ -348,7 +357,7 @@ def link_texts(docs: DataFrame, texts: DataFrame, k: int, percent: int, n_fragme
     comps = components(links, texts)
 
     # Lists with several components left.
-    named = posts.join(comps.select("node", F.col("name.node").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = posts.join(counted(comps.select("node", F.col("name.node").alias("comp"))), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = named.groupBy("gram", "comp").agg(F.count("*").alias("members"), F.min("n").alias("low"))
     mixed = sizes.groupBy("gram").agg(F.max(F.struct("members", "comp")).alias("big"), F.count("*").alias("comps"), F.min("low").alias("low")).filter("comps > 1")
     near = salted_join(named, mixed.select("gram", F.col("big.comp").alias("big"), "low"), "gram", shares)
@@ -371,7 +380,8 @@ def count_links(sharing: DataFrame, comps: DataFrame, percent: int) -> DataFrame
     """node, n_links: to how many other texts each links, by blocks of its component (see CELL)."""
     held = comps.select("node", F.col("name.node").alias("comp"))
     sizes = held.groupBy("comp").agg(F.count("*").alias("members"))
-    texts = salted_join(held, sizes, "comp", long_keys(held, "comp")).join(sharing.select("node", "n", F.flatten("parts").alias("grams")), "node")
+    texts = salted_join(held, sizes, "comp", long_keys(held, "comp"))
+    texts = counted(written(texts, "members-of-components")).join(sharing.select("node", "n", F.flatten("parts").alias("grams")), "node")
     total = texts.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(8 * total / CELL_BYTES))
     n_blocks = F.ceil(F.col("members") / CELL).cast("int")
@@ -394,8 +404,8 @@ def count_links(sharing: DataFrame, comps: DataFrame, percent: int) -> DataFrame
             links[mine] = linked.sum(1)
         return pa.table({"node": pa.array(nodes), "n_links": pa.array(links)})
 
-    counted = cells.groupBy("place", "n_blocks", "i", "j").applyInArrow(count, "node long, n_links long")
-    return counted.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    partial = cells.groupBy("place", "n_blocks", "i", "j").applyInArrow(count, "node long, n_links long")
+    return partial.groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 
 def _overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -423,7 +433,7 @@ def members(docs: DataFrame, k: int, percent: int, hot: int) -> tuple[DataFrame,
     measures = written(measured(docs, k, cells), "measured")
     rows = measures.filter("block is null").select("doc_id", "node", "n")
     texts = written(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "texts")
-    found = link_texts(docs, texts, k, percent, max(16, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot))
+    found = link_texts(docs, texts, k, percent, max(FRAGMENTS, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot))
     whole = texts.join(found, "node", "left").withColumn("name", F.coalesce("name", name_of())).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
     return rows, whole
 

@@ -101,7 +101,7 @@ class Lexicon:
         self.mass = total + SMOOTH * size
         self.log_in_class = np.log10(self.counts + SMOOTH) - np.log10(self.mass[self.classes]) if len(rank) else self.counts
         self.log_base = np.log10(self.counts + SMOOTH)
-        self.class_log = np.log((self.mass / self.mass.sum()).astype(np.float64))
+        self.class_log = np.log(np.maximum(self.mass / self.mass.sum(), 1e-12))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each hash stands, and whether it is in the head."""
@@ -205,7 +205,7 @@ def observed_counts(encoded: DataFrame) -> np.ndarray:
                 for k, rows in enumerate(feature_rows(before)):
                     total[k] += np.bincount(rows * CLASSES + kinds, minlength=ROWS * CLASSES)
         if n:
-            yield _sums.batch(total, n)
+            yield _sums.batch(total)
 
     return _added(encoded.select("classes", "features").mapInArrow(sums, _sums.SCHEMA))
 
@@ -244,7 +244,7 @@ def expected_counts(counted: DataFrame, weights: np.ndarray, bias: np.ndarray) -
                     cut = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
                     total[k, ranked[cut]] += np.add.reduceat(p[order], cut, axis=0)
         if some:
-            yield _sums.batch(total, some)
+            yield _sums.batch(total)
 
     return _added(counted.mapInArrow(sums, _sums.SCHEMA))
 

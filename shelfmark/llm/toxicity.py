@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm._fit import held_out, labelled_sample, logistic, sigmoid
-from shelfmark.llm._session import table
+from shelfmark.llm._session import table, written
 from shelfmark.llm._text import ALNUM, pieces, spans, word_hashes
 
 SAMPLE, LEXICON = 20_000, 2_000
@@ -216,7 +216,7 @@ FIXED = np.array([-2.0, 1, 1, -0.5, -0.5, 0.5, 1.5, -0.5, -0.5, 0, 2])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, np.ndarray]:
-    chosen = labelled_sample(docs, labels, "toxic", ~held_out(FOLDS, HELD_OUT), sample)
+    chosen = written(labelled_sample(docs, labels, "toxic", ~held_out(FOLDS, HELD_OUT), sample), "labelled-sample")
     scorer = Scorer(induce(chosen))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
