@@ -19,6 +19,11 @@ def where_set(rows: Column, field: str) -> Column:
     return F.filter(rows, lambda r: r[field].isNotNull())
 
 
+def where_true(rows: Column, field: str) -> Column:
+    """Rows whose boolean field is true."""
+    return F.filter(rows, lambda r: F.coalesce(r[field], F.lit(False)))
+
+
 def reject(rows: Column, field: str, value: Column) -> Column:
     """All rows but those with this value; rows without one stay."""
     return F.filter(rows, lambda r: ~r[field].eqNullSafe(value))

@@ -24,13 +24,13 @@ def contains_folded(text: Column, part: Column) -> Column:
 
 def all_terms_match(text: Column, query: str) -> Column:
     """Every term of the query is a word of the text, the last one a word's beginning (our decision)."""
-    words, terms = F.split(F.lower(text), r"[^\p{L}\p{N}]+"), query.lower().split()
-    if not terms:
-        return F.lit(True)
-    whole = [F.array_contains(words, t) for t in terms[:-1]]
-    out = F.exists(words, lambda w: w.startswith(terms[-1]))
-    for condition in whole:
-        out = out & condition
+    own, terms = F.lower(text), query.lower().split()
+    if not all(t.isalnum() for t in terms):
+        return F.lit(False)  # words are letters and digits
+    out = F.lit(True)
+    for i, term in enumerate(terms):
+        end = "" if i == len(terms) - 1 else r"(?![\p{L}\p{N}])"
+        out = out & own.rlike(rf"(?<![\p{{L}}\p{{N}}]){term}{end}")
     return out
 
 

@@ -20,6 +20,17 @@ def discount_codes(cart_level: DataFrame, line_level: DataFrame) -> DataFrame:
     return both.select("cart_id", "code").distinct()
 
 
+def add(lines: DataFrame, adds: DataFrame, keys: Sequence[str], quantity: str = "quantity") -> DataFrame:
+    """The cart after adding: what is there already grows, the rest is appended. Quantities are summed before the shuffle."""
+    both = lines.select(*keys, quantity).unionByName(adds.select(*keys, quantity))
+    return both.groupBy(*keys).agg(F.sum(quantity).alias(quantity))
+
+
+def visible_component_quantity(quantity: Column) -> Column:
+    """A component's quantity is shown if there is more than one."""
+    return F.when(quantity > 1, quantity)
+
+
 def component_lines(lines: DataFrame, components: str) -> DataFrame:
     """A row for each component of a bundle; lines without components give none."""
     return lines.select(*(c for c in lines.columns if c != components), F.posexplode(components).alias("component_pos", "component"))

@@ -13,8 +13,12 @@ from shelfmark.plans.request import CatalogRequest, Facets
 
 
 def filtered(products: DataFrame, request: CatalogRequest, facets: Facets, leave_out: str | None = None) -> DataFrame:
-    """Plain predicates, so they reach the scan."""
-    price = F.lit(True) if leave_out == facets.price else request.price_condition(F.col(facets.price))
+    """Plain predicates, so they reach the scan; the price in whole units does too, by bounds a little wider."""
+    price = F.lit(True)
+    if leave_out != facets.price:
+        price = request.price_condition(F.col(facets.price))
+        if facets.raw_price:
+            price = price & request.wide_condition(F.col(facets.raw_price))
     return products.filter(request.list_conditions(leave_out) & price)
 
 
@@ -54,9 +58,10 @@ def visible_values(counts: DataFrame, shown: int = 10) -> DataFrame:
     return placed.withColumn("hidden", (F.col("of") > shown + 1) & (F.col("place") > shown)).drop("of")
 
 
-def pill_layout(values: DataFrame) -> DataFrame:
-    """Facets all of whose labels have at most three characters are laid out as pills."""
-    return values.groupBy("facet").agg(F.bool_and(F.length("value") <= 3).alias("pills"))
+def pill_layout(values: DataFrame, booleans: Sequence[str] = ()) -> DataFrame:
+    """Facets all of whose labels have at most three characters are laid out as pills, but boolean ones."""
+    short = F.bool_and(F.length("value") <= 3)
+    return values.groupBy("facet").agg((short & ~F.col("facet").isin(*booleans) if booleans else short).alias("pills"))
 
 
 def sort_columns(sort: str, facets: Facets) -> list[Column]:
@@ -104,8 +109,11 @@ def page_links(page: int, pages: int) -> list[int | None]:
 def keyset_page(rows: DataFrame, order: Sequence[str], after: Sequence[object] | None, size: int) -> DataFrame:
     """The page after a row: nothing before it is sorted, which deep pages need."""
     if after is not None:
-        bound = F.struct(*(F.lit(x).cast(rows.schema[c].dataType).alias(c) for c, x in zip(order, after, strict=True)))
-        rows = rows.filter(F.struct(*order) > bound)
+        *first, (last, value) = [(F.col(c), F.lit(x).cast(rows.schema[c].dataType)) for c, x in zip(order, after, strict=True)]
+        beyond = last > value
+        for column, x in reversed(first):  # plain comparisons, so that the first column's bound reaches the scan
+            beyond = (column >= x) & ((column > x) | beyond)
+        rows = rows.filter(beyond)
     return rows.orderBy(*order).limit(size)
 
 
@@ -126,8 +134,29 @@ def resource_totals(resources: dict[str, tuple[DataFrame, str, str]], query: str
 
 
 def or_fallback(found: DataFrame, fallback: DataFrame) -> DataFrame:
-    """What was found, or the fallback if that is nothing: one row is looked at."""
-    return found if found.limit(1).count() else fallback
+    """What was found, or the fallback if that is nothing: one row is looked at, when the result is computed."""
+    any_row = found.limit(1).select(F.lit(1).alias("_any"))
+    return found.unionByName(fallback.withColumn("_any", F.lit(1)).join(F.broadcast(any_row), "_any", "left_anti").drop("_any"))
+
+
+def one_total(totals: DataFrame) -> DataFrame:
+    """n: the sum over all kinds."""
+    return totals.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n"))
+
+
+def single_result(resources: dict[str, tuple[DataFrame, str, str]], query: str, precedence: Sequence[str]) -> DataFrame:
+    """object_type, id, title of the first kind, by precedence, that has exactly one match: two of each are looked at."""
+    hits = []
+    for place, kind in enumerate(precedence):
+        rows, key, title = resources[kind]
+        found = rows.filter(all_terms_match(F.col(title), query)).select(F.lit(place).alias("_place"), F.lit(kind).alias("object_type"), F.col(key).cast("long").alias("id"), F.col(title).alias("title"))
+        hits.append(only_hit(found))
+    return reduce(DataFrame.unionByName, hits).orderBy("_place").limit(1).drop("_place")
+
+
+def valid_page(page: Column, rows: Column, size: int) -> Column:
+    """From the first to the last page; without rows there is one."""
+    return (page >= 1) & (page <= F.greatest(F.lit(1), F.ceil(rows / size)))
 
 
 def only_hit(found: DataFrame) -> DataFrame:

@@ -28,11 +28,13 @@ def recommendation_fallback(catalog: DataFrame, key: str, own: object, intent: s
 
 
 def bought_together(lines: DataFrame, order: str, item: str, count: int) -> DataFrame:
-    """item, other, n, place: what is most often in the same order (our decision). Orders are small; pairs are summed before
-    the shuffle."""
+    """item, other, n, place: what is most often in the same order (our decision). Orders are small; each pair
+    is met once, summed before the shuffle, and then mirrored."""
     own = lines.select(order, item).distinct()
-    pairs = own.join(own.withColumnRenamed(item, "other"), order).filter(F.col(item) != F.col("other"))
-    counted = pairs.groupBy(item, "other").agg(F.count("*").alias("n"))
+    pairs = own.join(own.withColumnRenamed(item, "other"), order).filter(F.col(item) < F.col("other"))
+    once = pairs.groupBy(item, "other").agg(F.count("*").alias("n"))
+    both = F.explode(F.array(F.struct(F.col(item).alias("a"), F.col("other").alias("b")), F.struct(F.col("other").alias("a"), F.col(item).alias("b"))))
+    counted = once.select(both.alias("x"), "n").select(F.col("x.a").alias(item), F.col("x.b").alias("other"), "n")
     best = Window.partitionBy(item).orderBy(F.desc("n"), "other")
     return counted.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= count)
 
@@ -74,6 +76,27 @@ def curated(rows: DataFrame, refs: str, products: DataFrame, key: str) -> DataFr
     return each.join(products, key)
 
 
+def pickup_locations(places: DataFrame, enabled: str) -> DataFrame:
+    """Those where orders can be picked up; an unknown is none."""
+    return places.filter(F.coalesce(enabled, F.lit(False)))
+
+
+def collection_cap(layout: Column, count: Column, setting: Column, columns: Column) -> Column:
+    """How many collections a list shows: an explicit count, else the setting, else by its layout."""
+    by_layout = F.when(layout == "carousel", columns + 2).when(layout == "grid", columns).otherwise(F.lit(4))
+    return F.coalesce(count, setting, by_layout)
+
+
+def capped(rows: DataFrame, group: str, order: Sequence[str], cap: Column) -> DataFrame:
+    """The first rows of each group, as many as its cap says."""
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("place") <= cap)
+
+
+def condition_prices(copies: DataFrame, prices: DataFrame, condition: str) -> DataFrame:
+    """Copies that aren't sold, at the price of their condition."""
+    return copies.filter(F.col("status") != "Sold").join(prices, condition)
+
+
 def surplus_pool(copies: DataFrame, product: str, keep: int, order: str) -> DataFrame:
     """Copies beyond the first ``keep`` of each product."""
     return copies.withColumn("place", F.row_number().over(Window.partitionBy(product).orderBy(order))).filter(F.col("place") > keep)

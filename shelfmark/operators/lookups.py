@@ -48,10 +48,49 @@ def front_first(rows: DataFrame, group: Sequence[str], selected: Column, pos: st
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(F.when(selected, 0).otherwise(1), pos)))
 
 
-def zip_by_key(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str) -> DataFrame:
+def numbered(rows: DataFrame, key: str, order: str, width: int) -> DataFrame:
+    """Adds _i: the row's number within its key, from 1, by an order column of distinct whole numbers.
+
+    Rows are numbered within stretches of ``width`` of the order column and get the counts of the stretches before, so a
+    key with very many rows is no single task's work.
+    """
+    parted = rows.withColumn("_part", F.floor(F.col(order) / width))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parted.groupBy(key, "_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    local = parted.withColumn("_i", F.row_number().over(Window.partitionBy(key, "_part").orderBy(order)))
+    return local.join(counts, [key, "_part"]).withColumn("_i", F.col("_i") + F.col("_before")).drop("_part", "_before")
+
+
+def zip_by_key(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str, width: int = 1 << 20) -> DataFrame:
     """Rows of equal key are paired in order, the i-th with the i-th."""
-    number = lambda order: F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return left.withColumn("_i", number(left_order)).join(right.withColumn("_i", number(right_order)), [key, "_i"]).drop("_i")
+    return numbered(left, key, left_order, width).join(numbered(right, key, right_order, width), [key, "_i"]).drop("_i")
+
+
+def media_kept(media: DataFrame, group: Sequence[str], pos: str, hidden: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Media that stay: those that aren't hidden, and the first of each group, as one is hidden only once another was kept."""
+    first = media.groupBy(*group).agg(F.min(pos).alias("_first"))
+    marked = media.join(first, list(group)).join(hidden.select(*keys).distinct().withColumn("_hidden", F.lit(True)), list(keys), "left")
+    return marked.filter(F.col("_hidden").isNull() | (F.col(pos) == F.col("_first"))).drop("_first", "_hidden")
+
+
+def by_index(text: Column, separator: str, values: Column) -> Column:
+    """The array's value at the index that stands after the last separator of a key; null beyond its ends."""
+    return F.get(values, F.element_at(F.split(text, separator), -1).try_cast("int"))
+
+
+def in_collection(bridge: DataFrame, products: DataFrame, key: str, pos: str) -> DataFrame:
+    """A collection's products by their position in it; ids break ties."""
+    return bridge.join(products, key).orderBy(pos, key)
+
+
+def split_by(rows: DataFrame, kind: str, kinds: Sequence[str]) -> dict[str, DataFrame]:
+    """One list as several, by type."""
+    return {k: rows.filter(F.col(kind) == k) for k in kinds}
+
+
+def first_seen(rows: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
+    """Each value once, in the order in which they come up first: a minimum, taken before the shuffle."""
+    return rows.groupBy(value).agg(F.min(F.struct(*order)).alias("_at")).orderBy("_at").select(value)
 
 
 def first_with(rows: DataFrame, group: Sequence[str], order: Sequence[str], condition: Column) -> DataFrame:

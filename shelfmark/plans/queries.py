@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-FACETS = Facets(lists=("p_brand", "p_type", "p_size"), price="price", title="p_name", key="p_partkey")
+FACETS = Facets(lists=("p_brand", "p_type", "p_size"), price="price", title="p_name", key="p_partkey", raw_price="p_retailprice")
 REQUEST = CatalogRequest(filters={"p_brand": ("Brand#1", "Brand#12", "Brand#23"), "p_type": ("ECONOMY", "PROMO")}, price_gte=91_000, price_lte=98_000)
 PRODUCT = "product AS (SELECT *, CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS price FROM part)"
 LISTS = "p_brand IN ('Brand#1', 'Brand#12', 'Brand#23') AND p_type IN ('ECONOMY', 'PROMO')"
@@ -511,10 +511,10 @@ def self_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH d AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS burst FROM d)
-SELECT user_id, event_type, max_by(event_id, ts) AS payload, count(*) AS calls FROM g GROUP BY user_id, event_type, burst""")
+SELECT user_id, event_type, max_by(event_id, (ts, event_id)) AS payload, count(*) AS calls FROM g GROUP BY user_id, event_type, burst""")
 def debounce(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return folds.debounced(rows, "ts", ["user_id", "event_type"], "30 minutes", F.col("event_id")).select("user_id", "event_type", "payload", "calls")
+    return folds.debounced(rows, "ts", ["user_id", "event_type"], "30 minutes", F.col("event_id"), tie="event_id").select("user_id", "event_type", "payload", "calls")
 
 
 @query("SELECT user_id, event_type, max_by(value, (ts, event_id)) AS value FROM events GROUP BY user_id, event_type")
@@ -649,3 +649,170 @@ def mixed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = read(spark, sf_dir, "part").select(F.lit("product").alias("object_type"), F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
     more = read(spark, sf_dir, "supplier").select(F.lit("supplier").alias("object_type"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
     return catalog.mixed_page(own.unionByName(more), [F.asc("id"), F.asc("object_type")], 1, 24, "product")
+
+
+# Carts, collections and rules
+
+
+@query(f"WITH {_LINES}, own AS (SELECT cart_id, variant_id, quantity FROM line UNION ALL SELECT o_orderkey, o_orderkey % 50 + 1, 2 FROM orders WHERE o_orderkey % 4 = 0) SELECT cart_id, variant_id, sum(quantity)::BIGINT AS quantity FROM own GROUP BY ALL")
+def cart_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adds = read(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("cart_id"), (F.col("o_orderkey") % 50 + 1).alias("variant_id"), F.lit(2).alias("quantity"))
+    return cart.add(cart_lines(spark, sf_dir), adds, ["cart_id", "variant_id"])
+
+
+@query(f"WITH {_LINES}, one AS (SELECT variant_id, sum(quantity)::BIGINT AS quantity FROM line WHERE cart_id = 1 GROUP BY variant_id), c(variant_id, q) AS (SELECT p_partkey, p_size::BIGINT - 1 FROM part WHERE p_partkey <= 3), m AS (SELECT coalesce(c.variant_id, one.variant_id) AS variant_id, coalesce(q, quantity) AS quantity FROM one FULL JOIN c ON one.variant_id = c.variant_id) SELECT * FROM m WHERE quantity <> 0")
+def cart_bulk_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cart 1 after an update of variants 1 to 3."""
+    lines = cart_lines(spark, sf_dir).filter("cart_id = 1").groupBy("variant_id").agg(F.sum("quantity").alias("quantity"))
+    changes = read(spark, sf_dir, "part").filter("p_partkey <= 3").select(F.col("p_partkey").alias("variant_id"), (whole("p_size") - 1).alias("quantity"))
+    return upsert(lines, changes, ["variant_id"])
+
+
+@query("""WITH e AS (SELECT user_id, ts, event_id, event_type, event_id % 3 AS item, event_id % 5 AS q FROM events),
+s AS (SELECT *, last_value(CASE WHEN event_type IN ('view', 'purchase') THEN event_type END IGNORE NULLS) OVER w AS state,
+  first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS released
+  FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, released, item, sum(q)::BIGINT AS quantity FROM s WHERE state = 'view' AND event_type NOT IN ('view', 'purchase') AND released IS NOT NULL GROUP BY ALL""")
+def queue_while_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view begins a change, a purchase ends it, all else adds."""
+    rows = read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", (F.col("event_id") % 3).alias("item"), (F.col("event_id") % 5).alias("q"))
+    return folds.queued_while_busy(rows, ["user_id"], ["ts", "event_id"], "event_type", "view", "purchase", "item", "q")
+
+
+@query("SELECT (" + " + ".join(f"(SELECT count(*) FROM {n} WHERE {_STARTS.format(c=t)})" for _, n, _, t in _RESOURCES) + ")::BIGINT AS n")
+def results_of_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.one_total(catalog.resource_totals(resources(spark, sf_dir), "s"))
+
+
+@query("SELECT 'supplier' AS object_type, s_suppkey AS id, s_name AS title FROM supplier WHERE s_suppkey = 7")
+def single_result_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only one supplier is called by the seventh's number, and no part or page is."""
+    found = {k: (rows.filter(F.col(key) == 7) if k == "supplier" else rows.filter(F.col(key) < 7), key, title) for k, (rows, key, title) in resources(spark, sf_dir).items()}
+    return catalog.single_result(found, "s", ["document", "page", "supplier", "product"])
+
+
+@query("""WITH m AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem), f AS (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first FROM m)
+SELECT l_orderkey, l_linenumber, l_partkey FROM f WHERE l_linenumber = first OR l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 45)""")
+def media_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem")
+    media = lines.select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    return lookups.media_kept(media, ["l_orderkey"], "l_linenumber", lines.filter("l_quantity >= 45"), ["l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 4 = 0")
+def pickup_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    rows = read(spark, sf_dir, "supplier").withColumn("pick_up", F.when(key % 3 != 0, key % 4 == 0).when(key % 4 == 0, True))
+    return curation.pickup_locations(rows, "pick_up").select("s_suppkey", "s_name")
+
+
+@query("""WITH c AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS place, ('0' || substr(p_brand, 7))::INT AS b FROM part)
+SELECT p_brand, p_partkey, place::INT AS place FROM c WHERE place <= CASE WHEN b % 5 = 0 THEN 7 WHEN b % 5 = 1 THEN 6 WHEN b % 5 = 2 THEN 3 + 2 WHEN b % 5 = 3 THEN 3 ELSE 4 END""")
+def collection_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands stand for lists: with a count, with a setting, a carousel, a grid, any other; three columns each."""
+    kind = F.substr("p_brand", F.lit(7)).cast("int") % 5
+    layout = F.when(kind == 2, "carousel").when(kind == 3, "grid").otherwise("other")
+    cap = curation.collection_cap(layout, F.when(kind == 0, 7), F.when(kind <= 1, 6), F.lit(3))
+    return curation.capped(read(spark, sf_dir, "part").select("p_brand", "p_partkey"), "p_brand", ["p_partkey"], cap)
+
+
+@query("SELECT n_nationkey, ['a', 'b', 'c'][n_nationkey % 5 + 1] AS label FROM nation")
+def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.concat(F.lit("group-"), (F.col("n_nationkey") % 5).cast("string"))
+    return read(spark, sf_dir, "nation").select("n_nationkey", lookups.by_index(key, "-", F.array(*map(F.lit, "abc"))).alias("label"))
+
+
+@query("SELECT p_partkey, p_name, pos::BIGINT AS pos FROM (SELECT l_partkey, min(l_linenumber) AS pos FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY l_partkey) JOIN part ON l_partkey = p_partkey")
+def collection_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some orders' lines stand for a collection: a bridge of products and positions."""
+    bridge = read(spark, sf_dir, "lineitem").filter("l_orderkey % 50 = 0").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.min("l_linenumber").cast("long").alias("pos"))
+    return lookups.in_collection(bridge, read(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", "pos").select("p_partkey", "p_name", "pos")
+
+
+@query("SELECT 'CUR' || n_regionkey AS currency FROM nation GROUP BY 1 ORDER BY min(n_nationkey)")
+def currencies_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit("CUR"), F.col("n_regionkey").cast("string")).alias("currency"))
+    return lookups.first_seen(rows, "currency", ["n_nationkey"])
+
+
+@query("SELECT count_if(contains(lower(n_name), '_1'))::BIGINT AS shown FROM nation")
+def visible_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = text.country_matches(F.lit("_1"), F.col("n_name"), F.lit("CUR"), F.lit("N"), F.array(F.lit("Alias")))
+    return read(spark, sf_dir, "nation").agg(F.count_if(shown).alias("shown"))
+
+
+@query("SELECT p_type, count(*) AS n FROM part WHERE p_type IN ('ECONOMY', 'PROMO') GROUP BY p_type")
+def block_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = lookups.split_by(read(spark, sf_dir, "part"), "p_type", ["ECONOMY", "PROMO"])
+    return parts["ECONOMY"].groupBy("p_type").agg(F.count("*").alias("n")).unionByName(parts["PROMO"].groupBy("p_type").agg(F.count("*").alias("n")))
+
+
+@query(f"WITH {_LINES} SELECT cart_id, line, variant_id, quantity FROM line JOIN (VALUES ('3'), ('12'), ('x')) s(id) ON variant_id::VARCHAR = id")
+def cart_items_by_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    selectors = spark.createDataFrame([("3",), ("12",), ("x",)], "id string").select(F.expr("try_cast(id as long)").alias("variant_id"))
+    return lookups.within(cart_lines(spark, sf_dir), selectors, ["variant_id"]).select("cart_id", "line", "variant_id", "quantity")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (3, 12, 7)")
+def id_set_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = spark.createDataFrame([(3,), (12,), (7,), (-1,)], "p_partkey long")
+    return lookups.within(read(spark, sf_dir, "part").select("p_partkey", "p_name"), asked, ["p_partkey"])
+
+
+@query("SELECT o_orderkey, o_orderkey % 40 - 3 BETWEEN 1 AND greatest(1, ceil((o_orderkey % 500) / 24.0)) AS valid FROM orders")
+def page_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    return read(spark, sf_dir, "orders").select("o_orderkey", catalog.valid_page(key % 40 - 3, key % 500, 24).alias("valid"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_size > 25")
+def boolean_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = products(spark, sf_dir).withColumn("large", F.col("p_size") > 25)
+    return catalog.filtered(rows, CatalogRequest(filters={"large": ("true",)}), FACETS).select("p_partkey")
+
+
+@query("SELECT o_orderkey, coalesce(o_orderstatus <> 'F', false) AND NOT coalesce(o_orderkey % 7 = 0, false) AS ok FROM orders")
+def gift_card_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select("o_orderkey", rules.gift_card_ok(F.col("o_orderstatus") != "F", F.col("o_orderkey") % 7 == 0).alias("ok"))
+
+
+@query("SELECT o_orderkey, CASE WHEN a AND b THEN 'duties_and_taxes_included' WHEN b THEN 'taxes_included' WHEN a THEN 'duties_included' ELSE 'taxes' END || CASE WHEN d THEN '_discounts' ELSE '' END || CASE WHEN c THEN '_shipping_policy' ELSE '_shipping' END AS note FROM (SELECT o_orderkey, o_orderkey % 2 = 0 AS a, o_orderkey % 3 = 0 AS b, o_orderkey % 5 = 0 AS c, o_orderkey % 7 = 0 AS d FROM orders)")
+def tax_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by = lambda n: F.col("o_orderkey") % n == 0
+    return read(spark, sf_dir, "orders").select("o_orderkey", rules.duties_text(by(2), by(3), by(5), by(7)).alias("note"))
+
+
+@query(f"SELECT event_id FROM events WHERE ts <= TIMESTAMP '{TODAY} 00:00:00'")
+def scheduled_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.published(read(spark, sf_dir, "events"), "ts", F.lit(f"{TODAY} 00:00:00").cast("timestamp_ntz")).select("event_id")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 28 + 1 = 15")
+def birthdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' synthetic birthdays lie in January, every third is a member."""
+    key = F.col("c_custkey")
+    rows = read(spark, sf_dir, "customer").select("c_custkey", F.array(F.when(key % 3 == 0, "active-subscription").otherwise("none")).alias("tags"), F.make_date(F.lit(1990), F.lit(1), (key % 28 + 1).cast("int")).alias("birthday"))
+    return curation.members_with_birthday(rows, F.lit(TODAY).cast("date")).select("c_custkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON o_orderkey % 200 + 1 = l_partkey WHERE l_returnflag = 'R' AND l_partkey <= 20 AND o_orderkey % 11 = 0")
+def waitlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines meet the customers who wait for a part."""
+    waiting = read(spark, sf_dir, "orders").filter("o_orderkey % 11 = 0").select((F.col("o_orderkey") % 200 + 1).alias("l_partkey"), "o_custkey")
+    returned = read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' and l_partkey <= 20").select("l_orderkey", "l_linenumber", "l_partkey")
+    return curation.waitlist_matches(returned, waiting, "l_partkey").select("l_orderkey", "l_linenumber", "o_custkey")
+
+
+@query(f"WITH {PRODUCT} SELECT l_partkey, l_orderkey, l_linenumber, price * CASE l_returnflag WHEN 'A' THEN 100 ELSE 60 END // 100 AS price FROM lineitem JOIN product ON l_partkey = p_partkey WHERE l_returnflag <> 'R'")
+def condition_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return flags stand for conditions: R is sold, A as new, N used."""
+    copies = read(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("condition"), F.when(F.col("l_returnflag") == "R", "Sold").otherwise("Available").alias("status"))
+    percent = spark.createDataFrame([("A", 100), ("N", 60)], "condition string, percent int")
+    priced = curation.condition_prices(copies, percent, "condition").join(products(spark, sf_dir).select(F.col("p_partkey").alias("l_partkey"), "price"), "l_partkey")
+    return priced.select("l_partkey", "l_orderkey", "l_linenumber", F.expr("price * percent div 100").alias("price"))
+
+
+@query("WITH l AS (SELECT l_orderkey, list(l_returnflag = 'R') AS r FROM lineitem GROUP BY l_orderkey) SELECT l_orderkey, len(list_filter(r, lambda x: x))::BIGINT AS returned FROM l")
+def array_truthy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct((F.col("l_returnflag") == "R").alias("returned"))).alias("r"))
+    return rows.select("l_orderkey", F.size(arrays.where_true(F.col("r"), "returned")).cast("long").alias("returned"))

@@ -19,6 +19,7 @@ class Facets:
     price: str
     title: str
     key: str
+    raw_price: str | None = None
 
 
 @dataclass(frozen=True)
@@ -87,6 +88,16 @@ class CatalogRequest:
         return out
 
 
+    def wide_condition(self, price: Column, minor: int = 100) -> Column:
+        """What the bounds imply for a price in whole units that is stored as a double."""
+        out = F.lit(True)
+        if self.price_gte is not None:
+            out = out & (price >= (self.price_gte - 1) / minor)
+        if self.price_lte is not None:
+            out = out & (price <= (self.price_lte + 1) / minor)
+        return out
+
+
 def range_summary(low: Column, high: Column, range_max: Column) -> tuple[Column, Column]:
     """The bounds to show: a missing minimum is 0, a missing maximum the range's."""
     return F.coalesce(low, F.lit(0).cast("long")), F.coalesce(high, range_max)
