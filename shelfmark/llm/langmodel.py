@@ -1,16 +1,27 @@
 """Language model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-log10 P(word | history) = log10 P(class | history) + log10 P(word | class). Classes hold about equal shares of the
-training tokens; the commonest words have classes of their own. P(class | history) is a maximum-entropy model: its
-features are the previous word, the one before it (a skip feature) and both together, hashed into ``ROWS`` rows each,
-with a weight for each class. Weights are trained on all training tokens by ``ROUNDS`` distributed gradient updates: what
-was observed is counted once; what is expected is summed by tasks over the distinct histories (rows of the two previous
-words, at most ROWS * ROWS, with how often each occurs); Spark adds the sums up, and the step is scaled by the
-expected counts. P(word | class) is the model's unigram part, the smoothed frequency of the word within its class.
+log10 P(word | history) = log10 P(class | history) + log10 P(word | class, history). Classes hold about equal shares of
+the training tokens; the commonest words have classes of their own. Both factors are maximum-entropy models:
+
+- P(class | history) has the previous word, the one before it (a skip feature) and both together as features, hashed into
+  rows with a weight for each class, on top of the classes' frequencies;
+- P(word | class, history) has a weight for each row of the previous word with each of ``COLUMNS`` hashed columns of the
+  word, on top of the word's smoothed frequency within its class. It is normalised over all words of the class: words of one
+  class and column share a weight, so a row's normalisers are one product with the columns' masses.
+
+Weights are trained on all training tokens by distributed gradient updates from zero. What was observed is counted once. What
+is expected is summed by tasks over the distinct histories (rows of the two previous words, with how often each occurs)
+in each of ``ROUNDS`` updates; the words' expected counts follow from the counts of classes after each row alone. A step is the
+gradient of the penalised log-likelihood over a bound of its curvature (expected counts), at a rate shared by the
+features that are active together.
+
+The model grows with the corpus: the number of rows is in proportion to the cube root of the training tokens (``GROWTH``; a
+power of two), and so histories and pairs of a row and a column grow with its square; the words outside the head are all counted.
+Tasks that add up what was observed are given ``TOKENS`` tokens for each weight, so that their sums stay below the input.
 
 Words of all training texts are counted by hash. The most frequent words (at most ``HEAD``, a bounded table) are known to every
 task; all others are met by a join on their hashes, after each text has counted its own. They are too rare each for a
-hot key, and sums come back by document.
+hot key, and sums come back by document. They are one class, within which only frequencies count.
 
 Base score: the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))); one end token follows each text's words.
 
@@ -31,16 +42,22 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import _sums
 from shelfmark.llm._fit import held_out
-from shelfmark.llm._session import table, written
+from shelfmark.llm._session import deleted, table, written, written_at
 from shelfmark.llm._text import NOT_WHITE, mix, pieces, spans, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 SMOOTH = 0.1
-#: Words that every task knows, classes, rows of each kind of feature, gradient updates.
-HEAD, CLASSES, ROWS, ROUNDS = 1 << 17, 32, 2048, 3
+#: Words that every task knows, classes, gradient updates, the weight of the prior.
+HEAD, CLASSES, ROUNDS, PRIOR = 1 << 17, 32, 5, 1.0
+#: Rows of a word for the cube root of the training tokens, and at least; rows of two words for each of these; columns.
+GROWTH, LEAST_ROWS, PAIRS, COLUMNS = 4.5, 256, 4, 256
 KINDS = 3
-#: Tokens that are looked at together, and histories whose class scores are in memory at once.
-BATCH, SCORES = 1 << 18, 1 << 13
+#: Updates of the words' weights, which take no pass over the data.
+INNER_ROUNDS = 20
+#: Training tokens for each weight that a task counts observations for.
+TOKENS = 4
+#: Tokens that are looked at together, distinct histories held in a task, and those whose scores are in memory at once.
+BATCH, HELD, SCORES = 1 << 18, 1 << 22, 1 << 13
 #: The end token's hash; words' hashes are of their bytes.
 END = np.uint64(0x51AB5EED0E4D0001)
 
@@ -80,10 +97,16 @@ def most_frequent(vocab: DataFrame, most: int) -> DataFrame:
     return vocab.filter(level >= lowest) if held else vocab.limit(0)
 
 
+def rows_for(tokens: int) -> int:
+    """The number of rows of a word, a power of two."""
+    return max(LEAST_ROWS, 1 << round(math.log2(GROWTH * max(1, tokens) ** (1 / 3))))
+
+
 class Lexicon:
     """The head of the vocabulary: counts, classes and feature rows of its words, by hash."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, n: int, v: int):
+        self.size = rows_for(n)
         order = np.argsort(words)
         self.words, self.counts, self.n, self.v = words[order], counts[order].astype(np.float64), n, v
         # Classes: by rank, each with about an equal share of all tokens; the last is for words outside the head.
@@ -93,7 +116,7 @@ class Lexicon:
         by_rank = np.minimum(np.arange(len(rank)), (share * (CLASSES - 1)).astype(np.int64)) if len(rank) else rank
         by_rank = np.minimum(np.unique(by_rank, return_inverse=True)[1], CLASSES - 2) if len(rank) else rank
         self.classes = by_rank[rank].astype(np.uint8)
-        self.rows = np.minimum(rank, ROWS // 2 + mix(self.words).astype(np.int64) % (ROWS // 2)) if len(rank) else rank
+        self.rows = np.where(rank < self.size // 2, rank, self.hashed_rows(self.words)) if len(rank) else rank
         # The smoothed frequency of a word within its class; what isn't in the head shares the last class's rest.
         size = np.bincount(self.classes, minlength=CLASSES).astype(np.float64)
         total = np.bincount(self.classes, weights=self.counts, minlength=CLASSES)
@@ -101,7 +124,15 @@ class Lexicon:
         self.mass = total + SMOOTH * size
         self.log_in_class = np.log10(self.counts + SMOOTH) - np.log10(self.mass[self.classes]) if len(rank) else self.counts
         self.log_base = np.log10(self.counts + SMOOTH)
-        self.class_log = np.log(np.maximum(self.mass / self.mass.sum(), 1e-12))
+        # Of empty classes none is expected.
+        self.class_log = np.where(self.mass > 0, np.log(np.where(self.mass > 0, self.mass, 1) / self.mass.sum()), -1e4).astype(np.float32)
+        # How much of each class lies in each column.
+        self.share = np.zeros((CLASSES, COLUMNS))
+        if len(rank):
+            np.add.at(self.share, (self.classes, columns(self.rows)), 10**self.log_in_class)
+
+    def hashed_rows(self, words: np.ndarray) -> np.ndarray:
+        return self.size // 2 + (mix(words) % np.uint64(self.size // 2)).astype(np.int64)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each hash stands, and whether it is in the head."""
@@ -123,7 +154,7 @@ def encode(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             for first, hashes, edge in _texts(batch, 2):
                 at, head = lexicon.find(hashes)
                 kind = np.where(head, lexicon.classes[at] if len(lexicon.classes) else 0, CLASSES - 1).astype(np.uint8)
-                row = np.where(head, lexicon.rows[at] if len(lexicon.rows) else 0, ROWS // 2 + mix(hashes).astype(np.int64) % (ROWS // 2)).astype(np.uint16)
+                row = np.where(head, lexicon.rows[at] if len(lexicon.rows) else 0, lexicon.hashed_rows(hashes)).astype(np.uint32)
                 log_base = np.where(head, lexicon.log_base[at], 0) if len(lexicon.words) else np.zeros(len(at))
                 log_inner = np.where(head, lexicon.log_in_class[at], 0) if len(lexicon.words) else np.zeros(len(at))
                 for d, (a, b) in enumerate(zip([0, *edge[:-1]], edge, strict=True)):
@@ -149,40 +180,47 @@ def encode(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 ENCODED = "doc_id long, held_out boolean, n_tokens long, known long, base double, inner double, classes binary, features binary, words array<long>, counts array<int>"
 
 
-def histories(features: np.ndarray) -> np.ndarray:
+def columns(rows: np.ndarray) -> np.ndarray:
+    """The column of a word with such a row; the commonest words have columns of their own."""
+    half = COLUMNS // 2
+    return np.where(rows < half, rows, half + rows % half)
+
+
+def histories(features: np.ndarray, size: int) -> np.ndarray:
     """The history of each token of one text: the rows of the two words before it; before its first stands the last row."""
-    one = np.append(ROWS - 1, features[:-1]).astype(np.int32)
-    return one * ROWS + np.append(ROWS - 1, one[:-1])
+    one = np.append(size - 1, features[:-1]).astype(np.int64)
+    return one * size + np.append(size - 1, one[:-1])
 
 
-def feature_rows(history: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the three features: the previous word, the one before it, both."""
-    one, two = np.divmod(history, ROWS)
-    return one, two, (mix(history.astype(np.uint64)) % np.uint64(ROWS)).astype(np.int32)
+def feature_rows(history: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the three features, which follow each other: the previous word, the one before it, both."""
+    one, two = np.divmod(history, size)
+    return one, size + two, 2 * size + (mix(history.astype(np.uint64)) % np.uint64(PAIRS * size)).astype(np.int64)
 
 
-def _gathered(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text of each token, its class, its history) for some texts at a time, a long one in parts."""
+def _gathered(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text of each token, its class, its column, its history) for some texts at a time, a long one in parts."""
     held: list[tuple] = []
-    size = 0
+    tokens = 0
     for i, (c, f) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-        kinds, before = np.frombuffer(c, np.uint8), histories(np.frombuffer(f, np.uint16))
+        kinds, rows = np.frombuffer(c, np.uint8), np.frombuffer(f, np.uint32)
+        before, column = histories(rows, size), columns(rows)
         for a in range(0, len(kinds), BATCH):
-            held.append((np.full(len(kinds[a : a + BATCH]), i), kinds[a : a + BATCH], before[a : a + BATCH]))
-            size += len(held[-1][0])
-            if size >= BATCH:
+            held.append((np.full(len(kinds[a : a + BATCH]), i), *(x[a : a + BATCH] for x in (kinds, column, before))))
+            tokens += len(held[-1][0])
+            if tokens >= BATCH:
                 yield tuple(map(np.concatenate, zip(*held, strict=True)))
-                held, size = [], 0
+                held, tokens = [], 0
     if held:
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def class_probabilities(weights: np.ndarray, bias: np.ndarray, history: np.ndarray) -> np.ndarray:
+def class_probabilities(weights: np.ndarray, bias: np.ndarray, history: np.ndarray, size: int) -> np.ndarray:
     """Softmax over classes for each history, in float32."""
-    rows = feature_rows(history)
-    scores = weights[0].take(rows[0], axis=0)
-    for k in range(1, KINDS):
-        scores += weights[k].take(rows[k], axis=0)
+    one, *others = feature_rows(history, size)
+    scores = weights.take(one, axis=0)
+    for rows in others:
+        scores += weights.take(rows, axis=0)
     scores += bias
     scores -= scores.max(axis=1, keepdims=True)
     np.exp(scores, out=scores)
@@ -190,94 +228,150 @@ def class_probabilities(weights: np.ndarray, bias: np.ndarray, history: np.ndarr
     return scores
 
 
-def _added(sums: DataFrame) -> np.ndarray:
-    return _sums.added(sums, KINDS * ROWS * CLASSES).astype(np.float32).reshape(KINDS, ROWS, CLASSES)
+def normalisers(inner: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """What the words of each class sum to after each row of the previous word; 1 where a class has no word of the head."""
+    return np.where(share.sum(1) > 0, np.exp(inner) @ share.T, 1.0)
 
 
-def observed_counts(encoded: DataFrame) -> np.ndarray:
-    """How often each feature stood before each class."""
+def observed_counts(encoded: DataFrame, size: int, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each feature stood before each class, and each row of the previous word before each column of the head."""
+    classes, inner = (2 + PAIRS) * size * CLASSES, size * COLUMNS
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((KINDS, ROWS * CLASSES)), 0
+        total, n = np.zeros(classes + inner), 0
         for batch in batches:
-            for _, kinds, before in _gathered(batch):
+            for _, kinds, column, before in _gathered(batch, size):
                 n += len(kinds)
-                for k, rows in enumerate(feature_rows(before)):
-                    total[k] += np.bincount(rows * CLASSES + kinds, minlength=ROWS * CLASSES)
+                rows = feature_rows(before, size)
+                for r in rows:
+                    at, times = np.unique(r * CLASSES + kinds, return_counts=True)
+                    total[at] += times
+                head = kinds < CLASSES - 1
+                at, times = np.unique(rows[0][head] * COLUMNS + column[head], return_counts=True)
+                total[classes + at] += times
         if n:
             yield _sums.batch(total)
 
-    return _added(encoded.select("classes", "features").mapInArrow(sums, _sums.SCHEMA))
+    tasks = max(1, math.ceil(tokens / (TOKENS * (classes + inner))))
+    total = _sums.added(encoded.select("classes", "features").coalesce(tasks).mapInArrow(sums, _sums.SCHEMA), classes + inner)
+    return total[:classes].reshape(-1, CLASSES), total[classes:].reshape(size, COLUMNS)
 
 
-def history_counts(encoded: DataFrame) -> DataFrame:
-    """history, n: how often each history occurs; counted within a task's batches first."""
+def history_counts(encoded: DataFrame, size: int) -> DataFrame:
+    """history, n: how often each history occurs; counted within a task first, as far as it holds them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(ROWS * ROWS, np.int32)
+        keys, times = np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            found, at = np.unique(np.concatenate([keys, *(k for k, _ in held)]), return_inverse=True)
+            return found, np.bincount(at, weights=np.concatenate([times, *(n for _, n in held)]), minlength=len(found)).astype(np.int64)
+
         for batch in batches:
-            for _, _, before in _gathered(batch):
-                found, n = np.unique(before, return_counts=True)
-                total[found] += n.astype(np.int32)
-        found = np.flatnonzero(total)
-        for a in range(0, len(found), BATCH):
-            some = found[a : a + BATCH]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))], names=["history", "n"])
+            for *_, before in _gathered(batch, size):
+                held.append(np.unique(before, return_counts=True))
+                if sum(len(k) for k, _ in held) >= HELD:
+                    keys, times = merged()
+                    held = []
+                    if len(keys) >= HELD:
+                        yield from _counted(keys, times)
+                        keys, times = keys[:0], times[:0]
+        yield from _counted(*merged())
+
+    return encoded.select("classes", "features").mapInArrow(count, "history long, n long").groupBy("history").agg(F.sum("n").alias("n"))
+
 
-    return encoded.select("classes", "features").mapInArrow(count, "history int, n long").groupBy("history").agg(F.sum("n").alias("n"))
+def _counted(keys: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(keys), BATCH):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + BATCH]), pa.array(times[a : a + BATCH])], names=["history", "n"])
 
 
-def expected_counts(counted: DataFrame, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+def expected_counts(counted: DataFrame, weights: np.ndarray, bias: np.ndarray, size: int) -> np.ndarray:
     """How often the model expects each class after each feature."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, some = np.zeros((KINDS, ROWS, CLASSES)), 0
+        total, some = np.zeros(weights.shape), 0
         for batch in batches:
             history, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a in range(0, len(history), SCORES):
                 own = history[a : a + SCORES]
-                p = class_probabilities(weights, bias, own) * n[a : a + SCORES, None]
+                p = class_probabilities(weights, bias, own, size) * n[a : a + SCORES, None]
                 some += len(own)
-                for k, rows in enumerate(feature_rows(own)):
-                    order = np.argsort(rows.astype(np.uint16), kind="stable")
+                for rows in feature_rows(own, size):
+                    order = np.argsort(rows, kind="stable")
                     ranked = rows[order]
                     cut = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-                    total[k, ranked[cut]] += np.add.reduceat(p[order], cut, axis=0)
+                    total[ranked[cut]] += np.add.reduceat(p[order], cut, axis=0)
         if some:
             yield _sums.batch(total)
 
-    return _added(counted.mapInArrow(sums, _sums.SCHEMA))
+    return _sums.added(counted.mapInArrow(sums, _sums.SCHEMA), weights.size).reshape(weights.shape)
 
 
-def train(encoded: DataFrame, bias: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after some gradient updates from zero; a step is scaled by the expected counts (as the log of observed over
-    expected), shared by the features that are active together, and bounded."""
-    observed, counted = observed_counts(encoded), written(history_counts(encoded), "histories")
-    weights = np.zeros((KINDS, ROWS, CLASSES), np.float32)
-    for _ in range(rounds):
-        step = np.log((observed + 1.0) / (expected_counts(counted, weights, bias) + 1.0)) / KINDS
-        weights = weights + np.clip(step, -2, 2).astype(np.float32)
-    return weights
+def update(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray, rate: float) -> np.ndarray:
+    """Weights after one step up the penalised log-likelihood."""
+    gradient = observed - expected - PRIOR * weights
+    return weights + np.clip(rate * gradient / (expected + PRIOR), -0.7, 0.7).astype(weights.dtype)
 
 
-def score_texts(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row."""
-    rows = docs.select(F.col("doc_id").cast("long"), held_out(FOLDS, HELD_OUT).alias("held_out"), "text")
+def train_inner(observed: np.ndarray, after: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weights of columns after each row; after holds how often each class of the head stood after each row."""
+    inner = np.zeros(observed.shape)
+    for _ in range(INNER_ROUNDS):
+        expected = np.exp(inner) * ((after / normalisers(inner, share)) @ share)
+        inner = update(inner, observed, expected, 1.0)
+    return inner
+
+
+def train(encoded: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of classes after each feature, and of columns after each row of the previous word."""
+    size = lexicon.size
+    observed, columns_seen = observed_counts(encoded, size, lexicon.n)
+    counted, at = written_at(history_counts(encoded, size), "histories")
+    weights = np.zeros(observed.shape, np.float32)
+    for _ in range(rounds):
+        weights = update(weights, observed, expected_counts(counted, weights, lexicon.class_log, size), 1 / KINDS)
+    deleted(at)
+    after = np.where(np.arange(CLASSES) < CLASSES - 1, observed[:size], 0)
+    return weights, train_inner(columns_seen, after, lexicon.share)
+
+
+def token_logs(lexicon: Lexicon, weights: np.ndarray, inner: np.ndarray, norm: np.ndarray, kinds: np.ndarray, column: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """log10 of P(class | history) P(word | class, history) over the word's frequency in its class, for each token."""
+    found, at = np.unique(before, return_inverse=True)
+    logs = np.empty(len(before))
+    order = np.argsort(at, kind="stable")
+    edges = np.searchsorted(at[order], np.arange(0, len(found) + SCORES, SCORES))
+    for i, a in enumerate(range(0, len(found), SCORES)):
+        own = order[edges[i] : edges[i + 1]]
+        p = class_probabilities(weights, lexicon.class_log, found[a : a + SCORES], lexicon.size)
+        logs[own] = np.log10(np.maximum(p[at[own] - a, kinds[own]], 1e-30))
+    one = before // lexicon.size
+    return logs + np.where(kinds < CLASSES - 1, (inner[one, column] - np.log(norm[one, kinds])) / math.log(10), 0)
+
+
+def fit(rows: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, Lexicon, np.ndarray, np.ndarray]:
+    """The vocabulary of the rows (held_out, text and doc_id) that are not held out, all rows encoded, and the model."""
     vocab = written(vocabulary(rows.filter("not held_out").select("text")), "vocabulary")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = most_frequent(vocab, head).toArrow()
     lexicon = Lexicon(top["word"].to_numpy().view(np.uint64), top["c"].to_numpy(), n, v)
     encoded = written(encode(rows, lexicon).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    bias = lexicon.class_log.astype(np.float32)
-    weights = train(encoded.filter("not held_out"), bias, rounds)
+    return vocab, encoded, lexicon, *train(encoded.filter("not held_out"), lexicon, rounds)
+
+
+def score_texts(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row."""
+    rows = docs.select(F.col("doc_id").cast("long"), held_out(FOLDS, HELD_OUT).alias("held_out"), "text")
+    vocab, encoded, lexicon, weights, inner = fit(rows, head, rounds)
+    n, v, norm = lexicon.n, lexicon.v, normalisers(inner, lexicon.share)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total = np.zeros(batch.num_rows)
-            for text, kinds, before in _gathered(batch):
-                found, at = np.unique(before, return_inverse=True)
-                logs = np.concatenate([np.log10(np.maximum(class_probabilities(weights, bias, found[a : a + SCORES]), 1e-30)) for a in range(0, len(found), SCORES)])
-                total += np.bincount(text, weights=logs.ravel().take(at * CLASSES + kinds), minlength=len(total))
+            for text, kinds, column, before in _gathered(batch, lexicon.size):
+                total += np.bincount(text, weights=token_logs(lexicon, weights, inner, norm, kinds, column, before), minlength=len(total))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(2, batch.num_columns)), pa.array(total)], names=[*batch.schema.names[2:], "class_score"])
 
     kept = ("row", "doc_id", "held_out", "n_tokens", "known", "base", "inner")

@@ -210,14 +210,62 @@ def test_language_model(spark, sf_dir):
             assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_language_model_sums_to_one(spark):
-    """Over the vocabulary and one unknown word, the probabilities of what follows a history add up to 1."""
-    docs = spark.createDataFrame([(i, " ".join(random.Random(i).choices("abcdefg", k=30))) for i in range(1, 40)], DOCS)
-    words = [*"abcdefg", "zz", ""]
-    asked = spark.createDataFrame([(10_000 + i, f"a b {w}".strip()) for i, w in enumerate(words)], DOCS)
-    held = [r.doc_id for r in asked.collect() if zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
-    found = {r.doc_id: r.score for r in langmodel.score_texts(docs.unionByName(asked), rounds=2).collect()}
-    assert all(x < 0 for x in found.values()) and len(held) <= len(words)
+def word_probabilities(lexicon, weights, inner, counts, hashes, one, two):
+    """P(word | history) of each counted word and of one unknown, by definition; one and two are the rows of the history."""
+    size, last = lexicon.size, langmodel.CLASSES - 1
+    pair = 2 * size + int(langmodel.mix(np.array([one * size + two], np.uint64))[0]) % (langmodel.PAIRS * size)
+    scores = [math.exp(min(700, lexicon.class_log[c] + sum(float(weights[r, c]) for r in (one, size + two, pair)))) for c in range(langmodel.CLASSES)]
+    classes = [x / sum(scores) for x in scores]
+    head = {int(w): (int(c), int(r)) for w, c, r in zip(lexicon.words, lexicon.classes, lexicon.rows, strict=True)}
+    place = {w: head.get(int(h), (last, -1)) for w, h in hashes.items()}
+    column = lambda r: r if r < langmodel.COLUMNS // 2 else langmodel.COLUMNS // 2 + r % (langmodel.COLUMNS // 2)
+    value = {w: (counts[w] + 0.1) * (1 if r < 0 else math.exp(inner[one, column(r)])) for w, (_, r) in place.items()}
+    value["unknown"], place["unknown"] = 0.1, (last, -1)
+    total = Counter()
+    for w, (c, _) in place.items():
+        total[c] += value[w]
+    return {w: classes[c] * value[w] / total[c] for w, (c, _) in place.items()}
+
+
+@pytest.mark.parametrize("head", [langmodel.HEAD, 40])
+def test_language_model_probabilities(spark, head):
+    """What follows any history adds up to 1, and a text's score is the product of these probabilities."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    docs = []
+    for i in range(1, 120):
+        words = [rng.choice(vocabulary)]
+        for _ in range(rng.randrange(1, 60)):
+            words.append(vocabulary[(vocabulary.index(words[-1]) * 7 + rng.choice([1, 1, 1, 2, rng.randrange(300)])) % 300])
+        docs.append((i, " ".join(words)))
+    table = spark.createDataFrame(docs, DOCS)
+    training = [text for i, text in docs if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(w for text in training for w in [*text.split(), None])
+    raw = lambda w: np.frombuffer(w.encode(), np.uint8)
+    hashes = {w: langmodel.END if w is None else langmodel.word_hashes(w.encode(), np.array([0]), np.array([len(raw(w))]))[0] for w in counts}
+    rows = table.select("doc_id", langmodel.held_out(10, 0).alias("held_out"), "text")
+    _, _, lexicon, weights, inner = langmodel.fit(rows, head)
+    assert np.abs(weights).max() > 0.1 and np.abs(inner).max() > 0.1 and (len(lexicon.words) == len(counts)) == (head == langmodel.HEAD)
+
+    row = {w: int(lexicon.rows[lexicon.find(np.array([h]))[0][0]]) if lexicon.find(np.array([h]))[1][0] else int(lexicon.hashed_rows(np.array([h]))[0]) for w, h in hashes.items()}
+    found = {r.doc_id: r for r in langmodel.score_texts(table, head).collect()}
+    asked = [(i, text) for i, text in docs if i % 6 == 0 and all(w in counts for w in text.split())]
+    assert len(asked) > 5
+    for i, text in asked:
+        words, one, two, score = [*text.split(), None], lexicon.size - 1, lexicon.size - 1, 0.0
+        for w in words:
+            p = word_probabilities(lexicon, weights, inner, counts, hashes, one, two)
+            assert math.isclose(sum(p.values()), 1, rel_tol=1e-5)
+            score += math.log10(p[w])
+            one, two = row[w], one
+        assert math.isclose(found[i].score, score, rel_tol=1e-4)
+    held = [r for r in found.values() if r.held_out]
+    assert sum(r.score - r.base_score for r in held) > (0.1 if head == langmodel.HEAD else 0) * sum(r.n_tokens for r in held)
+
+
+def test_language_model_grows():
+    """Rows follow the cube root of the tokens, and go on doing so."""
+    assert [langmodel.rows_for(n) for n in (0, 10**5, 10**8, 5 * 10**9, 10**13)] == [256, 256, 2048, 8192, 131072]
 
 
 def test_toxicity_holds_out(spark):
