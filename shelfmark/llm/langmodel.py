@@ -57,7 +57,7 @@ INNER_ROUNDS = 20
 #: Training tokens for each weight that a task counts observations for.
 TOKENS = 4
 #: Tokens that are looked at together, distinct histories held in a task, and those whose scores are in memory at once.
-BATCH, HELD, SCORES = 1 << 18, 1 << 22, 1 << 13
+BATCH, HELD, SCORES = 1 << 18, 1 << 19, 1 << 13
 #: The end token's hash; words' hashes are of their bytes.
 END = np.uint64(0x51AB5EED0E4D0001)
 
