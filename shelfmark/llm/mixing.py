@@ -156,7 +156,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weights(name: str, weights: Mapping[str, int]) -> str:
-    return f"CASE {name} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 0 END"
+    return f"CASE {name} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {UNLISTED[None]} END"
 
 
 def _level(nodes: str, family: str, out: str) -> str:
