@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontaminate, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
+from shelfmark.llm import bpe, decontaminate, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.op8_secrets,
     "op9_language_model": langmodel.op9_language_model,
     "op10_quality": quality.op10_quality,
+    "op11_bpe": bpe.op11_bpe,
 }
 
 ORACLES: dict[str, str] = {
