@@ -27,7 +27,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import ahocorasick
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -225,16 +225,15 @@ class _Memo(dict):
         return found
 
 
-def _mapped(rows: DataFrame, column: str, kind: T.DataType, make, size) -> DataFrame:
-    """rows with one more column, made of each batch in pieces of bounded size; a column of that name is replaced."""
-    kept = [c for c in rows.columns if c != column]
+def _mapped(rows: DataFrame, source: Column, column: str, kind: T.DataType, make: Callable, size: Callable) -> DataFrame:
+    """rows with one more column, made from the source in batches of bounded size; a column of that name is replaced."""
+    kept, last = [c for c in rows.columns if c != column], "_" * (1 + max(map(len, rows.columns)))
     schema = T.StructType([*rows.select(*kept).schema.fields, T.StructField(column, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, held, total = 0, [], 0
-            source = batch.column(batch.num_columns - 1)
-            for i, value in enumerate(source):
+            for i, value in enumerate(batch.column(batch.num_columns - 1)):
                 held.append(make(value))
                 total += size(held[-1])
                 if total >= BATCH or i == batch.num_rows - 1:
@@ -242,7 +241,7 @@ def _mapped(rows: DataFrame, column: str, kind: T.DataType, make, size) -> DataF
                     yield pa.RecordBatch.from_arrays([*own.columns[:-1], _column(held, kind)], names=[*kept, column])
                     first, held, total = i + 1, [], 0
 
-    return rows.select(*kept, "_source").mapInArrow(run, schema)
+    return rows.select(*kept, source.alias(last)).mapInArrow(run, schema)
 
 
 def _column(held: list, kind: T.DataType) -> pa.Array:
@@ -255,8 +254,7 @@ def _column(held: list, kind: T.DataType) -> pa.Array:
 def encode_texts(rows: DataFrame, path: str = VOCABULARY, text: str = "text", ids: str = "ids") -> DataFrame:
     """rows with the token ids of each text."""
     sent = rows.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path)))
-    source = rows.drop("_source").withColumn("_source", rows[text].cast("string"))
-    return _mapped(source, ids, T.ArrayType(T.IntegerType()), lambda x: sent.value.encode(x.as_py() or ""), len)
+    return _mapped(rows, F.col(text).cast("string"), ids, T.ArrayType(T.IntegerType()), lambda x: sent.value.encode(x.as_py() or ""), len)
 
 
 def decode_ids(rows: DataFrame, path: str = VOCABULARY, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -268,8 +266,7 @@ def decode_ids(rows: DataFrame, path: str = VOCABULARY, ids: str = "ids", decode
         own = value.values.to_pylist() if value.is_valid else [None]
         return None if None in own else b"".join(map(sent.value.__getitem__, own))
 
-    source = rows.drop("_source").withColumn("_source", rows[ids].cast("array<int>"))
-    return _mapped(source, decoded, T.BinaryType(), make, lambda x: len(x or b""))
+    return _mapped(rows, F.col(ids).cast("array<int>"), decoded, T.BinaryType(), make, lambda x: len(x or b""))
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

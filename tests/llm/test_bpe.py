@@ -78,7 +78,7 @@ def test_odd_rows(spark):
     rows = [(1, "plain"), (1, "plain"), (2, None), (3, ""), (None, "no id 😀"), (4, long)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"ids": F.lit("mine"), "_source": F.lit("mine"), "decoded": F.lit("mine")})
     encoded = bpe.encode_texts(docs)
-    assert encoded.columns == ["doc_id", "text", "decoded", "ids"]
+    assert encoded.columns == ["doc_id", "text", "_source", "decoded", "ids"]
     found = bpe.decode_ids(encoded).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in found) == sorted((d or 0, t or "") for d, t in rows)
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in found)
