@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, decontaminate, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
+from shelfmark.llm import bpe, decontaminate, divergence, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_model": langmodel.op9_language_model,
     "op10_quality": quality.op10_quality,
     "op11_bpe": bpe.op11_bpe,
+    "op12_divergence": divergence.op12_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLES: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op6_mix_sources": mixing.oracle(),
     "op8_secrets": secrets.oracle(),
+    "op12_divergence": divergence.ORACLE,
 }
