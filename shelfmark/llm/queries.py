@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, decontaminate, divergence, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
+from shelfmark.llm import bpe, codes, decontaminate, divergence, jaccard, langmodel, licenses, mixing, neighbours, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality.op10_quality,
     "op11_bpe": bpe.op11_bpe,
     "op12_divergence": divergence.op12_divergence,
+    "op13_vector_codes": codes.op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -29,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op6_mix_sources": mixing.oracle(),
     "op8_secrets": secrets.oracle(),
     "op12_divergence": divergence.ORACLE,
+    "op13_vector_codes": codes.oracle(),
 }
