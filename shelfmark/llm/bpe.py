@@ -10,11 +10,11 @@ Two tokens are compatible if no merge crosses their border. What meets at the bo
 the first and the left edge of the second token; a part lives until the merge that takes it up. A crossing merge happens
 if it comes before both parts end (at equal rank the left one of two merges comes first). The answer is memoised.
 
-Longest matches come from an Aho-Corasick automaton over the tokens' bytes, mapped one to one to Latin-1 characters. Ranks must rise
+Longest matches come from a pyahocorasick trie of the tokens' bytes, mapped one to one to Latin-1 characters. Ranks must rise
 along merges, as in vocabularies that were trained; a token that merges can't reach is taken only where it is a whole piece.
 
 The vocabulary is read on the driver from a path that is a parameter, is a few MB at most by its number of tokens, and is
-broadcast; the automaton is built once in each worker. Texts stay where they are: nothing is shuffled.
+broadcast; the trie is built once in each worker. Texts stay where they are: nothing is shuffled.
 
 Nulls and edges: a null or empty text has no tokens; a null array of ids decodes to null; repeated rows are encoded
 each by itself; an empty table gives an empty result; a text is cut where a space follows other characters, which is
@@ -45,7 +45,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Characters of a text that are cut into pieces at once.
 STRETCH = 1 << 18
 #: Entries of a memo before it starts anew; longer pieces aren't kept.
-MEMO, MEMO_PIECE = 1 << 19, 64
+MEMO, MEMO_PIECE = 1 << 18, 64
 #: Ids or bytes of a batch that a task sends on.
 BATCH = 1 << 21
 
@@ -59,11 +59,14 @@ NEWER = (
 )
 _newer = "[" + "".join("-".join(f"\\U{int(x, 16):08x}" for x in pair.split("-")) for pair in NEWER.split()) + "]"
 _NEWER = regex.compile(_newer)
-#: From the first of them on; most texts hold none of these, which is quicker to see.
-_FAR = re.compile(f"[\\U{int(NEWER[:4], 16):08x}-\\U0010ffff]")
 _PIECE = regex.compile(public_tokenizers.PATTERN)
 #: The same pattern, where newer letters and numbers are neither.
 _OLDER = regex.compile("(?V1)" + regex.sub(r"\\p\{([LN])\}", lambda m: rf"[\p{{{m[1]}}}--{_newer}]", public_tokenizers.PATTERN))
+#: Texts without characters from here on (and so without newer ones) take the same pattern with its classes spelled out, which is quicker.
+_FAR = re.compile("[\u0250-\U0010ffff]")
+_near = {kind: "".join(re.escape(chr(c)) for c in range(0x250) if regex.match(rf"\p{{{kind}}}", chr(c))) for kind in "LN"}
+_spaces = "".join(re.escape(chr(c)) for c in range(0x250) if regex.match(r"\s", chr(c)))
+_NEAR = re.compile(re.sub(r"(?<!\[\^)\\([sS])", lambda m: f"[{'^' * (m[1] == 'S')}{_spaces}]", public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", "[^" + _spaces + _near["L"] + _near["N"] + "]").replace(r"\p{L}", f"[{_near['L']}]").replace(r"\p{N}", f"[{_near['N']}]")))
 _BORDER = regex.compile(r"(?<=\S)(?=\s)")
 
 
@@ -87,7 +90,8 @@ def stretches(text: str) -> Iterator[str]:
 
 def pieces(text: str) -> Iterator[str]:
     """Each match of the pattern."""
-    return chain.from_iterable((_OLDER if _FAR.search(part) and _NEWER.search(part) else _PIECE).findall(part) for part in stretches(text))
+    kind = lambda part: _NEAR if not _FAR.search(part) else _OLDER if _NEWER.search(part) else _PIECE
+    return chain.from_iterable(kind(part).findall(part) for part in stretches(text))
 
 
 class Vocabulary:
@@ -155,17 +159,20 @@ class Vocabulary:
         return self._token
 
     @property
-    def automaton(self) -> ahocorasick.Automaton:
-        """Over the tokens that merges reach."""
-        if "_automaton" not in self.__dict__:
-            self._automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            reached = {t: r for t, r in self.ids.items() if len(t) == 1 or r in self.parts}
+    def trie(self) -> ahocorasick.Automaton:
+        """Of the tokens that merges reach."""
+        if "_trie" not in self.__dict__:
+            reached = {t.decode("latin-1"): r for t, r in self.ids.items() if len(t) == 1 or r in self.parts}
+            self._trie = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            self._longest: dict[str, int] = {}
             for token, rank in reached.items():
-                self._automaton.add_word(token.decode("latin-1"), rank)
-            self._automaton.make_automaton()
+                self._trie.add_word(token, rank)
+                for n in range(1, len(token) + 1):  # what the trie finds is a beginning of some token; the longest token in that
+                    self._longest[token[:n]] = reached.get(token[:n], self._longest.get(token[: n - 1], -1))
             self._size = {r: len(t) for t, r in reached.items()}
-            self._shorter = {r: next((reached[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in reached), -1) for t, r in reached.items()}
-        return self._automaton
+            self._shorter = {r: self._longest.get(t[:-1], -1) for t, r in reached.items()}
+            self._widest = max(map(len, reached))
+        return self._trie
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
@@ -173,12 +180,11 @@ class Vocabulary:
             return [whole]
         if not piece:
             return []
-        matches, size, shorter, together = self.automaton.iter(piece.decode("latin-1")), self._size, self._shorter, self._together
-        longest = array("q", bytes(8 * len(piece)))
-        for end, token in matches:  # ends ascend, so the longest comes last
-            longest[end + 1 - size[token]] = token
+        prefix, longest, size, shorter, widest, together = self.trie.longest_prefix, self._longest, self._size, self._shorter, self._widest, self._together
+        text = piece.decode("latin-1")
         out: list[int] = []
-        at, last, token, alive = 0, -1, longest[0], bytearray(b"\x01") * (len(piece) + 1)
+        at, last, alive, ahead = 0, -1, bytearray(b"\x01") * (len(text) + 1), text[:widest]
+        token = longest[ahead[: prefix(ahead)]]
         while True:
             if alive[to := at + size[token]]:
                 fits = last < 0 or together.get(last << 32 | token)
@@ -186,9 +192,10 @@ class Vocabulary:
                     fits = self.compatible(last, token)
                 if fits:
                     out.append(token)
-                    if to == len(piece):
+                    if to == len(text):
                         return out
-                    at, last, token = to, token, longest[to]
+                    at, last, ahead = to, token, text[to : to + widest]
+                    token = longest[ahead[: prefix(ahead)]]
                     continue
             token = shorter[token]
             while token < 0:
@@ -202,24 +209,24 @@ class Vocabulary:
             self._memo = _Memo(self)
         return self._memo
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.encoder().__getitem__, pieces(text))))
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.encoder().__getitem__, pieces(text))), np.int32)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
 class _Memo(dict):
-    """The ids of pieces that came before."""
+    """The ids of pieces that came before, as the bytes of 32-bit integers."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, piece: str) -> list[int]:
-        found = self.vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))
+    def __missing__(self, piece: str) -> bytes:
+        found = array("i", self.vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass"))).tobytes()
         if len(piece) <= MEMO_PIECE:
-            if len(self) >= MEMO:
+            if len(self) >= 2 * MEMO:
                 self.clear()
             self[piece] = found
         return found
@@ -248,7 +255,7 @@ def _column(held: list, kind: T.DataType) -> pa.Array:
     if isinstance(kind, T.BinaryType):
         return pa.array(held, pa.binary())
     offsets = np.cumsum([0, *map(len, held)])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.fromiter(chain.from_iterable(held), np.int32, int(offsets[-1]))))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(held)))
 
 
 def encode_texts(rows: DataFrame, path: str = VOCABULARY, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -259,12 +266,12 @@ def encode_texts(rows: DataFrame, path: str = VOCABULARY, text: str = "text", id
 
 def decode_ids(rows: DataFrame, path: str = VOCABULARY, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """rows with the bytes that each array of ids stands for; a null array or id gives null."""
-    token = {rank: token for token, rank in read_ranks(path).items()}
-    sent = rows.sparkSession.sparkContext.broadcast(token)
+    sent = rows.sparkSession.sparkContext.broadcast({rank: token for token, rank in read_ranks(path).items()})
 
     def make(value: pa.Scalar) -> bytes | None:
-        own = value.values.to_pylist() if value.is_valid else [None]
-        return None if None in own else b"".join(map(sent.value.__getitem__, own))
+        if not value.is_valid or value.values.null_count:
+            return None
+        return b"".join(map(sent.value.__getitem__, value.values.to_numpy().tolist()))
 
     return _mapped(rows, F.col(ids).cast("array<int>"), decoded, T.BinaryType(), make, lambda x: len(x or b""))
 
