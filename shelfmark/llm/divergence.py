@@ -36,6 +36,8 @@ from shelfmark.llm._session import table, written
 SCALE, MIN_DOCS, TOP = 1_000_000_000, 10, 10
 #: Counters of a task before they are sent on, bytes of a text that are cut into words at once, node-ancestor pairs at once.
 MOST, STRETCH, PAIRS = 1 << 19, 1 << 22, 1 << 20
+#: Paths are dealt to partitions of so many, and to at most so many, as Spark samples each partition's paths on the driver.
+RANGE_ROWS, RANGES = 20_000, 1024
 
 #: A-Z to lower case; letters and bytes of other characters stay, all else separates.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -109,10 +111,10 @@ def groups_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return written(numbered.withColumn("p0", share("0", "size", "terms")), "source-groups")
 
 
-def paths_of(shares: DataFrame) -> DataFrame:
+def paths_of(shares: DataFrame, ranges: int) -> DataFrame:
     """lang, path, m: the distinct term rows in tree order within each partition, and how many terms have each."""
     rows = shares.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("idx", "p", "p0"))).alias("path")).filter(F.size("path") > 1)
-    return rows.groupBy("lang", "path").agg(F.count("*").alias("m")).repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    return rows.groupBy("lang", "path").agg(F.count("*").alias("m")).repartitionByRange(ranges, "lang", "path").sortWithinPartitions("lang", "path")
 
 
 def tree_nodes(lang: np.ndarray, offsets: np.ndarray, items: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +164,7 @@ def _batch(held: dict[tuple[str, int, int], int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(list(held.values()), pa.int64())], names=["lang", "lo", "hi", "value"])
 
 
-def shared_terms(shares: DataFrame) -> DataFrame:
+def shared_terms(shares: DataFrame, ranges: int) -> DataFrame:
     """lang, lo, hi, value: the corrections of pairs of sources, from the trees of the partitions; to be added up."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +192,7 @@ def shared_terms(shares: DataFrame) -> DataFrame:
                     held = {}
         yield _batch(held)
 
-    return paths_of(shares).mapInArrow(walk, SUMS)
+    return paths_of(shares, ranges).mapInArrow(walk, SUMS)
 
 
 def own_terms(shares: DataFrame, groups: DataFrame) -> DataFrame:
@@ -222,7 +224,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
     groups = groups_of(docs, kept)
     cells = kept.select("lang", "term", "total", F.explode("cells").alias("c")).select("lang", "term", "total", "c.*")
     shares = cells.join(groups, ["lang", "source"]).withColumn("p", share("n", "size", "terms")).withColumn("q", share("total", "lang_size", "terms"))
-    sums = shared_terms(shares).unionByName(own_terms(shares, groups)).groupBy("lang", "lo", "hi").agg(F.sum("value").alias("value"))
+    sums = shared_terms(shares, min(RANGES, 1 + kept.count() // RANGE_ROWS)).unionByName(own_terms(shares, groups)).groupBy("lang", "lo", "hi").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("hi").alias("b")), F.struct(F.col("hi").alias("a"), F.col("lo").alias("b"))))
     named = lambda idx, name: groups.select("lang", F.col("idx").alias(idx), F.col("source").alias(name))
     pairs = sums.select("lang", "value", both.alias("x")).select("lang", "value", "x.*").join(named("a", "source"), ["lang", "a"]).join(named("b", "item"), ["lang", "b"])
