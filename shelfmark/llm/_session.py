@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; one of our own only where none is set and driver and executors are one machine, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """spark.checkpoint.dir, as Spark qualified it (a path without a scheme is the default file system's); one of our own only where none is set and driver and executors are one machine, as in tests."""
+    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")

@@ -191,7 +191,7 @@ def _parts(items: DataFrame, part_bytes: int) -> Iterator[Index]:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / part_bytes))
     for i in range(n):
-        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
+        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i)  # all texts of an id, so that its best match is one row
         yield Index([(r.item_id, r.text) for r in sorted(part.collect(), key=lambda r: (r.item_id is None, r.item_id, r.text))])
 
 

@@ -450,15 +450,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, hot: int
 
 def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, with the columns it had: the one with the smallest id, of rows with one id or none
-    the one with the smallest hash of its text. Rows of one id in different components all stay. Texts without words are
-    no copies of each other; they stay, one for each id and text."""
+    the one with the smallest hash of its text, and of those that are equal in both the one with the smallest hash of all its columns
+    (but maps), whatever their order. Rows of one id in different components all stay. Texts without words are no copies of each
+    other; they stay, one for each id and text."""
     key = ["_none", "_id", "_node"]  # no id comes last
     keyed = lambda node: (F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), node.alias("_node"))
     rows, texts = members(docs, k, percent, HOT)
     named = texts.filter("n > 0 and name.node = node").select(*keyed(F.col("node")))
     first = named.unionByName(rows.filter("n = 0").select(*keyed(F.col("node"))).distinct())
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *keyed(node_of()))  # apart from our columns
-    kept = own.dropDuplicates(key).join(first, key, "left_semi")
+    plain = [F.col("_row").getField(f.name) for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    kept = own.join(first, key, "left_semi").groupBy(*key).agg(F.min_by("_row", F.xxhash64(*plain)).alias("_row"))
     return kept.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
 

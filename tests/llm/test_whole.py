@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from shelfmark.llm import decontaminate, jaccard, licenses, mixing, secrets
 
 DOCS = "doc_id long, text string"
@@ -95,3 +97,27 @@ def test_leaves_without_a_listed_name_get_budget(spark):
     rows = [(i, "w", lang, source) for i, (lang, source) in enumerate([("en", "src0"), ("it", "src0"), (None, "src1"), ("de", "wiki"), ("en", None)] * 400)]
     found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), percent=100).collect()
     assert {(r.lang, r.source) for r in found} == {(lang, source) for _, _, lang, source in rows}
+
+
+def test_matches_do_not_follow_the_size_of_parts(spark):
+    """Ids that repeat, with other texts or without an id, over one part and over many."""
+    rng = random.Random(11)
+    texts = [" ".join(f"p{rng.randrange(5000)}" for _ in range(rng.randrange(8, 30))) for _ in range(24)]
+    items = [(i % 5 if i % 7 else None, t) for i, t in enumerate(texts)]
+    docs = [(d, " ".join(["before", *rng.sample(texts, 4), "after"])) for d in range(30)]
+    table, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    found = [sorted(map(repr, decontaminate.find_matches(table, bench, size).collect())) for size in (1 << 25, 2000, 500)]
+    assert len(found[0]) > 50 and all(f == found[0] for f in found)
+    assert len({(r.doc_id, r.item_id) for r in decontaminate.find_matches(table, bench, 2000).collect()}) == len(found[0])
+
+
+def test_survivor_does_not_follow_the_order_of_rows(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i % 3, text if i % 2 else text + " more", lang, i % 4) for i in range(24) for lang in ("en", "de", None)]
+    rows += [(None, "other words of a text that stands alone here", lang, None) for lang in ("fr", "it")]
+    kept = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, x int").withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+        kept.append(sorted(map(repr, jaccard.drop_near_copies(frame.repartition(1 + 2 * seed)).collect())))
+    assert len(kept[0]) == 2 and kept[0] == kept[1] == kept[2]
