@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import decontaminate, jaccard, mixing, quality, secrets
-from shelfmark.llm._session import table, written
+from shelfmark.llm._session import deleted, table, written_at
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,7 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs, path = written_at(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        if before:
+            deleted(before)  # nothing reads the stage before any more
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
