@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def from_others(events: DataFrame, source_id: str, own: str) -> DataFrame:
@@ -50,23 +46,3 @@ def optimistic_counts(events: DataFrame, keys: list[str], order: list[str], from
     joined = events.join(set_last, keys, "left")
     added = F.when(F.col(from_form) & F.coalesce(at > F.col("_set.at"), F.lit(True)), F.col(change)).otherwise(0)
     return joined.groupBy(*keys).agg((F.coalesce(F.max("_set.v"), F.lit(0)) + F.sum(added)).alias("count"))
-
-
-def throttled(events: DataFrame, key: str, ts: str, delay_ms: int, value: str) -> DataFrame:
-    """The first event of each key, then one as soon as the delay since the last one let through is over (streaming)."""
-
-    def through(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        out = []
-        rows = pd.concat(list(batches)).sort_values(ts)
-        for at, v in zip(rows[ts], rows[value], strict=True):
-            now = int(at.timestamp() * 1000)
-            if last is None or now - last >= delay_ms:
-                last = now
-                out.append((keys[0], at, v))
-        state.update((last,))
-        yield pd.DataFrame(out, columns=[key, ts, value])
-
-    kind = {f.name: f.dataType.simpleString() for f in events.schema}
-    schema = f"{key} {kind[key]}, {ts} {kind[ts]}, {value} {kind[value]}"
-    return events.groupBy(key).applyInPandasWithState(through, schema, "last long", "append", GroupStateTimeout.NoTimeout)

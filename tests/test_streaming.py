@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfmark.operators import curation
-from shelfmark.streaming import folds
+from shelfmark.sources.store import drain
+from shelfmark.streaming import folds, ordered
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -28,9 +29,10 @@ def drained(stream, name, mode):
 
 def test_throttle_lets_the_leading_event_through(spark, tmp_path):
     at = lambda ms: T0 + dt.timedelta(milliseconds=ms)
-    rows = [("a", at(0), 1), ("a", at(50), 2), ("a", at(120), 3), ("b", at(10), 4)]
-    stream = stream_of(spark, rows, "key string, ts timestamp, value int", tmp_path)
-    found = drained(folds.throttled(stream, "key", "ts", 100, "value"), "throttled", "append")
+    rows = [("a", at(0), 1, False), ("a", at(50), 2, False), ("a", at(120), 3, False), ("b", at(10), 4, False), (None, at(10**6), None, None)]
+    stream = stream_of(spark, rows, "key string, ts timestamp, value int, cancels boolean", tmp_path)
+    throttled = ordered.throttled(stream, ["key"], "ts", "1 second", 100, "value", "cancels")
+    found = drain(throttled, str(tmp_path / "out"), str(tmp_path / "checkpoint")).collect()
     assert sorted((r.key, r.value) for r in found) == [("a", 1), ("a", 3), ("b", 4)]
 
 
