@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Accents and case don't matter under this collation.
 FOLDED = "UNICODE_CI_AI"
 
-#: Letters with a mark, and what is left without it.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+
+
+def _without_marks() -> dict[str, str]:
+    """Every lower-case letter of the basic plane that is another letter with marks, and that letter."""
+    out = {}
+    for c in map(chr, range(0xC0, 0x10000)):
+        first, *marks = unicodedata.normalize("NFD", c)
+        if marks and c == c.lower() and all(unicodedata.combining(m) for m in marks):
+            out[c] = first
+    return out
+
+
+_BARE = _without_marks()
 
 
 def normalized(text: Column) -> Column:
     """Lower case without diacritics, also of decomposed letters."""
-    return F.regexp_replace(F.translate(F.lower(text), MARKED, PLAIN), r"[̀-ͯ]", "")
+    return F.regexp_replace(F.translate(F.lower(text), "".join(_BARE), "".join(_BARE.values())), r"\p{Mn}", "")
 
 
 def contains_folded(text: Column, part: Column) -> Column:
     return F.contains(F.collate(text, FOLDED), F.collate(part, FOLDED))
 
 
+def query_terms(query: str) -> list[str]:
+    """A query is cut as texts are: its terms are runs of letters and digits."""
+    return "".join(c if c.isalnum() else " " for c in query.lower()).split()
+
+
 def all_terms_match(text: Column, query: str) -> Column:
-    """Every term of the query is a word of the text, the last one a word's beginning (our decision)."""
-    own, terms = F.lower(text), query.lower().split()
-    if not all(t.isalnum() for t in terms):
-        return F.lit(False)  # words are letters and digits
-    out = F.lit(True)
+    """Every term of the query is a word of the text, the last one a word's beginning (our decision). A query of
+    punctuation only finds nothing, an empty one everything."""
+    own, terms = F.lower(text), query_terms(query)
+    out = F.lit(bool(terms) or not query.strip())
     for i, term in enumerate(terms):
         end = "" if i == len(terms) - 1 else r"(?![\p{L}\p{N}])"
         out = out & own.rlike(rf"(?<![\p{{L}}\p{{N}}]){term}{end}")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import base64
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import all_terms_match
@@ -19,7 +22,7 @@ def filtered(products: DataFrame, request: CatalogRequest, facets: Facets, leave
         price = request.price_condition(F.col(facets.price))
         if facets.raw_price:
             price = price & request.wide_condition(F.col(facets.raw_price))
-    return products.filter(request.list_conditions(leave_out) & price)
+    return products.filter(request.list_conditions(leave_out, facets.booleans) & price)
 
 
 def facet_counts(products: DataFrame, request: CatalogRequest, facets: Facets) -> DataFrame:
@@ -51,11 +54,15 @@ def active_value_count(filters: Column) -> Column:
     return F.aggregate(filters, F.lit(0), lambda total, f: total + one(f))
 
 
-def visible_values(counts: DataFrame, shown: int = 10) -> DataFrame:
-    """Adds place and hidden: the first values of each facet stay visible; one more isn't worth hiding."""
+def visible_values(counts: DataFrame, shown: int = 10, swatches: Sequence[str] = (), images: Sequence[str] = (), swatch_labels: bool = False) -> DataFrame:
+    """Adds place and hidden: the first values of each facet stay visible, 22 swatches or 6 images; one more isn't worth
+    hiding, and swatches without labels are all shown."""
     order, whole = Window.partitionBy("facet").orderBy(F.desc("n"), "value"), Window.partitionBy("facet")
+    among = lambda names: F.col("facet").isin(*names) if names else F.lit(False)
+    first = F.when(among(images), 6).when(among(swatches), 22).otherwise(shown)
+    exempt = F.lit(False) if swatch_labels else among(swatches)
     placed = counts.withColumn("place", F.row_number().over(order)).withColumn("of", F.count("*").over(whole))
-    return placed.withColumn("hidden", (F.col("of") > shown + 1) & (F.col("place") > shown)).drop("of")
+    return placed.withColumn("hidden", (F.col("of") > first + 1) & (F.col("place") > first) & ~exempt).drop("of")
 
 
 def pill_layout(values: DataFrame, booleans: Sequence[str] = ()) -> DataFrame:
@@ -106,17 +113,71 @@ def page_links(page: int, pages: int) -> list[int | None]:
     return out
 
 
+def _beyond(rows: DataFrame, order: Sequence[tuple[str, bool]], values: Sequence[object], forward: bool) -> Column:
+    """Rows after (or before) the row with these values, as plain comparisons, so that the first column's bound reaches the scan."""
+    out = F.lit(False)
+    for (name, ascending), x in reversed(list(zip(order, values, strict=True))):
+        column, value = F.col(name), F.lit(x).cast(rows.schema[name].dataType)
+        further, not_back = (column > value, column >= value) if ascending == forward else (column < value, column <= value)
+        out = further if name == order[-1][0] else not_back & (further | out)
+    return out
+
+
 def keyset_page(rows: DataFrame, order: Sequence[str], after: Sequence[object] | None, size: int) -> DataFrame:
     """The page after a row: nothing before it is sorted, which deep pages need."""
     if after is not None:
-        *first, (last, value) = [(F.col(c), F.lit(x).cast(rows.schema[c].dataType)) for c, x in zip(order, after, strict=True)]
-        beyond = last > value
-        for column, x in reversed(first):  # plain comparisons, so that the first column's bound reaches the scan
-            beyond = (column >= x) & ((column > x) | beyond)
-        rows = rows.filter(beyond)
+        rows = rows.filter(_beyond(rows, [(c, True) for c in order], after, True))
     return rows.orderBy(*order).limit(size)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page begins: beyond the row with these values of the order's columns, onwards or back, for one request."""
+
+    request: str
+    values: tuple
+    forward: bool = True
+
+    def text(self) -> str:
+        return base64.urlsafe_b64encode(json.dumps([self.request, list(self.values), self.forward]).encode()).decode()
+
+    @staticmethod
+    def of(text: str) -> Cursor:
+        request, values, forward = json.loads(base64.urlsafe_b64decode(text))
+        return Cursor(request, tuple(values), forward)
+
+
+def order_of(sort: str | None, facets: Facets) -> list[tuple[str, bool]]:
+    """The columns of a sort, each ascending or not; the id breaks ties."""
+    name, _, direction = (sort or "manual").partition("-")
+    return [*([(facets.title if name == "title" else facets.price, direction == "ascending")] if direction else []), (facets.key, True)]
+
+
+def cursor_page(products: DataFrame, request: CatalogRequest, facets: Facets, cursor: Cursor | None = None) -> DataFrame:
+    """The page that a cursor leads to, in the request's order; the first page without one.
+
+    Backwards the order is reversed, cut, and put right again. A cursor of a request with other filters, search or sort is refused.
+    """
+    own = request.normalized()
+    rows, order = filtered(products, own, facets), order_of(own.sort, facets)
+    if own.q:
+        rows = rows.filter(all_terms_match(F.col(facets.title), own.q))
+    sorted_by = lambda forward: [F.asc(c) if ascending == forward else F.desc(c) for c, ascending in order]
+    if cursor is None:
+        return rows.orderBy(*sorted_by(True)).limit(own.page_size)
+    if cursor.request != replace(own, page=1).key():
+        raise ValueError("the cursor belongs to another request")
+    page = rows.filter(_beyond(rows, order, cursor.values, cursor.forward)).orderBy(*sorted_by(cursor.forward)).limit(own.page_size)
+    return page if cursor.forward else page.orderBy(*sorted_by(True))
+
+
+def cursors(page: Sequence[Row], request: CatalogRequest, facets: Facets) -> tuple[Cursor, Cursor] | None:
+    """Those of the pages before and after a page that was read; null for an empty one."""
+    own = request.normalized()
+    key, columns = replace(own, page=1).key(), [c for c, _ in order_of(own.sort, facets)]
+    return (Cursor(key, tuple(page[0][c] for c in columns), False), Cursor(key, tuple(page[-1][c] for c in columns))) if page else None
+
+
 def predictive(resources: dict[str, tuple[DataFrame, str, str]], query: str, each: int) -> DataFrame:
     """object_type, id, title: the first matches of each resource, by title and id. resources: rows, id and title columns."""
     parts = []

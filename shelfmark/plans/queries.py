@@ -6,21 +6,18 @@ rules, in the query and in the SQL alike, and are synthetic.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import cart, catalog, curation, lookups
-from shelfmark.plans.request import CatalogRequest, Facets, clamp_bounds
+from shelfmark.plans.registry import ORACLES, QUERIES, query  # noqa: F401  the driver takes both from here
+from shelfmark.plans.request import CatalogRequest, Facets, clamp_bounds, range_text
 from shelfmark.sources.tables import alive, minor_units, read, to_json_rows, upsert
 from shelfmark.streaming import folds
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
 FACETS = Facets(lists=("p_brand", "p_type", "p_size"), price="price", title="p_name", key="p_partkey", raw_price="p_retailprice")
 REQUEST = CatalogRequest(filters={"p_brand": ("Brand#1", "Brand#12", "Brand#23"), "p_type": ("ECONOMY", "PROMO")}, price_gte=91_000, price_lte=98_000)
 PRODUCT = "product AS (SELECT *, CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS price FROM part)"
@@ -31,15 +28,6 @@ BREAKS = ((10, 95), (25, 90), (40, 80))
 TODAY = "2024-01-15"
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").withColumn("price", minor_units(F.col("p_retailprice")))
 
@@ -111,6 +99,38 @@ def facet_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.pill_layout(catalog.facet_counts(products(spark, sf_dir), REQUEST, FACETS))
 
 
+@query(f"""{_COUNTS}, b AS (SELECT facet, bool_and(length(value) <= 3) AND facet <> 'p_size' AS pills FROM counts GROUP BY facet),
+placed AS (SELECT *, row_number() OVER (PARTITION BY facet ORDER BY n DESC, value) AS place, count(*) OVER (PARTITION BY facet) AS c FROM counts)
+SELECT facet, value, n, place::INT AS place, CASE facet WHEN 'p_brand' THEN false WHEN 'p_type' THEN c > 7 AND place > 6 ELSE c > 11 AND place > 10 END AS hidden, pills FROM placed JOIN b USING (facet)""")
+def facet_presentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as swatches without labels, types as images, sizes as if boolean, which are never pills."""
+    counts = catalog.facet_counts(products(spark, sf_dir), REQUEST, FACETS)
+    values = catalog.visible_values(counts, swatches=["p_brand"], images=["p_type"]).select("facet", "value", "n", "place", "hidden")
+    return values.join(catalog.pill_layout(counts, booleans=["p_size"]), "facet")
+
+
+@query("""WITH v AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 700 * 100 END AS lo, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 900 * 100 + 5 END AS hi FROM orders),
+s AS (SELECT o_orderkey, lo IS NULL AND hi IS NULL AS none, coalesce(lo, 0)::BIGINT AS a, coalesce(hi, 123456)::BIGINT AS b FROM v)
+SELECT o_orderkey, CASE WHEN none THEN '' ELSE '$' || format('{:,}', a // 100) || '.' || lpad((a % 100)::VARCHAR, 2, '0') || '–$' || format('{:,}', b // 100) || '.' || lpad((b % 100)::VARCHAR, 2, '0') END AS summary FROM s""")
+def range_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    shown = range_text(F.when(key % 4 != 0, key % 700 * 100), F.when(key % 3 != 0, key % 900 * 100 + 5), F.lit(123456).cast("long"), "${{ amount }}", F.lit("USD"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", shown.alias("summary"))
+
+
+@query("SELECT page_id, url FROM pages WHERE regexp_matches(lower(url), '(^|[^\\p{L}\\p{N}])example($|[^\\p{L}\\p{N}])') AND regexp_matches(lower(url), '(^|[^\\p{L}\\p{N}])com')")
+def search_punctuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").filter(text.all_terms_match(F.col("url"), "Example.com")).select("page_id", "url")
+
+
+@query(f"WITH {PRODUCT}, back AS (SELECT p_partkey, p_name, price FROM product WHERE {LISTS} AND (p_name < 'red' OR p_name = 'red' AND p_partkey < 100) ORDER BY p_name DESC, p_partkey DESC LIMIT 24) SELECT * FROM back ORDER BY p_name, p_partkey")
+def cursor_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page before a place in the list, as when a reader scrolls up."""
+    own = CatalogRequest(filters=REQUEST.filters, sort="title-ascending")
+    place = catalog.Cursor(own.normalized().key(), ("red", 100), forward=False)
+    return catalog.cursor_page(products(spark, sf_dir), own, FACETS, catalog.Cursor.of(place.text())).select("p_partkey", "p_name", "price")
+
+
 @query("""SELECT o_orderkey, (CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END
   + CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 0 END)::INT AS active FROM orders""")
 def active_facet_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,17 +419,26 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", "p_size", curation.nearest(F.array(*map(F.lit, (5, 10, 20, 40))), F.col("p_size")).alias("nearest"))
 
 
-#: (typed, currency, minor units), by the rules of functions.money.
-MONEY = (
-    ("2,000,000.50", "USD", 200000050), ("2,000,000", "USD", 200000000), ("9,500", "KWD", 9500), ("1.000,50", "EUR", 100050), ("1 000.5", "EUR", 100050), ("-5", "USD", 500),
-    ("", "USD", None), ("abc", "USD", None), ("1,234", "JPY", 1234), ("12", "usd", 1200), (".5", "USD", 500), ("3.14159", "USD", 31415900), ("7.25", "CLF", 72500),
-)
+_TYPED = """WITH p AS (SELECT p_partkey, (CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 100 AS BIGINT) * (p_partkey % 900 + 1)) AS v, p_partkey % 6 AS kind FROM part),
+t AS (SELECT p_partkey, kind, v, CASE kind WHEN 0 THEN format('{:,}', v // 100) || '.' || lpad((v % 100)::VARCHAR, 2, '0') WHEN 1 THEN replace(format('{:,}', v // 100), ',', '.') || ',' || (v % 100) // 10
+  WHEN 2 THEN '$ ' || replace(format('{:,}', v // 100), ',', ' ') WHEN 3 THEN format('{:,}', v // 1000) || '.' || lpad((v % 1000)::VARCHAR, 3, '0') WHEN 4 THEN '¥' || format('{:,}', v // 100) ELSE 'none' END AS typed,
+  CASE kind WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'EUR' WHEN 3 THEN 'KWD' WHEN 4 THEN 'JPY' ELSE 'USD' END AS currency FROM p)"""
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', {'NULL' if c is None else c}::BIGINT)" for a, b, c in MONEY) + ") v(typed, currency, minor)")
+@query(f"""{_TYPED} SELECT p_partkey, typed, currency, (CASE kind WHEN 0 THEN v WHEN 1 THEN v // 100 * 100 + v % 100 // 10 * 10 WHEN 3 THEN v WHEN 4 THEN v // 100
+  WHEN 2 THEN v // 100 * 100 END)::BIGINT AS minor FROM t""")
 def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([x[:2] for x in MONEY], "typed string, currency string")
-    return rows.withColumn("minor", money.parse_money(F.col("typed"), F.col("currency")))
+    """Amounts as people of several places type them, from parts' prices; the SQL knows the amounts, the query only the text."""
+    v, kind = F.col("price") * (F.col("p_partkey") % 900 + 1), F.col("p_partkey") % 6
+    whole_ = lambda n, mark: F.replace(F.format_number(n, 0), F.lit(","), F.lit(mark))
+    div = lambda n: F.expr(f"price * (p_partkey % 900 + 1) div {n}")
+    typed = F.when(kind == 0, F.concat(whole_(div(100), ","), F.lit("."), F.lpad((v % 100).cast("string"), 2, "0")))
+    typed = typed.when(kind == 1, F.concat(whole_(div(100), "."), F.lit(","), F.expr("price * (p_partkey % 900 + 1) % 100 div 10").cast("string")))
+    typed = typed.when(kind == 2, F.concat(F.lit("$ "), whole_(div(100), " "))).when(kind == 3, F.concat(whole_(div(1000), ","), F.lit("."), F.lpad((v % 1000).cast("string"), 3, "0")))
+    rows = products(spark, sf_dir).select("p_partkey", typed.when(kind == 4, F.concat(F.lit("¥"), whole_(div(100), ","))).otherwise("none").alias("typed"), kind.alias("kind"))
+    currency = F.when(F.col("kind").isin(1, 2), "EUR").when(F.col("kind") == 3, "KWD").when(F.col("kind") == 4, "JPY").otherwise("USD")
+    own = rows.select("p_partkey", "typed", currency.alias("currency"))
+    return own.withColumn("minor", money.parse_money(F.col("typed"), F.col("currency")))
 
 
 @query(f"""WITH {PRODUCT}, m AS (SELECT p_partkey, price * 137 * (CASE WHEN p_size % 5 = 0 THEN -1 ELSE 1 END) AS v FROM product),
@@ -568,6 +597,13 @@ def bundle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cart.component_lines(rows, "parts").withColumn("component_pos", F.col("component_pos").cast("long"))
 
 
+@query("SELECT l_orderkey, l_linenumber, l_quantity::INT AS quantity, CASE WHEN l_quantity::INT > 1 THEN ' × ' || l_quantity::INT ELSE '' END AS shown FROM lineitem")
+def component_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantity = F.col("l_quantity").cast("int")
+    shown = F.coalesce(F.concat(F.lit(" × "), cart.visible_component_quantity(quantity).cast("string")), F.lit(""))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", quantity.alias("quantity"), shown.alias("shown"))
+
+
 # Template filters
 
 
@@ -684,11 +720,16 @@ def results_of_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.one_total(catalog.resource_totals(resources(spark, sf_dir), "s"))
 
 
-@query("SELECT 'supplier' AS object_type, s_suppkey AS id, s_name AS title FROM supplier WHERE s_suppkey = 7")
+_SINGLE = """len(list_filter(string_split_regex(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: starts_with(w, '000000007'))) > 0"""
+
+
+@query("WITH hit AS (" + " UNION ALL ".join(f"SELECT {i} AS place, '{k}' AS object_type, {key}::BIGINT AS id, {t} AS title FROM {n} WHERE {_SINGLE.format(c=t)}" for i, (k, n, key, t) in enumerate(sorted(_RESOURCES))) + """),
+single AS (SELECT place, any_value(object_type) AS object_type, any_value(id) AS id, any_value(title) AS title FROM hit GROUP BY place HAVING count(*) = 1)
+SELECT object_type, id, title FROM single WHERE place = (SELECT min(place) FROM single)""")
 def single_result_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only one supplier is called by the seventh's number, and no part or page is."""
-    found = {k: (rows.filter(F.col(key) == 7) if k == "supplier" else rows.filter(F.col(key) < 7), key, title) for k, (rows, key, title) in resources(spark, sf_dir).items()}
-    return catalog.single_result(found, "s", ["document", "page", "supplier", "product"])
+    """The first kind, by name, that has exactly one row with a word that begins so."""
+    found = resources(spark, sf_dir)
+    return catalog.single_result(found, "000000007", sorted(found))
 
 
 @query("""WITH m AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem), f AS (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first FROM m)
@@ -768,7 +809,7 @@ def page_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey FROM part WHERE p_size > 25")
 def boolean_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = products(spark, sf_dir).withColumn("large", F.col("p_size") > 25)
-    return catalog.filtered(rows, CatalogRequest(filters={"large": ("true",)}), FACETS).select("p_partkey")
+    return catalog.filtered(rows, CatalogRequest(filters={"large": ("true",)}), replace(FACETS, lists=("large",), booleans=("large",))).select("p_partkey")
 
 
 @query("SELECT o_orderkey, coalesce(o_orderstatus <> 'F', false) AND NOT coalesce(o_orderkey % 7 = 0, false) AS ok FROM orders")

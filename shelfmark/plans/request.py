@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfmark.functions.money import format_money
+
 PAGE_SIZE = 24
 SORTS = ("manual", "title-ascending", "title-descending", "price-ascending", "price-descending")
 
@@ -20,6 +23,8 @@ class Facets:
     title: str
     key: str
     raw_price: str | None = None
+    #: Those of the lists that are boolean columns; their values are 'true' and 'false'.
+    booleans: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -71,12 +76,16 @@ class CatalogRequest:
         pairs += [(k, str(x)) for k, x in (("price.gte", own.price_gte), ("price.lte", own.price_lte), ("q", own.q or None), ("sort", own.sort), ("page", own.page)) if x is not None]
         return "&".join(f"{k}={x}" for k, x in sorted(pairs))
 
-    def list_conditions(self, leave_out: str | None = None) -> Column:
-        """Any value within a facet, all facets together (our decision)."""
+    def list_conditions(self, leave_out: str | None = None, booleans: tuple[str, ...] = ()) -> Column:
+        """Any value within a facet, all facets together (our decision). Boolean columns are compared as such, so that the
+        scan can pass rows over."""
         out = F.lit(True)
         for name, values in self.filters.items():
             if values and name != leave_out:
-                out = out & F.col(name).cast("string").isin(*values)
+                of = F.col(name).cast("string").isin(*values)
+                if name in booleans:
+                    of = reduce(Column.__or__, [F.col(name) == (v == "true") for v in sorted(set(values) & {"true", "false"})] or [F.lit(False)])
+                out = out & of
         return out
 
     def price_condition(self, price: Column) -> Column:
@@ -87,7 +96,6 @@ class CatalogRequest:
             out = out & (price <= self.price_lte)
         return out
 
-
     def wide_condition(self, price: Column, minor: int = 100) -> Column:
         """What the bounds imply for a price in whole units that is stored as a double."""
         out = F.lit(True)
@@ -103,6 +111,12 @@ def range_summary(low: Column, high: Column, range_max: Column) -> tuple[Column,
     return F.coalesce(low, F.lit(0).cast("long")), F.coalesce(high, range_max)
 
 
+def range_text(low: Column, high: Column, range_max: Column, template: str, currency: Column) -> Column:
+    """Both bounds as money with a dash between; empty where neither was typed."""
+    first, last = range_summary(low, high, range_max)
+    return F.when(low.isNull() & high.isNull(), "").otherwise(F.concat(format_money(first, template, currency), F.lit("–"), format_money(last, template, currency)))
+
+
 def clamp_bounds(low: Column, high: Column, range_max: Column) -> tuple[Column, Column]:
     """Each bound within [0, range_max] and on its own side of the other; an empty one stays empty."""
     return F.when(low.isNotNull(), F.greatest(F.lit(0).cast("long"), F.least(low, F.coalesce(high, range_max)))), F.when(

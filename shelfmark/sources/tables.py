@@ -56,9 +56,9 @@ def alive(entries: DataFrame, now_ms: int, ttl_ms: int = 10_000) -> DataFrame:
 
 
 def upsert(lines: DataFrame, changes: DataFrame, keys: Sequence[str], quantity: str = "quantity", order: str | None = None) -> DataFrame:
-    """lines after keyed changes (keys, quantity[, order]): the last change of a key wins, by its order or else
-    its place in the table, quantity 0 deletes."""
-    changes = changes.select(*keys, quantity, (F.col(order) if order else F.monotonically_increasing_id()).alias("_order"))
+    """lines after keyed changes (keys, quantity[, order]): the last change of a key wins by its order, of those without one
+    or with the same the largest quantity; quantity 0 deletes."""
+    changes = changes.select(*keys, quantity, (F.col(order) if order else F.lit(0)).alias("_order"))
     changes = changes.groupBy(*keys).agg(F.max(F.struct("_order", quantity)).alias("_last")).select(*keys, f"_last.{quantity}")
     new = changes.select(*keys, F.col(quantity).alias("_new"))
     merged = lines.join(new, list(keys), "full_outer").withColumn(quantity, F.coalesce("_new", quantity)).drop("_new")
