@@ -113,6 +113,14 @@ def page_links(page: int, pages: int) -> list[int | None]:
     return out
 
 
+def page_links_of(page: Column, pages: Column) -> Column:
+    """The same for columns: an array in which null stands where some are left out."""
+    near = F.filter(F.array(F.lit(1), page - 1, page, page + 1, pages), lambda p: (p == 1) | (p == pages) | ((p > 0) & (p < pages)))
+    shown = F.array_sort(F.array_distinct(F.transform(near, lambda p: p.cast("int"))))
+    gap = lambda p, i: (i > 0) & (p - F.get(shown, i - 1) > 1)
+    return F.flatten(F.transform(shown, lambda p, i: F.when(gap(p, i), F.array(F.lit(None).cast("int"), p)).otherwise(F.array(p))))
+
+
 def _beyond(rows: DataFrame, order: Sequence[tuple[str, bool]], values: Sequence[object], forward: bool) -> Column:
     """Rows after (or before) the row with these values, as plain comparisons, so that the first column's bound reaches the scan."""
     out = F.lit(False)

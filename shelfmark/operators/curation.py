@@ -27,11 +27,16 @@ def recommendation_fallback(catalog: DataFrame, key: str, own: object, intent: s
     return catalog.filter(F.col(key) != F.lit(own)).orderBy(key).limit(count)
 
 
-def bought_together(lines: DataFrame, order: str, item: str, count: int) -> DataFrame:
-    """item, other, n, place: what is most often in the same order (our decision). Orders are small; each pair
-    is met once, summed before the shuffle, and then mirrored."""
+def bought_together(lines: DataFrame, order: str, item: str, count: int, part: int = 128) -> DataFrame:
+    """item, other, n, place: what is most often in the same order (our decision). Each pair is met once, summed before the
+    shuffle, and then mirrored. The items of an order are cut into parts of about ``part``, each of which meets the whole order as
+    a group of its own, so a long order is many tasks' work."""
     own = lines.select(order, item).distinct()
-    pairs = own.join(own.withColumnRenamed(item, "other"), order).filter(F.col(item) < F.col("other"))
+    sizes = own.groupBy(order).agg(F.ceil(F.count("*") / part).cast("int").alias("_parts"))
+    dealt = own.join(sizes, order)
+    left = dealt.withColumn("_part", F.pmod(F.xxhash64(item), F.col("_parts")).cast("int")).drop("_parts")
+    right = dealt.select(order, F.col(item).alias("other"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    pairs = left.join(right, [order, "_part"]).filter(F.col(item) < F.col("other"))
     once = pairs.groupBy(item, "other").agg(F.count("*").alias("n"))
     both = F.explode(F.array(F.struct(F.col(item).alias("a"), F.col("other").alias("b")), F.struct(F.col("other").alias("a"), F.col(item).alias("b"))))
     counted = once.select(both.alias("x"), "n").select(F.col("x.a").alias(item), F.col("x.b").alias("other"), "n")

@@ -15,7 +15,7 @@ from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import cart, catalog, curation, lookups
 from shelfmark.plans.registry import ORACLES, QUERIES, query  # noqa: F401  the driver takes both from here
 from shelfmark.plans.request import CatalogRequest, Facets, clamp_bounds, range_text
-from shelfmark.sources.tables import alive, minor_units, read, to_json_rows, upsert
+from shelfmark.sources.tables import alive, from_json, minor_units, read, to_json_rows, upsert, upsert_map
 from shelfmark.streaming import folds
 
 FACETS = Facets(lists=("p_brand", "p_type", "p_size"), price="price", title="p_name", key="p_partkey", raw_price="p_retailprice")
@@ -690,6 +690,60 @@ def mixed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Carts, collections and rules
 
 
+@query(f"WITH {PRODUCT} SELECT p_partkey, p_brand, p_type, p_size FROM product WHERE p_brand IN ('Brand#1', 'Brand#12', 'Brand#23') AND p_type = 'ECONOMY' AND p_size IN (7, 8, 9) AND price BETWEEN 91000 AND 98000")
+def request_toggled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A choice is taken away and others are added, one by one."""
+    own = REQUEST.toggled("p_type", "PROMO")
+    for size in ("7", "8", "9", "10", "10"):
+        own = own.toggled("p_size", size)
+    return catalog.filtered(products(spark, sf_dir), own, FACETS).select("p_partkey", "p_brand", "p_type", "p_size")
+
+
+@query("""WITH p AS (SELECT o_orderkey, o_orderkey % 60 + 1 AS pages, least(o_orderkey % 45 + 1, o_orderkey % 60 + 1) AS page FROM orders),
+s AS (SELECT o_orderkey, list_sort(list_distinct(list_filter([1, page - 1, page, page + 1, pages], lambda x: x >= 1 AND x <= pages))) AS shown FROM p)
+SELECT o_orderkey, array_to_string(list_transform(shown, lambda x, i: CASE WHEN i > 1 AND x - shown[i - 1] > 1 THEN '… ' ELSE '' END || x), ' ') AS links FROM s""")
+def page_elision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = (F.col("o_orderkey") % 60 + 1).cast("int")
+    page = F.least((F.col("o_orderkey") % 45 + 1).cast("int"), pages)
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.array_join(catalog.page_links_of(page, pages).cast("array<string>"), " ", "…").alias("links"))
+
+
+@query(f"WITH {PRODUCT} SELECT p_partkey, (CASE WHEN p_size % 3 = 0 THEN price WHEN p_size % 3 = 1 THEN 1250 ELSE 0 END)::BIGINT AS minor FROM product")
+def money_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was typed, else what the attribute says, else nothing."""
+    kind = F.col("p_size") % 3
+    typed = F.when(kind == 0, F.format_number(F.col("price") / 100, 2)).otherwise("free")
+    minor = money.parse_money_or(typed, F.when(kind == 1, "12.50"), F.lit("USD"))
+    return products(spark, sf_dir).select("p_partkey", minor.alias("minor"))
+
+
+@query("SELECT event_id, (props->>'k')::INT AS k, NULL::VARCHAR AS absent FROM (SELECT event_id, props::JSON AS props FROM events)")
+def inline_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = from_json(read(spark, sf_dir, "events").select("event_id", "props"), "props", "k int, absent string")
+    return rows.select("event_id", "props.k", "props.absent")
+
+
+@query(f"WITH {_LINES}, own AS (SELECT variant_id, sum(quantity)::BIGINT AS quantity FROM line GROUP BY variant_id) SELECT variant_id, CASE variant_id WHEN 2 THEN 5 ELSE quantity END AS quantity FROM own WHERE variant_id NOT IN (1, 3) UNION ALL SELECT 3, 7 UNION ALL SELECT -9, 4")
+def cart_update_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All variants' quantities after an update that is given as a map: 1 goes, 2 and 3 are set, one is new."""
+    lines = cart_lines(spark, sf_dir).groupBy("variant_id").agg(F.sum("quantity").alias("quantity"))
+    updates = F.create_map(*(F.lit(x).cast("long") for x in (1, 0, 2, 5, 3, 7, -9, 4)))
+    return upsert_map(lines, updates, "variant_id")
+
+
+@query("SELECT n_nationkey, true AS shown FROM nation")
+def empty_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty filter shows all."""
+    shown = text.country_matches(F.lit(""), F.col("n_name"), F.lit("CUR"), F.lit("N"), F.array(F.lit("Alias")))
+    return read(spark, sf_dir, "nation").select("n_nationkey", shown.alias("shown"))
+
+
+@query("SELECT l_orderkey, array_to_string(list(l_linenumber ORDER BY l_linenumber, l_partkey, l_suppkey), ',') AS numbers FROM lineitem GROUP BY l_orderkey")
+def array_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("r"))
+    return rows.select("l_orderkey", F.array_join(arrays.pluck(F.col("r"), "l_linenumber").cast("array<string>"), ",").alias("numbers"))
+
+
 @query(f"WITH {_LINES}, own AS (SELECT cart_id, variant_id, quantity FROM line UNION ALL SELECT o_orderkey, o_orderkey % 50 + 1, 2 FROM orders WHERE o_orderkey % 4 = 0) SELECT cart_id, variant_id, sum(quantity)::BIGINT AS quantity FROM own GROUP BY ALL")
 def cart_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     adds = read(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("cart_id"), (F.col("o_orderkey") % 50 + 1).alias("variant_id"), F.lit(2).alias("quantity"))
