@@ -6,7 +6,15 @@ of what stands before it: the gaps between matches (split) and the matches thems
 Battery: every run of at least ``LEAST`` characters of the base64 alphabets is a candidate, if its characters fit an
 encoding that was inferred from them (hex, base32, lower-case or mixed letters and digits, base64). So are the pieces of
 a run (``PIECES``): the longest ones without equals signs, of either base64 alphabet, and of letters and digits alone
-(name=value, paths, mixed separators). Three statistics tell random symbols from ordinary ones:
+(name=value, paths, mixed separators).
+
+First a candidate must pass for random symbols of its encoding: chi-squared of uniformity over the whole alphabet, the number of
+runs of symbols of one kind (capital, small letter, digit, sign), and the serial correlation at lag one of the symbols' places
+in the alphabet are standardised by their exact or asymptotic moments for its length, and the sum of their squares (of chi-squared
+only where it is above its mean) may not exceed ``DEPARTURE``, which random symbols do about once in a hundred times. Repeated and
+ascending strings, paths with many slashes and most names put together end here.
+
+Then three statistics tell random symbols from ordinary ones:
 
 - chi-squared of uniformity over the alphabet, its symbols pooled into cells that are expected often enough: digits and
   signs, capitals, and the letters that are frequent or rare in ordinary text;
@@ -57,6 +65,8 @@ LENGTHS = (24, 32, 48, 64, 128)
 LEVELS = 400
 #: Deviations under the hypothesis, as a multiple of those of independent symbols.
 WIDER = 1.25
+#: How far a candidate's three statistics may be from those of random symbols: the 99.4 % point of chi-squared with three degrees.
+DEPARTURE = 12.5
 
 _UPPER, _LOWER, _DIGITS, _SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "+/-_"
 _ALL = _UPPER + _LOWER + _DIGITS + _SIGNS
@@ -82,6 +92,10 @@ class Encoding:
         self.deviation = WIDER * math.sqrt(self.c2)
         self.symbols = "".join(symbols for symbols, _ in cells)
         self.names = "".join(chr(97 + i) * len(symbols) for i, (symbols, _) in enumerate(cells))
+        self.alphabet = "".join(c for c in _ALL if c in self.symbols)
+        kinds = [_KINDS[_ALL.index(c)] for c in self.alphabet]
+        #: How often the kind changes among random symbols.
+        self.random_changes = 1 - sum((kinds.count(k) / size) ** 2 for k in set(kinds))
 
 
 def _one_case(letters: str, digits: str) -> tuple[tuple[str, float], ...]:
@@ -162,7 +176,22 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
 
 def battery(value: str) -> str:
     """SQL: the combined p-value of a run under its inferred encoding; null without one."""
-    return "CASE " + " ".join(f"WHEN {value} rlike '{e.shape}' THEN {using(f"rtrim('=', {value})", 'body', combined(e))}" for e in ENCODINGS) + " END"
+    return "CASE " + " ".join(f"WHEN {value} rlike '{e.shape}' THEN {using(f"rtrim('=', {value})", 'body', f'CASE WHEN {departure(e)} <= {DEPARTURE}D THEN {combined(e)} END')}" for e in ENCODINGS) + " END"
+
+
+def departure(e: Encoding) -> str:
+    """SQL: the sum of squares of how far body is from random symbols of the encoding; see above."""
+    d, change = len(e.alphabet), e.random_changes
+    add = lambda numbers, value="y": f"aggregate({numbers}, 0D, (a, y) -> a + {value})"
+    counts = add("transform(array_distinct(q.chars), k -> pow(double(length(body) - length(replace(body, k, ''))), 2))")
+    chi = f"greatest(0D, ({d}D / q.n * {counts} - q.n - {d - 1}D) / sqrt({2 * (d - 1)}D * (q.n - 1) / q.n))"
+    runs = f"({CHANGES.format('q.kinds')} - {change!r}D * (q.n - 1)) / sqrt({change * (1 - change)!r}D * (q.n - 1))"
+    products = add("zip_with(slice(x, 1, size(x) - 1), slice(x, 2, size(x) - 1), (f, g) -> f * g)")
+    sums = f"struct({add('x')} s, {add('x', 'y * y')} ss, {products} p, x[0] + x[size(x) - 1] ends)"
+    above = "(v.p - v.s / q.n * (2 * v.s - v.ends) + (q.n - 1) * (v.s / q.n) * (v.s / q.n))"
+    serial_ = using(f"transform(q.chars, k -> double(locate(k, '{e.alphabet}')))", "x", using(sums, "v", f"CASE WHEN v.ss * q.n - v.s * v.s > 0 THEN {above} / (v.ss - v.s * v.s / q.n) * sqrt(q.n) ELSE sqrt(q.n) END"))
+    held = f"struct(regexp_extract_all(body, '.', 0) chars, double(length(body)) n, translate(body, '{_ALL}', '{_KINDS}') kinds)"
+    return using(held, "q", f"pow({chi}, 2) + pow({runs}, 2) + pow({serial_}, 2)")
 
 
 def combined(e: Encoding) -> str:
@@ -184,10 +213,12 @@ def uniformity(e: Encoding) -> str:
     return f"(sqrt(greatest(0D, {e.c0!r}D + {e.c1!r}D * m.n - {e.c2!r}D)) - sqrt({root})) / {e.deviation!r}D"
 
 
+CHANGES = "regexp_count({}, 'U(?=[LDS])|L(?=[UDS])|D(?=[ULS])|S(?=[ULD])')"
+
+
 def runs_test(e: Encoding) -> str:
     """SQL: by how many deviations there are more runs."""
-    changes = "regexp_count(m.kinds, 'U(?=[LDS])|L(?=[UDS])|D(?=[ULS])|S(?=[ULD])')"
-    return f"({changes} - {e.changes}D * (m.n - 1) - 0.5D) / ({WIDER}D * sqrt({e.changes * (1 - e.changes)!r}D * (m.n - 1)))"
+    return f"({CHANGES.format('m.kinds')} - {e.changes}D * (m.n - 1) - 0.5D) / ({WIDER}D * sqrt({e.changes * (1 - e.changes)!r}D * (m.n - 1)))"
 
 
 def serial(e: Encoding) -> str:
@@ -323,17 +354,22 @@ def oracle() -> str:
     bounded = lambda z: f"greatest(-8.0::DOUBLE, least(8.0::DOUBLE, {z}))"
     lengths = "CASE " + " ".join(f"WHEN e - a <= {n} THEN {i}" for i, n in enumerate(LENGTHS)) + f" ELSE {len(LENGTHS)} END + CASE WHEN kind > 3 THEN {len(LENGTHS) + 1} ELSE 0 END"
     names = "CASE kind " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(KINDS)) + " END"
-    one_of = ", ".join(f"({i}, '{e.symbols}', '{e.names}')" for i, e in enumerate(ENCODINGS))
+    one_of = ", ".join(f"({i}, '{e.symbols}', '{e.names}', '{e.alphabet}', {e.random_changes!r}::DOUBLE)" for i, e in enumerate(ENCODINGS))
+    d = "length(alphabet)::DOUBLE"
     return f"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 hit AS ({found}),
 one AS (SELECT * FROM hit WHERE kind > 2 QUALIFY row_number() OVER (PARTITION BY r, a, e ORDER BY kind) = 1),
-encoding(enc, symbols, names) AS (VALUES {one_of}),
+encoding(enc, symbols, names, alphabet, chg) AS (VALUES {one_of}),
 run AS (SELECT row_number() OVER () AS id, r, kind, a, e, rtrim(m, '=') AS body, {which} AS enc FROM one),
-img AS (SELECT id, r, kind, a, e, enc, length(body)::DOUBLE AS n, translate(body, symbols, names) AS cells, translate(body, '{_ALL}', '{_KINDS}') AS kinds, translate(body, '{_ALL}', '{_VOWELS}') AS vowels
-  FROM run JOIN encoding USING (enc)),
+img AS (SELECT id, r, kind, a, e, enc, length(body)::DOUBLE AS n, translate(body, symbols, names) AS cells, translate(body, '{_ALL}', '{_KINDS}') AS kinds, translate(body, '{_ALL}', '{_VOWELS}') AS vowels,
+    string_split(body, '') AS chars, list_transform(string_split(body, ''), lambda c: strpos(alphabet, c)::DOUBLE) AS x, body, alphabet, chg FROM run JOIN encoding USING (enc)),
+sum1 AS (SELECT *, ({pairs})::DOUBLE AS kc, list_sum(list_transform(list_distinct(chars), lambda k: power(length(body) - length(replace(body, k, '')), 2)))::DOUBLE AS sq, list_sum(x) AS s,
+  list_sum(list_transform(x, lambda y: y * y)) AS ss, list_sum(list_transform(range(1, len(x)), lambda i: x[i] * x[i + 1])) AS p, x[1] + x[-1] AS xe FROM img),
+fit AS (SELECT * FROM sum1 WHERE power(greatest(0, ({d} / n * sq - n - ({d} - 1)) / sqrt(2 * ({d} - 1) * (n - 1) / n)), 2) + power((kc - chg * (n - 1)) / sqrt(chg * (1 - chg) * (n - 1)), 2)
+  + power(CASE WHEN ss * n - s * s > 0 THEN (p - s / n * (2 * s - xe) + (n - 1) * (s / n) * (s / n)) / (ss - s * s / n) * sqrt(n) ELSE sqrt(n) END, 2) <= {DEPARTURE}),
 cnt AS (SELECT *, {of(chi)} AS root, ({pairs})::DOUBLE AS ch, length(replace(vowels, 'C', ''))::DOUBLE AS ones, len(regexp_extract_all(vowels, 'V+')) AS vr,
-  (vowels[1] = 'V')::INT::DOUBLE + (vowels[-1] = 'V')::INT::DOUBLE AS ends FROM img),
+  (vowels[1] = 'V')::INT::DOUBLE + (vowels[-1] = 'V')::INT::DOUBLE AS ends FROM fit),
 stat AS (SELECT *, CASE WHEN ones = 0 OR ones = n THEN 0.0 ELSE (ones - vr - ones / n * (2 * ones - ends) + (n - 1) * (ones / n) * (ones / n)) / (ones * (1 - ones / n)) END AS corr FROM cnt),
 zed AS (SELECT *, {bounded(of(lambda e: f"((sqrt(greatest(0.0::DOUBLE, {e.c0!r}::DOUBLE + {e.c1!r}::DOUBLE * n - {e.c2!r}::DOUBLE)) - root) / {e.deviation!r}::DOUBLE)"))} AS z1,
   {bounded(of(lambda e: f"((ch - {e.changes} * (n - 1) - 0.5) / ({WIDER} * sqrt({e.changes * (1 - e.changes)!r}::DOUBLE * (n - 1))))"))} AS z2,

@@ -349,6 +349,31 @@ def test_ordinary_names_are_no_discoveries(n_keys, spark):
     assert sum("rand:" in found[d] for d, _ in keys) >= 0.95 * n_keys
 
 
+def odd_names(seed):
+    """Paths, names in camel case and repeated strings, of words that no test was fitted to."""
+    rng = random.Random(seed)
+    words = "get user api list config server page report cluster service impl factory bean cache value table index first query handler request response module version install guide sha test main core util data".split()
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    digits = lambda: str(rng.choice([1, 2, 3, 8, 13, 64, 2024]))
+    camel = ["".join(w.capitalize() if rng.random() < 0.85 else w.upper() for w in some(rng.randrange(4, 7))) + digits() for _ in range(40)]
+    paths = ["/".join([w.capitalize() if rng.random() < 0.4 else w for w in some(rng.randrange(4, 8))] + ["V" + digits()]) for _ in range(30)]
+    pieces = ["".join(rng.choices("ABCabcXYZxyz0123456789", k=rng.randrange(3, 7))) for _ in range(30)]
+    return [t for t in camel + paths + [p * (28 // len(p) + 1) for p in pieces] if len(t) >= 20]
+
+
+@pytest.mark.parametrize("n_keys", [0, 300])
+def test_odd_names_are_no_discoveries(n_keys, spark):
+    known = ["GET/api/v2/users/K8sCluster/Q3Report2024", "XMLHttpRequestV2JSONAPIGWX64DLL", "Ab3x" * 8, "zZ9" * 10, "abcdefghijklmnopqrstuvwxyz0123456789", "a1b2c3d4e5f6g7h8i9j0k1l2"]
+    rng = random.Random(16)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(1000 + i, "see " + "".join(rng.choices(letters, k=rng.randrange(24, 64)))) for i in range(n_keys)]
+    names = known + odd_names(15)
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame([*enumerate(names), *keys], DOCS)).collect()}
+    assert [t for t in known if found[names.index(t)]] == []
+    assert sum("rand:" in found[i] for i in range(len(names))) <= 1 + len(names) // 50
+    assert sum("rand:" in found[d] for d, _ in keys) >= 0.95 * n_keys
+
+
 def test_a_very_long_run(spark):
     """A megabyte without a space: time grows in proportion to its length."""
     rng = random.Random(8)
