@@ -1,18 +1,20 @@
-"""License scans: an exact set-similarity join of lines and windows against license templates.
+"""License scans: an exact set-similarity join of windows of words against license templates.
 
-A block (a line of a text, or ``SPREAD`` times as many consecutive words as the template has, whatever lines they stand in)
-meets a template if it holds at least ``threshold`` of the template's distinct
-words. Words are ordered by how many blocks of the whole corpus hold them, rarest first (lines are counted). A block that holds
-``o = ceil(threshold * |T|)`` of a template's words must hold one of the first ``|T| - o + 1`` of them (prefix
-filter), must have o distinct words (length filter), and at the rarest word it shares enough of the template
-must be left (positional filter). What passes is verified on the words themselves, so nothing is missed.
+A block is so many consecutive words of a text as the template has, and a quarter more (``SLACK``) for marks of comments
+between wrapped lines; lines don't matter. It meets a template if it holds at least ``threshold`` of the template's distinct words,
+those that stand in any text (``COMMON``) left out, which for up to twelve words means all. Words are ordered by
+how many lines of the whole corpus hold them, rarest first. A block that holds ``o = ceil(threshold * |T|)`` of a template's words
+must hold one of the first ``|T| - o + 1`` of them (prefix filter), the text must have o of its words within reach of that
+one (length filter), and o of them must be no rarer than it, as blocks with a rarer one are found there (positional filter).
+What passes is verified window by window, so nothing is missed.
 
 Beside it each place is counted where a base phrase's words stand consecutively.
 
 Templates and phrases are parameters in code, hence of bounded size; only they and their words' counts are sent
 to tasks. Texts stay where they are: two scans, and the only shuffle is of one count per template word and task.
 
-Nulls and edges: a null text is empty (no words, no labels, score 0); a null doc_id is passed on; repeated rows
+Nulls and edges: a null text is empty (no words, no labels, score 0); a very long text is scanned whole, its words' places in
+arrays of its length; words that are equally frequent are ordered by their bytes, which changes no result; a null doc_id is passed on; repeated rows
 give repeated rows; an empty table gives an empty result; other columns of the input are not read.
 """
 
@@ -40,6 +42,7 @@ PHRASES = (
 TEMPLATES = (
     ("agpl-3", "licensed under the GNU Affero General Public License version 3"),
     ("apache-2", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2", "Apache License 2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("cc-by", "licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
@@ -48,13 +51,16 @@ TEMPLATES = (
     ("gpl-3", "licensed under the GNU General Public License version 3"),
     ("lgpl-3", "licensed under the GNU Lesser General Public License version 3"),
     ("mit", "Released under the MIT License"),
+    ("mit", "MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("mpl-2", "subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 THRESHOLD = 0.92
-#: A notice that is wrapped may have as many other words between its own.
-SPREAD = 2
+#: A block has this share of the template's words more, and one at least.
+SLACK = 0.25
+#: Words of templates that any text holds.
+COMMON = ("a", "and", "any", "by", "in", "into", "is", "of", "or", "the", "this", "to", "with")
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
@@ -64,6 +70,15 @@ def _words(text: str) -> list[bytes]:
     return [raw[a:b] for a, b in zip(*spans(raw, ALNUM), strict=True)]
 
 
+def _content(text: str) -> frozenset[bytes]:
+    return frozenset(_words(text)) - {w.encode() for w in COMMON}
+
+
+def _width(text: str) -> int:
+    n = len(_words(text))
+    return n + max(1, math.floor(SLACK * n))
+
+
 def _hash(words: Sequence[bytes]) -> np.ndarray:
     raw = b" ".join(words)
     return word_hashes(raw, *spans(raw, ALNUM))
@@ -108,48 +123,33 @@ def scan_licenses(
 ) -> DataFrame:
     """A row for each document: see SCHEMA. score is the largest share of a template's words in one block among
     the matches (1 where a base phrase stands, 0 without any)."""
-    sets = [(label, frozenset(_words(text))) for label, text in templates]
-    sets = [x for x in sets if x[1]]
-    words = sorted(set().union(*(s for _, s in sets)))
+    sets = [(label, content, _width(text)) for label, text in templates if (content := _content(text))]
+    words = sorted(set().union(*(s for _, s, _ in sets)))
     counts = word_block_counts(docs, words) if words else {}
     ranked = sorted(words, key=lambda w: (counts[w], w))
     rank = {w: i for i, w in enumerate(ranked)}
-    needs = [max(1, math.ceil(threshold * len(s) - 1e-9)) for _, s in sets]
-    ordered = [sorted(rank[w] for w in s) for _, s in sets]
-    #: rank of a prefix word -> (template, how many of its words are left from there)
-    posts: dict[int, list[tuple[int, int]]] = {}
+    needs = [max(1, math.ceil(threshold * len(s) - 1e-9)) for _, s, _ in sets]
+    ordered = [sorted(rank[w] for w in s) for _, s, _ in sets]
+    #: rank of a prefix word -> templates
+    posts: dict[int, list[int]] = {}
     for t, ranks in enumerate(ordered):
-        for i, r in enumerate(ranks[: len(ranks) - needs[t] + 1]):
-            posts.setdefault(r, []).append((t, len(ranks) - i))
+        for r in ranks[: len(ranks) - needs[t] + 1]:
+            posts.setdefault(r, []).append(t)
     hashes = _hash(ranked) if ranked else np.empty(0, np.uint64)
     by_hash = np.argsort(hashes)
     known, is_prefix = hashes[by_hash], np.isin(by_hash, list(posts))
-    widths = [SPREAD * len(_words(text)) for _, text in templates if _words(text)]
     members = [np.isin(np.arange(len(ranked)), x) for x in ordered]
     phrase_hashes = [(label, _hash(_words(text))) for label, text in phrases]
 
-    def verify(block: bytes) -> Iterator[tuple[str, float]]:
-        held = {block[a:b] for a, b in zip(*spans(block, ALNUM), strict=True)}
-        ranks, tried = sorted(rank[w] for w in held if w in rank), set()
-        for i, r in enumerate(ranks):
-            for t, left in posts.get(r, ()):
-                # the first shared word: no more than what is left of either side can be shared
-                if t in tried or len(held) < needs[t] or min(left, len(ranks) - i) < needs[t]:
-                    continue
-                tried.add(t)
-                shared = len(held & sets[t][1])
-                if shared >= needs[t]:
-                    yield sets[t][0], shared / len(sets[t][1])
-
-    def widest(ranks: np.ndarray, t: int) -> int:
-        """The most of a template's words in a window of these words (ranks; -1 for any other word)."""
-        mine = np.flatnonzero((ranks >= 0) & members[t][ranks])
+    def widest(ranks: np.ndarray, t: int, rarest: int) -> int:
+        """The most of a template's words, none rarer than a given one, in a block of these words (ranks; -1 for any other word)."""
+        mine = np.flatnonzero((ranks >= rarest) & members[t][ranks])
         if len(np.unique(ranks[mine])) < needs[t]:
             return 0
         last, best = {}, 0
         for i in mine.tolist():
             last[int(ranks[i])] = i
-            best = max(best, sum(j > i - widths[t] for j in last.values()))
+            best = max(best, sum(j > i - sets[t][2] for j in last.values()))
         return best
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,22 +180,13 @@ def scan_licenses(
                         score[k] = 1.0
                 if len(known):
                     at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    hits = starts[(known[at] == found) & is_prefix[at]]
-                    breaks = np.flatnonzero(np.frombuffer(buf, np.uint8) == 10)
-                    for line in np.unique(np.searchsorted(breaks, hits)).tolist():
-                        a = int(breaks[line - 1]) + 1 if line else 0
-                        b = int(breaks[line]) if line < len(breaks) else len(buf)
-                        for label, share in verify(buf[a:b]):
-                            k = first + int(np.searchsorted(begins, a, "right")) - 1
-                            more[k].add(label)
-                            score[k] = max(score[k], share)
                     ranks = np.where(known[at] == found, by_hash[at], -1)
                     doc = np.searchsorted(edge, np.arange(len(found)), "right") - 1
                     for i in np.flatnonzero((ranks >= 0) & is_prefix[at]).tolist():
                         d = int(doc[i])
-                        for t, _ in posts[int(ranks[i])]:
-                            a, b = max(int(edge[d]), i - widths[t] + 1), min(int(edge[d + 1]), i + widths[t])
-                            if (shared := widest(ranks[a:b], t)) >= needs[t]:
+                        for t in posts[int(ranks[i])]:
+                            a, b = max(int(edge[d]), i - sets[t][2] + 1), min(int(edge[d + 1]), i + sets[t][2])
+                            if (shared := widest(ranks[a:b], t, int(ranks[i]))) >= needs[t]:
                                 more[first + d].add(sets[t][0])
                                 score[first + d] = max(score[first + d], shared / len(sets[t][1]))
             yield pa.RecordBatch.from_arrays(
@@ -224,11 +215,11 @@ def _values(rows: Iterable[tuple]) -> str:
 
 
 def oracle() -> str:
-    sets = [(i, label, sorted(w.decode() for w in set(_words(text)))) for i, (label, text) in enumerate(TEMPLATES)]
-    words = _values((i, label, w, len(s), max(1, math.ceil(THRESHOLD * len(s) - 1e-9))) for i, label, s in sets for w in s)
+    sets = [(i, label, sorted(w.decode() for w in _content(text)), _width(text)) for i, (label, text) in enumerate(TEMPLATES)]
+    words = _values((i, label, w, len(s), max(1, math.ceil(THRESHOLD * len(s) - 1e-9)), width) for i, label, s, width in sets for w in s)
     phrases = _values((label, f" {text} ", text.count(" ") + 1) for label, text in PHRASES)
     return rf"""
-WITH template(t, label, w, size, need) AS (VALUES {words}),
+WITH template(t, label, w, size, need, width) AS (VALUES {words}),
 phrase(label, p, k) AS (VALUES {phrases}),
 doc AS (SELECT row_number() OVER () AS r, doc_id,
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
@@ -236,11 +227,9 @@ listed AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x6
 placed AS (SELECT r, unnest(range(len(ws))) AS i, ws FROM listed),
 base AS (SELECT r, i, label FROM placed, phrase
   WHERE ws[i + 1] = split_part(p, ' ', 2) AND ' ' || array_to_string(ws[i + 1:i + k], ' ') || ' ' = p),
-block AS (SELECT r, b, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS ws
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS b FROM doc)),
-held AS (SELECT r, b, unnest(ws) AS w FROM block),
-met AS (SELECT r, label, count(*) / any_value(size)::DOUBLE AS share FROM held JOIN template USING (w)
-  GROUP BY r, b, t, label HAVING count(*) >= any_value(need)),
+held AS (SELECT r, i, template.* FROM (SELECT r, i, ws[i + 1] AS w FROM placed) JOIN template USING (w)),
+met AS (SELECT a.r, a.label, count(DISTINCT b.w) / any_value(a.size)::DOUBLE AS share FROM held a JOIN held b ON a.r = b.r AND a.t = b.t AND b.i <= a.i AND b.i > a.i - a.width
+  GROUP BY a.r, a.t, a.i, a.label HAVING count(DISTINCT b.w) >= any_value(a.need)),
 found AS (SELECT r, label, 1.0::DOUBLE AS share FROM base UNION ALL SELECT r, label, share FROM met)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
   coalesce(bl, '') AS base_labels, coalesce(al, '') AS labels, coalesce(s, 0.0)::DOUBLE AS score

@@ -60,7 +60,7 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
 def test_odd_rows_as_sql(name, spark, tmp_path):
     rng = random.Random(12)
     key = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
-    texts = ["", None, " \n\t", prose(1), "This is under the MIT License. Apache License, Version 2.0", "CC BY-NC, cc by nc", "É ü 😀 under the MIT license", f"password = '{key(24)}' and AKIA{key(20).upper()}", f"see {key(40)} and 0123456789abcdef0123", f"API_KEY: {key(12)}", f"😀 secret:{key(11)}"]
+    texts = ["", None, " \n\t", prose(1), "This is under the MIT License. Apache License, Version 2.0", "CC BY-NC, cc by nc", "MIT\n// License", "Licensed\n * under the\n * Apache License,\n * Version 2.0", "free and\nunencumbered\n# software released\n# into the public domain", "MIT and other words, license", "É ü 😀 under the MIT license", f"password = '{key(24)}' and AKIA{key(20).upper()}", f"see {key(40)} and 0123456789abcdef0123", f"API_KEY: {key(12)}", f"😀 secret:{key(11)}"]
     names = [("en", "src0"), ("it", "src0"), (None, "src1"), ("de", "wiki"), ("en", None), ("fr", "src7"), (None, None)]
     docs = [doc(None if i % 17 == 3 else i, texts[i % len(texts)] if i % 3 else prose(i), *names[i % len(names)]) for i in range(300)]
     folder = stored(spark, tmp_path, docs)

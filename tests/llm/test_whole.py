@@ -59,6 +59,13 @@ def test_wrapped_notices(spark):
     assert found.keys() == {d for d, _ in docs}
 
 
+def test_short_and_scattered_notices(spark):
+    scattered = "the mit group released a report. students under pressure need a license to drive"
+    texts = ["Released under MIT License", "Apache License 2.0", "MIT License", scattered, "(Apache License, version\n# 2.0)", "the Apache tribe has a 2 year license and 0 debts", "license. MIT", "licensed under the GNU Lesser\n * General Public License version 3"]
+    found = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    assert found == {0: "mit", 1: "apache-2", 2: "mit", 3: "", 4: "apache-2", 5: "", 6: "mit", 7: "gpl-3,lgpl-3"}
+
+
 def test_secrets_in_assignments_and_paths(spark):
     rng = random.Random(9)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
