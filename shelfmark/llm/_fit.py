@@ -30,13 +30,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     return joined.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 30) -> np.ndarray:
-    """Weights that minimise the mean logistic loss plus l2/2 |w|^2, by damped Newton steps."""
-    w, n = np.zeros(x.shape[1]), max(1, len(x))
-    loss = lambda w: np.logaddexp(0, np.where(y > 0, -1.0, 1.0) * (x @ w)).sum() / n + l2 / 2 * w @ w
+def logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 30, prior: np.ndarray | None = None) -> np.ndarray:
+    """Weights that minimise the mean logistic loss plus l2/2 |w - prior|^2, by damped Newton steps; without a prior it is zero."""
+    w0, n = np.zeros(x.shape[1]) if prior is None else prior, max(1, len(x))
+    w = w0.copy()
+    loss = lambda w: np.logaddexp(0, np.where(y > 0, -1.0, 1.0) * (x @ w)).sum() / n + l2 / 2 * (w - w0) @ (w - w0)
     for _ in range(steps):
         p = sigmoid(x @ w)
-        grad = x.T @ (p - y) / n + l2 * w
+        grad = x.T @ (p - y) / n + l2 * (w - w0)
         step = np.linalg.solve((x.T * (p * (1 - p))) @ x / n + l2 * np.eye(len(w)), grad)
         size, now = 1.0, loss(w)
         while size > 1e-4 and loss(w - size * step) > now:

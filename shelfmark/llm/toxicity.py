@@ -1,19 +1,27 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-Words are mapped to classes (insult, threat, target, negation, reported speech, a clause's end, other). Four small
-transducers read and write classes: negation turns an insult or threat that follows it closely into a denied one;
-reported speech turns one into a quoted one until the clause ends; target adds a directed one if the clause also
-names somebody; the last counts what comes out. They are composed into one machine, which runs over those clauses
-that hold an insult or a threat. A document's score is logistic in the weights of its matched clauses.
+Words are mapped to classes (insults, negative predicates, verbs of violence and of hate, intent, target, copula, negation,
+reported speech, a clause's end, ...). Five transducers read and write classes:
 
-The lists below give the grammar's closed classes and some insults and threats; further insults, of any language,
+- threat: a verb of violence becomes a threat by a target that follows it ("kill you", "kill them"), unless an article comes next
+  ("burn you a CD", "kill the process"); so do "go die" and "you will die";
+- insult: nouns of abuse are insults; a negative predicate becomes one after a target, either at once ("you useless ...") or by
+  way of a copula ("they are so stupid"); a verb of hate becomes one by a target that follows;
+- negation turns an insult or threat that follows it closely into a denied one;
+- reported speech turns one into a quoted one until the clause ends;
+- target adds a directed one if the clause also names somebody.
+
+They are composed into one machine, which runs over those clauses that hold a word of abuse, hate, violence or death; what comes out is
+counted. A document's score is logistic in the weights of its matched clauses.
+
+The lists below give the grammar's closed classes and seeds of the open ones; further insults, of any language,
 are induced from training labels: words whose presence speaks for the label with at least ``SUPPORT`` documents and
 ``PRECISION``. Both steps fit on at most ``SAMPLE`` labelled rows; the lexicon is bounded by ``LEXICON``. Scoring is
 one scan over whole texts; nothing is shuffled.
 
 Nulls and edges: a null text is empty and scores like one without a match; without labels of both kinds the score
-rests on fixed weights; a null doc_id is passed on, not held out; repeated rows give repeated rows; other columns
-are not read.
+rests on fixed weights, which are also what weights are drawn to where the sample says little; a null doc_id is passed on, not held out; repeated rows give repeated rows; a very long text is one
+row, whose words' places are held; of induced words that are equally frequent the smaller come first; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,21 +49,79 @@ REACH = 3
 
 #: The closed classes and the seeds of the open ones.
 WORDS = {
-    "insult": "idiot idiots moron morons stupid scum trash clown loser losers pathetic worthless disgusting imbecile vermin filth",
-    "threat": "kill kills hurt destroy burn shoot stab murder strangle hang beat töten umbringen tuer matar",
-    "target": "you your yours yourself u ya they them their he him she her these those people everyone du dich dir ihr euch tu te toi vous tú ti usted ustedes",
+    "insult": "idiot idiots moron morons scum trash clown loser losers imbecile vermin filth bastard bastards cretin cretins bitch pig swine dumbass asshole fool fools waste parasite parasites",
+    "predicate": "stupid pathetic worthless disgusting useless dumb ugly ignorant hopeless brainless vile idiotic contemptible dumm wertlos nutzlos stupide inutile",
+    "hate": "hate hates despise despises detest loathe hasse déteste odio",
+    "violence": "kill kills hurt hurts destroy burn shoot stab murder strangle hang beat smash choke töten umbringen tuer matar",
+    "death": "die rot perish suffer sterben mourir morir",
+    "intent": "will ll shall gonna going want must werde werden vais voy",
+    "go": "go please",
+    "article": "a an the some this that these those ein eine das den une le la un una el",
+    "target": "you your yours yourself u ya they them their he him she her people everyone du dich dir ihr euch tu te toi vous tú ti usted ustedes",
+    "copula": "are is re am was were be bist seid sind es est sont eres son",
     "negation": "not never no neither nor cannot isn aren wasn don doesn didn won nicht kein keine keinen nie ne pas jamais nunca jamás",
     "report": "said says say wrote writes called calls claimed claims reported reports quoted quotes told according sagte sagt schrieb dit disait écrit dijo dice escribió",
 }
-CLASSES = ("other", "end", "insult", "threat", "target", "negation", "report")
-#: What the composed machine counts in matched clauses.
-OUT = ("insult", "directed insult", "denied insult", "quoted insult", "threat", "directed threat", "denied threat", "quoted threat")
+CLASSES = ("other", "end", *WORDS)
+#: Words of these make a clause worth a look.
+HOT = ("insult", "predicate", "hate", "violence", "death")
+#: What the composed machine counts in matched clauses; the last ones are no match by themselves.
+OUT = ("insult", "directed insult", "denied insult", "quoted insult", "threat", "directed threat", "denied threat", "quoted threat", "violence", "predicate")
+MATCHES = 8
 
 _TOKEN = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
 
 Machine = dict[tuple[object, str], tuple[object, tuple[str, ...]]]
 
 
+def threatening(symbols: tuple[str, ...]) -> Machine:
+    """States: nothing; a verb, and how many more words may stand before its target; a verb and its target, which the next word
+    may still make harmless; a call to go; a target, a target's future."""
+    out: Machine = {}
+    for state in ("", "verb 2", "verb 1", "struck", "go", "target", "future"):
+        for x in symbols:
+            first = ("threat",) if state == "struck" and x != "article" else ()
+            to, more = "", ()
+            if x == "violence":
+                to = "verb 2"
+            elif x == "target":
+                to = "struck" if state.startswith("verb") else "target"
+            elif x == "go":
+                to = "go"
+            elif x == "intent" and state == "target":
+                to = "future"
+            elif x == "death" and state in ("go", "future"):
+                more = ("threat",)
+            elif state == "verb 2" and x == "other":
+                to = "verb 1"
+            elif state == "future" and x == "other":
+                to = "future"
+            out[state, x] = to, (*first, x, *more)
+    return out
+
+
+def insulting(symbols: tuple[str, ...]) -> Machine:
+    """States: nothing; hate that waits for its target; a target just named; one with a copula."""
+    out: Machine = {}
+    for state in ("", "hate", "target", "copula"):
+        for x in symbols:
+            to, written = state if state == "copula" else "", (x,)
+            if x == "end":
+                to = ""
+            elif x == "hate":
+                to = "hate"
+            elif x == "target":
+                to, written = "target", ("insult", x) if state == "hate" else (x,)
+            elif x == "copula" and state == "target":
+                to = "copula"
+            elif x == "predicate" and state in ("target", "copula"):
+                to, written = state, ("insult",)
+            elif state == "target" and x in ("article", "threat"):
+                to = state
+            out[state, x] = to, written
+    return out
+
+
 def negation(symbols: tuple[str, ...]) -> Machine:
     """States: words that the last negation still reaches."""
     out: Machine = {}
@@ -109,14 +175,22 @@ def compose(first: Machine, start_a: object, second: Machine, start_b: object) -
     return out
 
 
-def grammar() -> Machine:
-    more = ("denied insult", "denied threat")
-    denied = compose(negation(CLASSES), 0, reporting((*CLASSES, *more)), False)
-    all_out = tuple(dict.fromkeys(y for _, written in denied.values() for y in written))
-    return compose(denied, (0, False), targeting(all_out), "")
+def cascade() -> list[tuple[Machine, object]]:
+    """The transducers in order, each over what the one before writes, with their first states."""
+    out, symbols = [], CLASSES
+    for make, start in ((threatening, ""), (insulting, ""), (negation, 0), (reporting, False), (targeting, "")):
+        machine = make(symbols)
+        out.append((machine, start))
+        symbols = tuple(dict.fromkeys(y for _, written in machine.values() for y in written))
+    return out
 
 
-START = ((0, False), "")
+def grammar() -> tuple[Machine, object]:
+    """The composed machine and its first state."""
+    (machine, state), *rest = cascade()
+    for more, start in rest:
+        machine, state = compose(machine, state, more, start), (state, start)
+    return machine, state
 
 
 def words(text: str | None) -> list[str]:
@@ -152,16 +226,17 @@ class Scorer:
 
     def __init__(self, induced: dict[str, float]):
         classes = {w: c for c, ws in WORDS.items() for w in ws.split()}
-        classes |= {w: "insult" for w in induced if classes.get(w, "insult") == "insult"}
+        classes |= {w: "insult" for w in induced if classes.get(w, "insult") in ("insult", "predicate")}
         names = sorted(classes)
         raw = " ".join(names).encode()
         hashes = word_hashes(raw, *spans(raw, ALNUM))
         order = np.argsort(hashes)
         self.hashes = hashes[order]
         self.classes = [classes[names[i]] for i in order]
-        self.hot = np.array([c in ("insult", "threat") for c in self.classes])
-        self.weights = [max(0.5, induced.get(names[i], 1.0)) for i in order]
-        self.machine = grammar()
+        self.hot = np.array([c in HOT for c in self.classes])
+        usual = float(np.median([*induced.values()])) if induced else 1.0  # of listed words that the sample doesn't hold often enough
+        self.weights = [max(0.5, induced.get(names[i], usual)) for i in order]
+        self.machine, self.start = grammar()
 
     def clauses(self, texts: list[str | None]) -> np.ndarray:
         """For each text: the summed weights of each kind of output, then the number of matched clauses."""
@@ -185,21 +260,26 @@ class Scorer:
         return out
 
     def _run(self, known: list[int], at: np.ndarray, into: np.ndarray) -> None:
-        state, weight, before = START, 1.0, None
-        for i in known:
-            # Unknown words only move the machine on: more than REACH of them forget a negation.
-            for _ in range(min(REACH, i - before - 1) if before is not None else 0):
-                state, _ = self.machine[state, "other"]
+        state, weight, before = self.start, 1.0, None
+        for i in [*known, None]:
+            # Unknown words only move the machine on: more than REACH of them change nothing more.
+            for _ in range(min(REACH, i - before - 1) if i is not None and before is not None else 0):
+                state, written = self.machine[state, "other"]
+                self._count(written, weight, into)
             before = i
-            kind = self.classes[at[i]]
-            if kind in ("insult", "threat"):
+            kind = "end" if i is None else self.classes[at[i]]
+            if kind in HOT:
                 weight = self.weights[at[i]]
             state, written = self.machine[state, kind]
-            for x in written:
-                if x in _OUT:
-                    into[_OUT[x]] += weight
+            self._count(written, weight, into)
         into[-1] += 1
 
+    @staticmethod
+    def _count(written: tuple[str, ...], weight: float, into: np.ndarray) -> None:
+        for x in written:
+            if x in _OUT:
+                into[_OUT[x]] += weight
+
 
 _OUT = {x: i for i, x in enumerate(OUT)}
 #: Where clauses end: stops, bars and line ends.
@@ -208,11 +288,11 @@ _STOP[list(b".!?;|\n")] = True
 
 
 def _x(clauses: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(clauses)), np.log1p(clauses), (clauses[:, :-1].sum(1) > 0)])
+    return np.column_stack([np.ones(len(clauses)), np.log1p(clauses), (clauses[:, :MATCHES].sum(1) > 0)])
 
 
 #: Used where there are no labels to learn from: one direct match is enough.
-FIXED = np.array([-2.0, 1, 1, -0.5, -0.5, 0.5, 1.5, -0.5, -0.5, 0, 2])
+FIXED = np.array([-2.0, 1, 1, -0.5, -0.5, 1, 2.5, -0.5, -0.5, 0, 0, 0, 2])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, np.ndarray]:
@@ -227,7 +307,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Sco
     y = np.array([r.label for r in found])
     if len(set(y.tolist())) < 2:
         return scorer, FIXED
-    return scorer, logistic(_x(np.array([r.x for r in found])), y, L2)
+    return scorer, logistic(_x(np.array([r.x for r in found])), y, L2, prior=FIXED)
 
 
 def score_toxicity(docs: DataFrame, model: tuple[Scorer, np.ndarray]) -> DataFrame:

@@ -17,6 +17,7 @@ import pytest
 import __spark_entry__ as driver
 import corpus_pipeline
 from shelfmark.llm import decontaminate, jaccard, langmodel, mixing, neighbours, quality, queries, secrets, toxicity, warc
+from shelfmark.llm._text import ALNUM, spans, word_hashes
 from tests.compare import duck_rows, spark_rows
 
 DOCS = "doc_id long, text string"
@@ -277,21 +278,88 @@ def test_toxicity_holds_out(spark):
 
 
 def test_grammar():
-    machine = toxicity.grammar()
+    machine, start = toxicity.grammar()
 
     def run(*kinds):
-        state, out = toxicity.START, []
-        for x in kinds:
+        state, out = start, []
+        for x in (*kinds, "end"):
             state, written = machine[state, x]
-            out += [y for y in written if y in toxicity.OUT]
+            out += [y for y in written if y in toxicity.OUT[: toxicity.MATCHES]]
         return out
 
     assert run("target", "other", "insult") == ["insult", "directed insult"]
     assert run("insult", "target") == ["insult", "directed insult"]
     assert run("negation", "other", "insult") == ["denied insult"]
     assert run("negation", "other", "other", "other", "insult") == ["insult"]
-    assert run("report", "other", "threat") == ["quoted threat"]
-    assert run("report", "end", "threat", "target") == ["threat", "directed threat"]
+    assert run("target", "predicate") == run("target", "copula", "other", "other", "predicate") == run("hate", "target") == ["insult", "directed insult"]
+    assert run("predicate") == run("target", "other", "predicate") == run("target", "end", "copula", "predicate") == []
+    assert run("violence", "target") == run("violence", "other", "target", "other") == ["threat", "directed threat"]
+    assert run("violence", "target", "article", "other") == run("violence", "article", "other") == run("violence", "other", "other", "target") == []
+    assert run("go", "death") == ["threat"] and run("target", "intent", "other", "death") == ["threat", "directed threat"] and run("death") == []
+    assert run("negation", "violence", "target") == ["denied threat"] and run("report", "violence", "target") == ["quoted threat"]
+    assert run("report", "end", "violence", "target") == ["threat", "directed threat"]
+
+
+def test_composed_machine_is_its_parts_one_after_the_other():
+    machine, state = toxicity.grammar()
+    parts = toxicity.cascade()
+    states, rng = [start for _, start in parts], random.Random(18)
+    for _ in range(20_000):
+        symbols = (x,) = (rng.choice(toxicity.CLASSES),)
+        for i, (part, _) in enumerate(parts):
+            out = []
+            for y in symbols:
+                states[i], written = part[states[i], y]
+                out += written
+            symbols = tuple(out)
+        state, written = machine[state, x]
+        assert written == symbols
+
+
+def clauses_by_definition(scorer, text):
+    """Word by word over whole clauses, unknown words as they come."""
+    classes = dict(zip(scorer.hashes.tolist(), zip(scorer.classes, scorer.weights, strict=True), strict=True))
+    out = np.zeros(len(toxicity.OUT) + 1)
+    for clause in re.split(r"[.!?;|\n]", text.lower()):
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", clause)
+        if not words:
+            continue
+        raw = " ".join(words).encode()
+        own = [classes.get(h, ("other", 1.0)) for h in word_hashes(raw, *spans(raw, ALNUM)).tolist()]
+        if not any(kind in toxicity.HOT for kind, _ in own):
+            continue
+        out[-1] += 1
+        weight, states = 1.0, [start for _, start in toxicity.cascade()]
+        for kind, w in [*own, ("end", 1.0)]:
+            weight, symbols = (w if kind in toxicity.HOT else weight), [kind]
+            for i, (part, _) in enumerate(toxicity.cascade()):
+                written = []
+                for y in symbols:
+                    states[i], more = part[states[i], y]
+                    written += more
+                symbols = written
+            for y in symbols:
+                if y in toxicity.OUT:
+                    out[toxicity.OUT.index(y)] += weight
+    return out
+
+
+def test_clauses_as_defined():
+    rng = random.Random(19)
+    scorer = toxicity.Scorer({"schlimm": 2.0, "idiot": 3.0})
+    known = [w for ws in toxicity.WORDS.values() for w in ws.split()]
+    texts = [" ".join(rng.choice([rng.choice(known), rng.choice(known), "schlimm", "word", "more", "é", "."]) for _ in range(rng.randrange(40))) for _ in range(120)]
+    found = scorer.clauses([*texts, None, ""])
+    assert np.allclose(found[:-2], [clauses_by_definition(scorer, t) for t in texts]) and not found[-2:].any() and found[:, : toxicity.MATCHES].sum() > 100
+
+
+def test_scores_of_sentences(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    scorer, weights = toxicity.train(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    bad = ["I hate you, you useless waste of space, go die in a ditch", "You are a cunning bastard and a cretin", "I will kill you", "They are so very stupid"]
+    clean = ["I will burn you a CD of the concert", "Kill the process and hang up", "We will not hurt you", "This is a useless feature", "plain text"]
+    score = toxicity.sigmoid(toxicity._x(scorer.clauses(bad + clean)) @ weights)
+    assert (score[: len(bad)] > 0.7).all() and (score[len(bad) :] < 0.5).all()
 
 
 def test_quality_holds_out(spark):
