@@ -1,7 +1,7 @@
 """Words and their 64-bit hashes for many texts at once, in numpy, inside tasks.
 
-Texts are joined with a separator byte and cut into pieces of at most ``PIECE`` bytes (a longer text is
-hashed in several windows that end between words), so a task's memory does not follow a text's length.
+Short texts are joined with a separator byte into pieces of at most ``PIECE`` bytes; a longer text is a piece of its own, of
+which a task holds the bytes and its words' places and hashes (hashing itself goes by windows that end between words).
 """
 
 from __future__ import annotations

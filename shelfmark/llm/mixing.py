@@ -15,7 +15,7 @@ themselves stay where they are: the tree with its cut points is joined to them (
 
 Nulls and edges: a null lang or source is a leaf named 'none'; a null text has no tokens and is in with every pass of
 its leaf; a row without doc_id is ordered by its text; an empty table gives an empty result; a weight of 0 gives
-nothing; a name that isn't listed has the weight listed for None, 0 without it; other columns are not read, and pass through the mixture as they are.
+nothing; a text of any length is counted where it stands, as its number of words only; a name that isn't listed has the weight listed for None, 0 without it; other columns are not read, and pass through the mixture as they are.
 """
 
 from __future__ import annotations

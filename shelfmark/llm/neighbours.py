@@ -16,7 +16,8 @@ the pivots.
 Nulls and edges: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
 those with another length than most; rows without vec_id neither; a repeated row counts once, and of an id with
 several vectors the nearest counts; with fewer than k candidates all are returned; an empty table gives none; other
-columns are not read, whatever their names.
+columns are not read, whatever their names. Rows of a block are in the order of their smallest ids, so that of equal footrules
+at the cut the smaller ids are ranked anew, however the table was dealt.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ class Block:
     def search(self, q: np.ndarray, near: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and exact distances of the ``most`` rows with the smallest footrule to q."""
         if most < len(self.x):
-            rows = np.argpartition(-self.shared(near), most - 1)[:most]
+            rows = np.argsort(-self.shared(near), kind="stable")[:most]
         else:
             rows = np.arange(len(self.x))
         return rows, np.sqrt(((self.x[rows] - q) ** 2).sum(1))
@@ -96,6 +97,7 @@ def build(vectors: DataFrame, points: np.ndarray, nearest: int, blocks: int) ->
     """The index: a row for each block of distinct vectors (v, ids), with its inverted files; written once."""
 
     def post(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.iloc[np.argsort([ids[0] for ids in held["ids"]], kind="stable")]
         x = np.stack(held["v"].to_numpy()).astype(np.float64)
         files = Block.posted(x, points, nearest)
         packed = [y.tobytes() for y in (x, files.edge, files.rows, files.places)]

@@ -8,7 +8,9 @@ Fitting uses at most ``SAMPLE`` labelled rows (chosen by a hash of their ids) an
 what the driver gets is their features. Scoring is one scan with a weight vector; nothing is shuffled.
 
 Nulls and edges: a null text is empty and is scored like one; without labels of both kinds every score is 0.5;
-a null doc_id is passed on, not held out; repeated rows give repeated rows; other columns are not read.
+a null doc_id is passed on, not held out; repeated rows give repeated rows; of rows that repeat an id with other texts one is
+fitted on, chosen by a hash of the text, and all are scored; a very long text is one row, its features are sums over it; scores that
+tie at the cut are all above it; other columns are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ spark.checkpoint.dir.
 
 Nulls and edges: a null html is an empty payload; a null page_id sorts after all others and is written as an
 empty id (a revisit of such a record has a null refers_to); of repeated rows with equal page_id one is the
-response, the others revisit it; an empty table gives an empty result; other columns are not read.
+response, the others revisit it; a very long payload is one record: writing holds it and its compressed form, reading a chunk
+(and the payload, where it is kept); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

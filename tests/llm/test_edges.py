@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,42 @@ def test_vectors_that_take_no_part(spark):
     assert neighbours.search(vectors, vectors.filter("vec_id = 100")).count() == 3
 
 
+def test_neighbours_do_not_follow_the_order_of_rows(spark):
+    """Ties of the footrule, several blocks, and columns named like those of the index."""
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randrange(3)) for _ in range(4)] + [1.0]) for i in range(600)]
+    found = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit("mine") for c in ("n", "v", "ids", "vb", "qb", "d", "x", "score", "rank")})
+        found.append(neighbours.search(vectors.repartition(1 + 3 * seed), vectors.filter("vec_id % 100 = 0"), k=5, pivots=20, nearest=6, reads=4, rerank=0.5, block=40).collect())
+    assert sorted(found[0]) == sorted(found[1]) == sorted(found[2]) and len(found[0]) == 30
+
+
+def test_ids_that_repeat_with_other_texts(spark, labels):
+    """Which text is fitted on doesn't follow the order of rows, and all are scored."""
+    rng = random.Random(5)
+    rows = [(i % 40, " ".join(rng.choice(["good", "words", "idiot", "!!!", "text"]) for _ in range(12))) for i in range(160)]
+    marks = spark.createDataFrame([(i, i % 2, (i + 1) % 2) for i in range(40)], LABELS)
+    found = []
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1 + 4 * seed)
+        a = toxicity.score_toxicity(docs, toxicity.train(docs, marks)).collect()
+        b = quality.score_quality(docs, quality.train(docs, marks)).collect()
+        found.append([sorted((r.doc_id, round(r.score, 9)) for r in x) for x in (a, b)])
+    assert found[0] == found[1] and all(len(x) == 160 for x in found[0])
+
+
+def test_a_very_long_payload(spark):
+    rows = [(1, "u", "é" * 3_000_000), (2, "u", "é" * 3_000_000), (3, "u", "x" * 99)]
+    folder = new_folder(spark, "warc")
+    found = warc.read_archives(warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder), folder).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to, r.payload_bytes, len(r.payload or b"")) for r in found) == [
+        (1, "response", None, 6_000_000, 6_000_000), (2, "revisit", 1, 6_000_000, 0), (3, "response", None, 99, 99),
+    ]
+
+
 def test_pages_that_repeat(spark):
     same, short = "x" * 200, "y" * 99
     rows = [(3, "c", same), (1, "a", same), (1, "a", same), (5, None, None), (6, "f", ""), (7, "g", short), (8, "h", short), (None, "n", "z" * 150), (None, "m", "z" * 150), (9, "a\r\nb", "é" * 60)]

@@ -39,8 +39,9 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     """Without labels none is rejected, so what stays is known row by row; the mixture of that is what run() must return."""
     a, b, c, leak, item = prose(1), prose(2), prose(3), prose(4), prose(5, 16)
     secret = f"{prose(6)} token=abcdefghijklmnop1"
+    long = " ".join(prose(900 + i) for i in range(3000))
     others = [doc(100 + i, prose(100 + i), lang, source) for i, (lang, source) in enumerate([("en", "src1"), ("de", "src2"), (None, "src3"), ("it", None), ("fr", "wiki")] * 6)]
-    stay = [doc(1, a), doc(5, b), doc(None, c), doc(8, ""), doc(None, None, None, None), doc(21, secret), *others]
+    stay = [doc(1, a), doc(5, b), doc(None, c), doc(8, ""), doc(None, None, None, None), doc(21, secret), doc(30, long), *others]
     go = [doc(1, a), doc(5, f"{a} more"), doc(None, a), doc(None, c), doc(20, f"{leak} {item} {leak}")]
     folder = stored(spark, tmp_path, [*go, *stay], items=[(1, item), (2, None), (None, "")])
     kept = [doc(21, f"{prose(6)} [SECRET]") if r[0] == 21 else r for r in stay]
