@@ -24,22 +24,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones, scores above the cut. Rows without an id are scored as others; repeated
+    rows are kept or go together; without labels all stay."""
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: the smallest id, of equal ids the smallest hash of the text, then of the row. Texts
+    without words are no copies of each other; of equal ones with one id one stays."""
     return jaccard.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark; items without text match nothing, and without items all stay."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret and n_chars to match; texts without secrets, null ones too, are as they were."""
     return secrets.redact_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the target weights take, with domain, n_tokens and epochs; ties in the order of a leaf are in or out together."""
     return mixing.mix(docs)
 
 
