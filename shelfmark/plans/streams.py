@@ -52,6 +52,15 @@ def throttle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(out, "throttle").select("user_id", F.col("value").alias("event_id"))
 
 
+@query("""WITH e AS (SELECT user_id, event_id, ts, event_type = 'error' AS cancels, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next FROM events)
+SELECT user_id, event_id FROM e WHERE NOT cancels AND (next IS NULL OR next >= ts + INTERVAL 5 HOUR)""")
+def debounce_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event of each burst of a user's; an error cancels what is pending."""
+    rows = events(spark, sf_dir).select("ts", "user_id", "event_id", (F.col("event_type") == "error").alias("cancels"))
+    out = ordered.debounced(replayed(rows, "event_id"), ["user_id"], "ts", DELAY, 5 * 3_600_000, "event_id", "cancels")
+    return drained(out, "debounce").select("user_id", F.col("value").alias("event_id"))
+
+
 _BUS = {"view": "variant:selected", "click": "variant:update", "purchase": "cart:update", "error": "cart:error", "signup": "discount:update"}
 
 

@@ -19,12 +19,14 @@ from pyspark.sql.types import StructType
 State = tuple | None
 #: (state, time in microseconds, the event's other values) -> state, rows to emit without their key.
 Step = Callable[[State, int, tuple], tuple[State, list[tuple]]]
+#: What a state says when its time is over.
+Close = Callable[[tuple], list[tuple]]
 
 
 class OrderedFold(StatefulProcessor):
-    def __init__(self, held: str, state: str, columns: Sequence[str], out: Sequence[str], step: Step, ends: Callable[[tuple], int | None]):
+    def __init__(self, held: str, state: str, columns: Sequence[str], out: Sequence[str], step: Step, ends: Callable[[tuple], int | None], close: Close):
         self.held_schema, self.state_schema = held, state
-        self.columns, self.out, self.step, self.ends = list(columns), list(out), step, ends
+        self.columns, self.out, self.step, self.ends, self.close_state = list(columns), list(out), step, ends, close
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -45,17 +47,24 @@ class OrderedFold(StatefulProcessor):
         out: list[tuple] = []
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
+
+        def closed(state: State, now: int) -> State:
+            ends = self.ends(state) if state is not None else None
+            if ends is None or ends > now:
+                return state
+            out.extend((*key, *row) for row in self.close_state(state))
+            return None
+
         done = 0
         for at, *values in waiting:
             if at > watermark * 1000:
                 break
-            state, rows = self.step(state, at, tuple(values))
+            state, rows = self.step(closed(state, at), at, tuple(values))
             out += [(*key, *row) for row in rows]
             done += 1
         rest = waiting[done:]
+        state = closed(state, watermark * 1000)
         ends = self.ends(state) if state is not None else None
-        if state is not None and ends is not None and ends <= watermark * 1000 and not rest:
-            state = None
         self.waiting.put(rest) if rest else self.waiting.clear()
         self.state.update(state) if state is not None else self.state.clear()
         wake = [at for at in (rest[0][0] if rest else None, ends if state is not None else None) if at is not None]
@@ -78,11 +87,12 @@ def ordered_fold(
     out: str,
     ends: Callable[[tuple], int | None] = lambda state: None,
     at: Column | None = None,
+    close: Close = lambda state: [],
 ) -> DataFrame:
     """A stream folded for each key in the order of ts (or of ``at``, in microseconds, not before ts) and then of the values.
 
-    state, out: schemas of the state and of the emitted columns (the keys come first). ends: when, in microseconds, a state can
-    be forgotten; null for never. Events that are later than the delay behind the newest are left out, as watermarks do; rows
+    state, out: schemas of the state and of the emitted columns (the keys come first). ends: when, in microseconds, a state is
+    over and forgotten, null for never; close: what it gives then. Events that are later than the delay behind the newest are left out, as watermarks do; rows
     without any key only carry time.
     """
     marked = events.withWatermark(ts, delay).withColumn("at_us", F.unix_micros(ts) if at is None else F.greatest(F.unix_micros(ts), at))
@@ -90,7 +100,7 @@ def ordered_fold(
     columns = ["at_us", *values]
     held = ", ".join(f"{c} {kinds[c]}" for c in columns)
     schema = StructType.fromDDL(", ".join([*(f"{k} {kinds[k]}" for k in keys), out]))
-    fold = OrderedFold(held, state, columns, schema.names, step, ends)
+    fold = OrderedFold(held, state, columns, schema.names, step, ends, close)
     # A condition without ts would be moved before the watermark, which then didn't see the rows that only carry time.
     keyed = marked.filter(F.when(F.col(ts).isNotNull(), _any_key(keys))).select(*keys, ts, *columns)
     return keyed.groupBy(*keys).transformWithStateInPandas(fold, schema, "append", "eventTime")
@@ -120,6 +130,22 @@ def throttled(events: DataFrame, keys: Sequence[str], ts: str, delay: str, wait_
     return ordered_fold(events, keys, ts, delay, [value, cancel], "at long", step, f"at timestamp, value {kind}", lambda state: state[0] + wait)
 
 
+def debounced(events: DataFrame, keys: Sequence[str], ts: str, delay: str, wait_ms: int, value: str, cancel: str) -> DataFrame:
+    """keys, at, value, calls: the last call of each burst, when nothing has come for the wait; each call begins the wait anew.
+
+    Where the boolean column cancel is true the event is no call: what is pending is dropped.
+    """
+    wait = wait_ms * 1000
+
+    def step(state: State, at: int, event: tuple) -> tuple[State, list[tuple]]:
+        own, cancels = event
+        return (None if cancels else (at, own, (state[2] if state else 0) + 1)), []
+
+    kind = {f.name: f.dataType.simpleString() for f in events.schema}[value]
+    close: Close = lambda state: [(pd.Timestamp(state[0], unit="us", tz="UTC"), state[1], state[2])]
+    return ordered_fold(events, keys, ts, delay, [value, cancel], f"at long, value {kind}, calls long", step, f"at timestamp, value {kind}, calls long", lambda state: state[0] + wait, close=close)
+
+
 def published_on_time(rows: DataFrame, keys: Sequence[str], ts: str, delay: str, row_id: str, due: str) -> DataFrame:
     """keys, row_id, published: each row once, when event time has reached its time to be published.
 

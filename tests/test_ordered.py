@@ -62,6 +62,21 @@ def test_cancel_starts_the_wait_anew(spark, tmp_path):
     assert sorted(r.value for r in found.collect()) == [1, 4]
 
 
+def test_debounce_with_cancel_over_batches(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(rng.choice("aab"), at(s), n, rng.random() < 0.25) for n, s in enumerate(rng.sample(range(900), 120))]
+    want, calls = [], {}
+    by_key = {k: sorted((r[1], r[2], r[3]) for r in rows if r[0] == k) for k in "ab"}
+    for key, own in by_key.items():
+        for (ts, n, cancels), (after, *_) in zip(own, [*own[1:], (at(10**7),)], strict=True):
+            calls[key] = 0 if cancels else calls.get(key, 0) + 1
+            if not cancels and (after - ts).total_seconds() >= 10:
+                want.append((key, n, calls.pop(key)))
+    folder = replay(spark.createDataFrame(rows, CALLS), "ts", [F.col("ts") < at(300), (F.col("ts") >= at(300)) & (F.col("ts") < at(600)), F.col("ts") >= at(600)], FAR)
+    found = drain(ordered.debounced(stream(spark, CALLS, folder), ["key"], "ts", "5 seconds", 10_000, "n", "cancels"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert sorted((r.key, r.value, r.calls) for r in found.collect()) == sorted(want) and len(want) > 20
+
+
 def test_nothing_is_published_before_its_time(spark, tmp_path):
     schema = "drop string, ts timestamp, id long, due timestamp"
     folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
