@@ -8,15 +8,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: An array is cut into so many blocks; a group adds up at most FAN tasks' blocks, for up to FAN**LEVELS tasks.
-BLOCKS, FAN, LEVELS = 16, 64, 3
+#: An array is cut into BLOCKS blocks at least, of BLOCK_BYTES at most; a group adds up at most FAN tasks' blocks (so it holds FAN *
+#: BLOCK_BYTES, far below the 2 GB that a column of bytes can have), for up to FAN**LEVELS tasks.
+BLOCKS, BLOCK_BYTES, FAN, LEVELS = 16, 1 << 22, 64, 3
 SCHEMA = "block int, grp int, part binary"
 
 
 def blocks(total: np.ndarray) -> tuple[list[int], list[int], list[bytes]]:
     """Columns of SCHEMA for the array of the task that calls."""
-    parts = [x.astype(np.float64).tobytes() for x in np.array_split(total.ravel(), BLOCKS)]
-    return list(range(BLOCKS)), [TaskContext.get().partitionId()] * BLOCKS, parts
+    n = max(BLOCKS, -(-8 * total.size // BLOCK_BYTES))
+    parts = [x.astype(np.float64).tobytes() for x in np.array_split(total.ravel(), n)]
+    return list(range(n)), [TaskContext.get().partitionId()] * n, parts
 
 
 def batch(total: np.ndarray) -> pa.RecordBatch:
