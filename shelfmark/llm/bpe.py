@@ -49,7 +49,7 @@ MEMO, MEMO_PIECE = 1 << 18, 64
 #: Ids or bytes of a batch that a task sends on.
 BATCH = 1 << 21
 
-# First and last code points of letters and numbers that are newer than the Unicode tables of the reference library.
+# First and last code points of letters and numbers that are newer than the Unicode tables of the tokenizer library.
 NEWER = (
     "0558-0558 058b-058c 088f-088f 0c5c-0c5c 0cdc-0cdc 208f-208f 209d-209f a7ce-a7cf a7d2-a7d2 a7d4-a7d4 a7dd-a7dd a7e2-a7e2 a7f1-a7f1 ab6c-ab6d"
     " 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a-11b0a 11db0-11ddb 11de0-11de9 11df1-11df1 1246f-1246f 12475-1247f 12550-12686 16ea0-16eb8"
