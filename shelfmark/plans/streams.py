@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.plans.queries import read
 from shelfmark.plans.registry import ORACLES, query
-from shelfmark.sources.store import drain, replay, shared_folder, stream
+from shelfmark.sources.store import drain, file_count, replay, shared_folder, stream
 from shelfmark.streaming import bus, ordered
 
 #: Later than what arrives late; a last row far beyond the others lets all of them be settled.
@@ -32,8 +32,9 @@ def slices(row_id: str, days: int = 12, count: int = 3) -> list[Column]:
 
 def replayed(rows: DataFrame, row_id: str) -> DataFrame:
     """rows as a stream in several micro-batches, and a last row that only carries time."""
-    folder = replay(rows, "ts", slices(row_id), until=FAR)
-    return stream(rows.sparkSession, rows.schema, folder)
+    files = file_count(rows)
+    folder = replay(rows, "ts", slices(row_id), until=FAR, files=files)
+    return stream(rows.sparkSession, rows.schema, folder, files)
 
 
 def drained(out: DataFrame, name: str) -> DataFrame:
@@ -71,7 +72,8 @@ def event_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.create_map(*(F.lit(x) for pair in _BUS.items() for x in pair))[F.col("event_type")]
     rows = events(spark, sf_dir).select("event_id", "ts", kind.alias("type"), F.concat(F.lit("user-"), F.col("user_id")).alias("source_id"), F.col("props").alias("detail"))
     path = shared_folder(spark, "bus")
-    sent = bus.published(spark, replay(rows, "ts", slices("event_id")), DELAY)
+    files = file_count(rows)
+    sent = bus.published(spark, replay(rows, "ts", slices("event_id"), files=files), DELAY, files)
     bus.delivered(sent, path, shared_folder(spark, "bus-checkpoint"))
     found = bus.subscribed(spark, path, ["variant:update", "cart:update"], F.col("source_id").endswith("7"))
     return found.select("event_id", F.unix_micros("ts").alias("at_us"), "type", "source_id", "detail")

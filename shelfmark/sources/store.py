@@ -46,24 +46,34 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def replay(rows: DataFrame, by: str, slices: Sequence[Column], until: str | None = None) -> str:
+def file_count(rows: DataFrame) -> int:
+    """How many files a slice of rows is written as: as many as the tasks that read them, so it grows with the input."""
+    return max(1, rows.rdd.getNumPartitions())
+
+
+def replay(rows: DataFrame, by: str, slices: Sequence[Column], until: str | None = None, files: int = 1) -> str:
     """Writes rows as the files of a stream, a slice after the other, and returns their folder.
 
-    Each slice is a condition; slices are written in turn, so the files' times are in that order. until: the event time of
+    Each slice is a condition; slices are written in turn, so the files' times are in that order. Each is exactly ``files`` files,
+    some of them empty where it has few rows, so a stream that takes as many at once takes a slice whole. until: the event time of
     a last row, all of whose other columns are null; it lets everything before it be settled.
     """
     spark, path = rows.sparkSession, shared_folder(rows.sparkSession, "replay")
-    for condition in slices:
-        rows.filter(condition).coalesce(1).sortWithinPartitions(by).write.mode("append").parquet(path)
+    for number, condition in enumerate(slices, 1):
+        own = rows.filter(condition)
+        dealt = own.repartition(files) if files > 1 else own.coalesce(1)
+        dealt.sortWithinPartitions(by).write.mode("append").parquet(path)
+        for _ in range(files * number - len(spark.read.schema(rows.schema).parquet(path).inputFiles()) if files > 1 else 0):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
     if until:
         last = spark.range(1).select(*(F.lit(until if f.name == by else None).cast(f.dataType).alias(f.name) for f in rows.schema))
         last.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def stream(spark: SparkSession, schema, path: str) -> DataFrame:
-    """The files of a folder as a stream, a file in each micro-batch; the schema is stated, nothing is inferred."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def stream(spark: SparkSession, schema, path: str, files: int = 1) -> DataFrame:
+    """The files of a folder as a stream, so many in each micro-batch; the schema is stated, nothing is inferred."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def drain(out: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

@@ -19,9 +19,9 @@ TYPES = (
 EVENT = "event_id long, ts timestamp, type string, source_id string, detail string"
 
 
-def published(spark: SparkSession, folder: str, delay: str) -> DataFrame:
+def published(spark: SparkSession, folder: str, delay: str, files: int = 1) -> DataFrame:
     """The bus's events as a stream, with a watermark; events of unknown types are left out."""
-    return stream(spark, EVENT, folder).withWatermark("ts", delay).filter(F.col("type").isin(*TYPES))
+    return stream(spark, EVENT, folder, files).withWatermark("ts", delay).filter(F.col("type").isin(*TYPES))
 
 
 def delivered(events: DataFrame, path: str, checkpoint: str) -> None:

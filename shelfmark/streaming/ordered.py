@@ -1,8 +1,8 @@
 """Folds of event streams in the order of event time, with keyed state and timers.
 
-Events of a key wait in a list until the watermark has passed them, so that whatever the micro-batches, each is met once and
-in order; a timer calls for the first that waits. The state of a key is dropped when its time is over. What waits is bounded
-by the watermark's delay, for each key.
+Events of a key wait until the watermark has passed them, so that whatever the micro-batches, each is met once and in order; a
+timer calls for the first that waits. The state of a key is dropped when its time is over. What waits is bounded by the
+watermark's delay, for each key. Keys are dealt into buckets, which wait, are read and are written together.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegralType, StructField, StructType
 
 State = tuple | None
+NULLS = "nulls"
 #: (state, time in microseconds, the event's other values) -> state, rows to emit without their key.
 Step = Callable[[State, int, tuple], tuple[State, list[tuple]]]
 #: What a state says when its time is over.
@@ -24,53 +25,71 @@ Close = Callable[[tuple], list[tuple]]
 
 
 class OrderedFold(StatefulProcessor):
-    def __init__(self, held: str, state: str, columns: Sequence[str], out: Sequence[str], step: Step, ends: Callable[[tuple], int | None], close: Close):
-        self.held_schema, self.state_schema = held, state
-        self.columns, self.out, self.step, self.ends, self.close_state = list(columns), list(out), step, ends, close
+    """Keys share a bucket, whose waiting events and whose states are one value each, columns as arrays: what a micro-batch asks of the
+    state store depends on the buckets, not on the keys."""
+
+    def __init__(self, held: StructType, state: StructType, keys: Sequence[str], columns: Sequence[str], out: Sequence[str], step: Step, ends: Callable[[tuple], int | None], close: Close):
+        self.held_schema, self.state_schema = _arrays(held), _arrays(state)
+        self.keys, self.columns, self.out, self.step, self.ends, self.close_state = len(keys), list(columns), list(out), step, ends, close
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.held_schema)
+        self.waiting = handle.getValueState("waiting", self.held_schema)
         self.state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = [tuple(None if pd.isna(x) else x.item() if hasattr(x, "item") else x for x in row) for batch in rows for row in batch[self.columns].itertuples(index=False)]
-        self.waiting.appendList(new)
-        yield self.settled(key, timerValues.getCurrentWatermarkInMs())
+        new: list[tuple] = []
+        for batch in rows:
+            each = zip(*(batch[c].tolist() for c in self.columns), strict=True)
+            new += [row if not nulls else tuple(None if nulls >> i & 1 else x for i, x in enumerate(row)) for row, nulls in zip(each, batch[NULLS].tolist(), strict=True)]
+        yield self.settled(new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        yield self.settled(key, timerValues.getCurrentWatermarkInMs())
-
-    def settled(self, key: tuple, watermark: int) -> pd.DataFrame:
-        waiting = sorted(self.waiting.get(), key=lambda r: [(x is None, x) for x in r]) if self.waiting.exists() else []
-        state = self.state.get() if self.state.exists() else None
+        yield self.settled([], timerValues.getCurrentWatermarkInMs())
+
+    def settled(self, new: list[tuple], watermark: int) -> pd.DataFrame:
+        now, width = watermark * 1000, len(self.columns) - self.keys
+        waiting = [*(zip(*self.waiting.get(), strict=True) if self.waiting.exists() else ()), *new]
+        try:
+            waiting.sort()
+        except TypeError:  # nulls come last
+            waiting.sort(key=lambda r: [(x is None, x) for x in r])
+        states: dict[tuple, tuple] = {r[: self.keys]: r[self.keys :] for r in zip(*self.state.get(), strict=True)} if self.state.exists() else {}
         out: list[tuple] = []
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
 
-        def closed(state: State, now: int) -> State:
+        def closed(key: tuple, now: int) -> State:
+            state = states.get(key)
             ends = self.ends(state) if state is not None else None
             if ends is None or ends > now:
                 return state
             out.extend((*key, *row) for row in self.close_state(state))
+            del states[key]
             return None
 
         done = 0
-        for at, *values in waiting:
-            if at > watermark * 1000:
+        for row in waiting:
+            if row[0] > now:
                 break
-            state, rows = self.step(closed(state, at), at, tuple(values))
-            out += [(*key, *row) for row in rows]
+            key = row[width:]
+            state, rows = self.step(closed(key, row[0]), row[0], row[1:width])
+            if state is not None:
+                states[key] = state
+            else:
+                states.pop(key, None)
+            out += [(*key, *r) for r in rows]
             done += 1
+        for key in list(states):
+            closed(key, now)
         rest = waiting[done:]
-        state = closed(state, watermark * 1000)
-        ends = self.ends(state) if state is not None else None
-        self.waiting.put(rest) if rest else self.waiting.clear()
-        self.state.update(state) if state is not None else self.state.clear()
-        wake = [at for at in (rest[0][0] if rest else None, ends if state is not None else None) if at is not None]
+        self.waiting.update(tuple(map(list, zip(*rest, strict=True)))) if rest else self.waiting.clear()
+        self.state.update(tuple(map(list, zip(*((*k, *v) for k, v in states.items()), strict=True)))) if states else self.state.clear()
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        wake = [at for at in (rest[0][0] if rest else None, *map(self.ends, states.values())) if at is not None]
         if wake:
             self.handle.registerTimer(max(-(-min(wake) // 1000), watermark + 1))
-        return pd.DataFrame(out, columns=self.out)
+        columns = zip(*out, strict=True) if out else [()] * len(self.out)
+        return pd.DataFrame({c: pd.Series(x, dtype=object) for c, x in zip(self.out, columns, strict=True)})
 
     def close(self) -> None:
         pass
@@ -88,22 +107,33 @@ def ordered_fold(
     ends: Callable[[tuple], int | None] = lambda state: None,
     at: Column | None = None,
     close: Close = lambda state: [],
+    buckets: int = 512,
 ) -> DataFrame:
     """A stream folded for each key in the order of ts (or of ``at``, in microseconds, not before ts) and then of the values.
 
     state, out: schemas of the state and of the emitted columns (the keys come first). ends: when, in microseconds, a state is
     over and forgotten, null for never; close: what it gives then. Events that are later than the delay behind the newest are left out, as watermarks do; rows
-    without any key only carry time.
+    without any key only carry time. buckets: into how many groups the keys are dealt by a hash; the same for each run of a stream.
     """
     marked = events.withWatermark(ts, delay).withColumn("at_us", F.unix_micros(ts) if at is None else F.greatest(F.unix_micros(ts), at))
     kinds = {f.name: f.dataType.simpleString() for f in marked.schema}
-    columns = ["at_us", *values]
-    held = ", ".join(f"{c} {kinds[c]}" for c in columns)
-    schema = StructType.fromDDL(", ".join([*(f"{k} {kinds[k]}" for k in keys), out]))
-    fold = OrderedFold(held, state, columns, schema.names, step, ends, close)
-    # A condition without ts would be moved before the watermark, which then didn't see the rows that only carry time.
-    keyed = marked.filter(F.when(F.col(ts).isNotNull(), _any_key(keys))).select(*keys, ts, *columns)
-    return keyed.groupBy(*keys).transformWithStateInPandas(fold, schema, "append", "eventTime")
+    columns = ["at_us", *values, *keys]
+    ddl = lambda names: ", ".join(f"{c} {kinds[c]}" for c in names)
+    schema, held = StructType.fromDDL(f"{ddl(keys)}, {out}"), StructType.fromDDL(ddl(columns))
+    held = StructType([StructField(f"held{i}", f.dataType) for i, f in enumerate(held)])  # a value can be a key too
+    states = StructType([*(StructField(f"key{i}", marked.schema[k].dataType) for i, k in enumerate(keys)), *StructType.fromDDL(state)])
+    fold = OrderedFold(held, states, keys, held.names, schema.names, step, ends, close)
+    # Names don't begin with an underscore, which PySpark would replace. A condition without ts would be moved before the watermark, which then didn't see the rows that only carry time.
+    keyed = marked.filter(F.when(F.col(ts).isNotNull(), _any_key(keys)))
+    # Whole numbers would come as doubles where some are null: nulls are bits of a number, and what stands in their place is not read.
+    nulls = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0).cast("long") for i, c in enumerate(columns)), F.lit(0).cast("long"))
+    filled = [(F.coalesce(c, F.lit(0).cast(kinds[c])) if isinstance(marked.schema[c].dataType, IntegralType) else F.col(c)).alias(n) for c, n in zip(columns, held.names, strict=True)]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+    return keyed.select(bucket, F.col(ts).alias("held_ts"), nulls.alias(NULLS), *filled).groupBy("bucket").transformWithStateInPandas(fold, schema, "append", "eventTime")
+
+
+def _arrays(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, ArrayType(f.dataType)) for f in schema])
 
 
 def _any_key(keys: Sequence[str]) -> Column:

@@ -134,3 +134,33 @@ def test_settings_are_put_back(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
         raise ValueError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_keys_share_the_state_of_a_bucket(spark, tmp_path):
+    """What the state store holds, and is asked for, is bounded by the buckets, not by the keys."""
+    schema = "key long, ts timestamp, id long, form boolean, n long"
+    rows = [(key, at(i), 1000 * i + key, True, i) for key in range(900) for i in (1, 2)]
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    append(spark, rows, schema, folder)
+    append(spark, [(None, at(10**6), None, None, None)], schema, folder)
+    found = drain(ordered.optimistic_counts(stream(spark, schema, folder), ["key"], "ts", "1 hour", "id", "form", "n"), out, checkpoint)
+    assert sorted((r.key, r.id, r["count"]) for r in found.collect()) == sorted((k, 1000 * i + k, [0, 1, 3][i]) for k in range(900) for i in (1, 2))
+    with settings(spark, spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"):
+        assert 0 < spark.read.format("statestore").option("stateVarName", "state").load(checkpoint).count() <= 512
+
+
+def test_large_ids_beside_nulls_stay_exact(spark, tmp_path):
+    big = 2**60 + 1
+    rows = [("a", at(0), big, False), ("a", at(100), None, False), ("a", at(200), big + 2, None), ("b", at(0), None, True), (None, at(300), 5, False)]
+    folder = replay(spark.createDataFrame(rows, CALLS), "ts", [F.lit(True)], FAR)
+    found = drain(ordered.throttled(stream(spark, CALLS, folder), ["key"], "ts", "1 minute", 10_000, "n", "cancels"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert sorted((r.key, -1 if r.value is None else r.value) for r in found.collect()) == [("a", -1), ("a", big), ("a", big + 2)]
+
+
+def test_a_slice_of_several_files_is_one_micro_batch(spark, tmp_path):
+    rows = spark.createDataFrame([("a", at(n), n, False) for n in range(40)], CALLS)
+    folder = replay(rows, "ts", [F.col("n") < 2, F.col("n") < 0, F.col("n") >= 2], FAR, files=4)
+    assert len(spark.read.schema(CALLS).parquet(folder).inputFiles()) == 13
+    sizes = []
+    stream(spark, CALLS, folder, 4).writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sizes == [2, 0, 38, 1]
