@@ -94,9 +94,10 @@ def return_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_partkey", instant("l_shipdate").alias("ts"))
     rows = lines.withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
     early = F.year("ts") < 1995
-    folder = replay(rows, "ts", [early, early & (F.col("l_orderkey") % 3 == 0), ~early, ~early & (F.col("l_orderkey") % 3 == 0)])
+    files = file_count(rows)
+    folder = replay(rows, "ts", [early, early & (F.col("l_orderkey") % 3 == 0), ~early, ~early & (F.col("l_orderkey") % 3 == 0)], files=files)
     waiting = read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select((F.col("o_orderkey") % 200 + 1).alias("l_partkey"), "o_custkey")
-    out = ordered.notices_once(stream(spark, rows.schema, folder), "ts", "5000 days", "line", waiting, "l_partkey", "o_custkey")
+    out = ordered.notices_once(stream(spark, rows.schema, folder, files), "ts", "5000 days", "line", waiting, "l_partkey", "o_custkey")
     return drained(out.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey"), "return-notices")
 
 
