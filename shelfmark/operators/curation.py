@@ -98,8 +98,9 @@ def capped(rows: DataFrame, group: str, order: Sequence[str], cap: Column) -> Da
 
 
 def condition_prices(copies: DataFrame, prices: DataFrame, condition: str) -> DataFrame:
-    """Copies that aren't sold, at the price of their condition."""
-    return copies.filter(F.col("status") != "Sold").join(prices, condition)
+    """Copies that aren't sold, at the price of their condition. Conditions are few, so prices go to every task: by a shuffle, each
+    condition's copies would be one task's work."""
+    return copies.filter(F.col("status") != "Sold").join(F.broadcast(prices), condition)
 
 
 def surplus_pool(copies: DataFrame, product: str, keep: int, order: str) -> DataFrame:
