@@ -15,6 +15,7 @@ from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import cart, catalog, curation, lookups
 from shelfmark.plans.registry import ORACLES, QUERIES, query  # noqa: F401  the driver takes both from here
 from shelfmark.plans.request import CatalogRequest, Facets, clamp_bounds, range_text
+from shelfmark.sources.store import stored_in
 from shelfmark.sources.tables import alive, from_json, minor_units, read, to_json_rows, upsert, upsert_map
 from shelfmark.streaming import folds
 
@@ -26,6 +27,8 @@ LISTS = "p_brand IN ('Brand#1', 'Brand#12', 'Brand#23') AND p_type IN ('ECONOMY'
 BREAKS = ((10, 95), (25, 90), (40, 80))
 #: A day within the events' span; nothing here reads a clock.
 TODAY = "2024-01-15"
+#: Rows of the input for each task of a shuffle whose tasks hold much.
+ROWS_A_TASK = 500_000
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -496,7 +499,8 @@ def rec_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH o AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem), c AS (SELECT a.l_partkey, b.l_partkey AS other, count(*) AS n FROM o a JOIN o b ON a.l_orderkey = b.l_orderkey AND a.l_partkey <> b.l_partkey GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, other) AS place FROM c) SELECT l_partkey, other, n, place::INT AS place FROM r WHERE place <= 4""")
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.bought_together(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", 4)
+    lines = read(spark, sf_dir, "lineitem")
+    return stored_in(curation.bought_together(lines, "l_orderkey", "l_partkey", 4), "recommendations", 1 + lines.count() // ROWS_A_TASK)
 
 
 @query(f"WITH {PRODUCT} SELECT p_partkey, CASE WHEN p_size % 3 = 0 AND p_size % 2 <> 0 THEN round(price * 9 / 10.0)::BIGINT ELSE price END AS price FROM product")

@@ -46,6 +46,13 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def stored_in(rows: DataFrame, name: str, tasks: int) -> DataFrame:
+    """rows as a table in the shared folder, with so many tasks in each of its shuffles; with tasks in proportion to the input, what one
+    holds in memory doesn't grow with it. Adaptive execution would join them again until there are as few as cores."""
+    with settings(rows.sparkSession, spark__sql__shuffle__partitions=str(tasks), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        return stored(rows, name)
+
+
 def file_count(rows: DataFrame) -> int:
     """How many files a slice of rows is written as: as many as the tasks that read them, so it grows with the input."""
     return max(1, rows.rdd.getNumPartitions())

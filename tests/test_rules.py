@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import arrays, money, rules, template, text
 from shelfmark.operators import catalog, curation, lookups
 from shelfmark.plans.request import CatalogRequest, range_summary
+from shelfmark.sources.store import stored_in
 from shelfmark.sources.tables import alive, from_json, upsert, upsert_map
 
 
@@ -190,3 +191,18 @@ def test_template_functions(spark):
     assert one(spark, template.format_date(F.lit(dt.date(2024, 3, 5)), "on %B %e, %Y")) == "on March 5, 2024"
     assert one(spark, template.translate({"a.one": "{{ count }} x", "a.other": "{{ count }} xs"}, F.lit("a"), F.lit(3))) == "3 xs"
     assert one(spark, template.translate({"a": "b"}, F.lit("missing"))) == "missing"
+
+
+def test_prices_of_conditions_shuffle_no_copies(spark):
+    copies = spark.createDataFrame([(1, "A", "Available"), (2, "N", "Sold"), (3, "N", "Available"), (4, "X", "Available")], "id long, condition string, status string")
+    prices = spark.createDataFrame([("A", 100), ("N", 60)], "condition string, percent int")
+    found = curation.condition_prices(copies, prices, "condition")
+    assert sorted((r.id, r.percent) for r in found.collect()) == [(1, 100), (3, 60)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(condition" not in plan
+
+
+def test_tasks_of_a_shuffle_are_as_asked(spark):
+    shuffled = spark.range(100).groupBy((F.col("id") * 7).alias("n")).count().withColumn("task", F.spark_partition_id())
+    assert stored_in(shuffled, "tasks", 37).select("task").distinct().count() > 30
+    assert stored_in(shuffled, "tasks", 1).select("task").distinct().count() == 1
