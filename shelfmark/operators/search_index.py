@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import query_terms
+from shelfmark.sources.store import settings
 
 #: Letters and digits that have a partition of their own; all else shares the last.
 HEADS, REST = "abcdefghijklmnopqrstuvwxyz0123456789", "other"
@@ -33,10 +34,18 @@ def words_of(text: Column) -> Column:
 
 
 def build(rows: DataFrame, key: str, text: str, path: str) -> None:
-    """Writes a row for each word of each text, by its head, in the order of words. A frequent word lies in several files."""
-    posted = rows.select(F.explode(words_of(F.col(text))).alias("term"), F.col(key).cast("long").alias("id")).distinct()
-    spread = posted.withColumn("head", _head(F.col("term"))).repartitionByRange("head", "term", "id").sortWithinPartitions("head", "term", "id")
-    spread.write.partitionBy("head").parquet(path)
+    """Writes a row for each word of each text, by its head, in the order of words. A frequent word lies in several files.
+
+    Words go through one shuffle, by ranges; only where a key comes again, rows are made distinct before. Words in order are in the
+    order of heads too, so a task writes its few heads side by side, without sorting by them.
+    """
+    spark = rows.sparkSession
+    posted = rows.select(F.explode(words_of(F.col(text))).alias("term"), F.col(key).cast("long").alias("id"))
+    if not rows.groupBy(F.col(key).cast("long")).count().filter("count > 1").isEmpty():
+        posted = posted.distinct()
+    spread = posted.repartitionByRange("term", "id").sortWithinPartitions("term", "id").withColumn("head", _head(F.col("term")))
+    with settings(spark, spark__sql__maxConcurrentOutputFileWriters=str(len(HEADS) + 1)):
+        spread.write.partitionBy("head").parquet(path)
 
 
 def search(spark: SparkSession, path: str, query: str) -> DataFrame:

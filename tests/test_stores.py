@@ -190,3 +190,15 @@ def test_text_of_ranges(spark):
 def test_marks_of_any_letter_go(spark):
     row = spark.createDataFrame([("ÀÉ ǅ ở ΐ й ḝ ñ ñ ø",)], "t string").select(text.normalized(F.col("t"))).first()[0]
     assert row == "ae ǆ o ι и e n n ø"
+
+
+def test_words_go_through_one_shuffle_unless_keys_come_again(spark, tmp_path, monkeypatch):
+    made, own = [], type(spark.range(0)).distinct
+    monkeypatch.setattr(type(spark.range(0)), "distinct", lambda rows: made.append(rows) or own(rows))
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    search_index.build(films(spark), "id", "title", once)
+    assert made == []
+    search_index.build(films(spark).unionByName(films(spark)), "id", "title", twice)
+    assert len(made) == 1
+    rows = lambda path: sorted(map(tuple, spark.read.schema(search_index.POSTINGS).parquet(path).collect()))
+    assert rows(once) == rows(twice)
