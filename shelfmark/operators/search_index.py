@@ -60,22 +60,25 @@ def search(spark: SparkSession, path: str, query: str) -> DataFrame:
     return reduce(lambda found, more: found.join(more, "id", "left_semi"), whole, begun)
 
 
-def build_beginnings(resources: dict[str, tuple[DataFrame, str, str]], path: str, longest: int, most: int) -> None:
+def build_beginnings(resources: dict[str, tuple[DataFrame, str, str]], path: str, longest: int, most: int, rows_a_task: int = 50_000) -> None:
     """Writes, for each beginning of a word up to ``longest`` characters and each resource, the first ``most`` rows by title and id.
 
     Rows get a number in that order first (Spark sorts by range, so numbers ascend), with which beginnings are ranked: titles
-    go through no shuffle but the sort, and of each beginning every task sends on ``most`` rows at most.
+    go through no shuffle but the sort, and of each beginning every task sends on ``most`` rows at most. Shuffles have a task for each
+    ``rows_a_task`` rows of all resources, as a title can be a long text, and titles are read by 8 MB: a task sorts their beginnings.
     """
     spark = next(iter(resources.values()))[0].sparkSession
     parts = [rows.select(F.lit(kind).alias("object_type"), F.col(key).cast("long").alias("id"), F.col(title).alias("title")) for kind, (rows, key, title) in resources.items()]
     ordered = reduce(DataFrame.unionByName, parts).orderBy("title", "id").withColumn("place", F.monotonically_increasing_id())
-    ordered.write.parquet(f"{path}/titles")
-    titles = spark.read.schema(ordered.schema).parquet(f"{path}/titles")
-    begun = F.array_distinct(F.flatten(F.transform(words_of(F.col("title")), lambda w: F.transform(F.sequence(F.lit(1), F.least(F.length(w), F.lit(longest))), lambda n: F.substr(w, F.lit(1), n)))))
-    each = titles.select("object_type", "place", F.explode(begun).alias("begun"))
-    best = each.withColumn("rank", F.row_number().over(Window.partitionBy("object_type", "begun").orderBy("place"))).filter(F.col("rank") <= most)
-    named = best.join(titles.select("place", "id", "title"), "place").drop("place").withColumn("head", _head(F.col("begun")))
-    named.repartitionByRange("head", "begun").sortWithinPartitions("head", "begun").write.partitionBy("head").parquet(f"{path}/beginnings")
+    tasks = str(1 + sum(part.count() for part in parts) // rows_a_task)
+    with settings(spark, spark__sql__shuffle__partitions=tasks, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__files__maxPartitionBytes="8m"):
+        ordered.write.parquet(f"{path}/titles")
+        titles = spark.read.schema(ordered.schema).parquet(f"{path}/titles")
+        begun = F.array_distinct(F.flatten(F.transform(words_of(F.col("title")), lambda w: F.transform(F.sequence(F.lit(1), F.least(F.length(w), F.lit(longest))), lambda n: F.substr(w, F.lit(1), n)))))
+        each = titles.select("object_type", "place", F.explode(begun).alias("begun"))
+        best = each.withColumn("rank", F.row_number().over(Window.partitionBy("object_type", "begun").orderBy("place"))).filter(F.col("rank") <= most)
+        named = best.join(titles.select("place", "id", "title"), "place").drop("place").withColumn("head", _head(F.col("begun")))
+        named.repartitionByRange("head", "begun").sortWithinPartitions("head", "begun").write.partitionBy("head").parquet(f"{path}/beginnings")
 
 
 def suggested(spark: SparkSession, path: str, query: str, kinds: Sequence[str], each: int, longest: int) -> DataFrame | None:

@@ -202,3 +202,10 @@ def test_words_go_through_one_shuffle_unless_keys_come_again(spark, tmp_path, mo
     assert len(made) == 1
     rows = lambda path: sorted(map(tuple, spark.read.schema(search_index.POSTINGS).parquet(path).collect()))
     assert rows(once) == rows(twice)
+
+
+def test_sorted_titles_are_dealt_by_rows(spark, tmp_path):
+    path = str(tmp_path)
+    search_index.build_beginnings({"film": (films(spark), "id", "title")}, path, longest=2, most=4, rows_a_task=2)
+    tasks = spark.read.parquet(f"{path}/titles").select((F.col("place") / 2**33).cast("int").alias("task")).distinct().count()
+    assert tasks > spark.sparkContext.defaultParallelism
