@@ -339,8 +339,8 @@ def name_of() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("node").alias("node"))
 
 
-def link_texts(docs: DataFrame, texts: DataFrame, k: int, percent: int, n_fragments: int, hot: np.ndarray) -> DataFrame:
-    """node, name, n_links of every distinct text that links to another."""
+def link_texts(docs: DataFrame, texts: DataFrame, k: int, percent: int, n_fragments: int, hot: np.ndarray, counts: bool = True) -> DataFrame:
+    """node, name and, with counts, n_links of every distinct text that links to another."""
     least = least_shared(percent)
     shared = shared_grams(fragments(docs.select(node_of().alias("node"), "text"), k, n_fragments, hot), n_fragments)
     sharing, at = written_at(sharing_texts(shared.unionByName(sizes_of(texts, n_fragments)), percent, n_fragments), "sharing-texts")
@@ -370,7 +370,7 @@ def link_texts(docs: DataFrame, texts: DataFrame, k: int, percent: int, n_fragme
     more = written(verify(written(open_pairs.select("a", "b", "a_n", "b_n").distinct(), "open-pairs"), segments, percent), "more-links")
     if more.limit(1).count():
         comps = components(links.unionByName(more), texts)
-    found = written(comps.join(count_links(sharing, comps, percent), "node"), "components")
+    found = written(comps.join(count_links(sharing, comps, percent), "node"), "components") if counts else comps
     for path in (at, star_at, near_at):
         deleted(path)
     return found
@@ -425,17 +425,17 @@ def _overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
     return out
 
 
-def members(docs: DataFrame, k: int, percent: int, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, n) for each row; (node, doc_id, n, name, n_links) for each distinct text: its smallest id, the size of
-    its set, its component's name, and how many other texts it links to."""
+def members(docs: DataFrame, k: int, percent: int, hot: int, counts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node, n) for each row; (node, doc_id, n, name and, with counts, n_links) for each distinct text: its smallest id, the
+    size of its set, its component's name, and how many other texts it links to."""
     grams = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // 5
     cells = min(CELLS, max(1 << 12, 1 << (grams // PER_CELL).bit_length()))
     measures = written(measured(docs, k, cells), "measured")
     rows = measures.filter("block is null").select("doc_id", "node", "n")
     texts = written(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "texts")
-    found = link_texts(docs, texts, k, percent, max(FRAGMENTS, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot))
-    whole = texts.join(found, "node", "left").withColumn("name", F.coalesce("name", name_of())).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
-    return rows, whole
+    found = link_texts(docs, texts, k, percent, max(FRAGMENTS, math.ceil(grams / FRAGMENT)), hot_cells(measures, cells, hot), counts)
+    whole = texts.join(found, "node", "left").withColumn("name", F.coalesce("name", name_of()))
+    return rows, whole.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))) if counts else whole
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, hot: int = HOT) -> DataFrame:
@@ -455,7 +455,7 @@ def drop_near_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     other; they stay, one for each id and text."""
     key = ["_none", "_id", "_node"]  # no id comes last
     keyed = lambda node: (F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), node.alias("_node"))
-    rows, texts = members(docs, k, percent, HOT)
+    rows, texts = members(docs, k, percent, HOT, counts=False)  # who stays depends on components alone
     named = texts.filter("n > 0 and name.node = node").select(*keyed(F.col("node")))
     first = named.unionByName(rows.filter("n = 0").select(*keyed(F.col("node"))).distinct())
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *keyed(node_of()))  # apart from our columns

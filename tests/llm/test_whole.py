@@ -128,3 +128,12 @@ def test_survivor_does_not_follow_the_order_of_rows(spark):
         frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, x int").withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
         kept.append(sorted(map(repr, jaccard.drop_near_copies(frame.repartition(1 + 2 * seed)).collect())))
     assert len(kept[0]) == 2 and kept[0] == kept[1] == kept[2]
+
+
+def test_dropping_near_copies_counts_no_links(spark, monkeypatch):
+    """The quadratic count of a component's links is for those who ask for it."""
+    monkeypatch.setattr(jaccard, "count_links", None)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text, "en", "a", 0), (1, text + " more", "en", "a", 0), (2, "another text of some words that stands alone", "en", "a", 0)]
+    kept = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
