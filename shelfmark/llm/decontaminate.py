@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm._session import table
-from shelfmark.llm._text import ALNUM, pieces, shingle_hashes, spans, word_hashes
+from shelfmark.llm._text import ALNUM, few_rows, pieces, shingle_hashes, spans, word_hashes
 
 K, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 23, 4
@@ -220,7 +220,7 @@ def find_matches(docs: DataFrame, items: DataFrame, part_bytes: int = PART_BYTES
     for index in _parts(items, part_bytes):
 
         def rows(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in few_rows(batches):
                 best: dict[tuple[int, int | None], tuple] = {}
                 for i, found in _scan(batch.column(1).to_pylist(), index):
                     for item_id, x in found.items():
@@ -241,7 +241,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, part_bytes: int = PART_
     for index in _parts(items, part_bytes):
 
         def rows(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in few_rows(batches):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[i for i, _ in _scan(batch.column(at).to_pylist(), index)]] = False
                 yield batch.filter(pa.array(keep))

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import _sums
 from shelfmark.llm._session import deleted, table, written, written_at
-from shelfmark.llm._text import NOT_WHITE, mix, shingle_sets
+from shelfmark.llm._text import NOT_WHITE, few_rows, mix, shingle_sets
 
 #: Fragments hold about so many n-grams.
 FRAGMENT = 3_000_000
@@ -127,7 +127,7 @@ def measured(docs: DataFrame, k: int, cells: int) -> DataFrame:
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
         total, seen = np.zeros(cells), 0
-        for batch in batches:
+        for batch in few_rows(batches):
             n = []
             for s in shingle_sets(batch.column(2).to_pylist(), k, NOT_WHITE):
                 n.append(len(s))
@@ -163,14 +163,14 @@ def fragments(texts: DataFrame, k: int, n_fragments: int, hot: np.ndarray) -> Da
         seen: set[int] = set()
         for batch in batches:
             fresh = [i for i, node in enumerate(batch.column(0).to_pylist()) if not (node in seen or seen.add(node))]
-            batch = batch.take(pa.array(fresh, pa.int64()))
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, len(fresh), 2000):
+                part = batch.take(pa.array(fresh[at : at + 2000], pa.int64()))
                 nodes = part.column(0).to_numpy()
                 sets = list(shingle_sets(part.column(1).to_pylist(), k, NOT_WHITE))
                 sizes = np.array([len(s) for s in sets], np.int32)
                 flat = np.concatenate(sets)
-                owner = np.repeat(np.arange(len(sets)), sizes)
+                del sets
+                owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
                 frag = ((flat >> np.uint64(32)) * np.uint64(n_fragments) >> np.uint64(32)).astype(np.int32)
                 df = hot[cells_of(flat, len(hot))]
                 place = np.where(df > 0, n_fragments + _scattered(nodes, n_fragments)[owner], frag)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm._fit import held_out, labelled_sample, logistic, sigmoid
 from shelfmark.llm._session import table
-from shelfmark.llm._text import NOT_WHITE, mix, pieces, shingle_hashes, spans, word_hashes
+from shelfmark.llm._text import NOT_WHITE, few_rows, mix, pieces, shingle_hashes, spans, word_hashes
 
 #: At most so many labelled rows are fitted on, with so many pairs each.
 SAMPLE, PAIRS = 20_000, 8
@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """Fits on rows of the training folds; collects at most ``sample`` rows of features."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             x = features(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
 
@@ -147,7 +147,7 @@ def score_quality(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted of each document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             s = score(features(batch.column(2).to_pylist()), model)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= CUT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -160,7 +160,7 @@ def keep_good(docs: DataFrame, model: dict) -> DataFrame:
     names = docs.columns
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             good = score(features(batch.column(names.index("text")).to_pylist()), model) >= CUT
             yield batch.filter(pa.array(good))
 

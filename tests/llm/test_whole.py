@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontaminate, jaccard, licenses, mixing, secrets
+from shelfmark.llm import _session, _text, decontaminate, jaccard, licenses, mixing, quality, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -137,3 +139,43 @@ def test_dropping_near_copies_counts_no_links(spark, monkeypatch):
     rows = [(3, text, "en", "a", 0), (1, text + " more", "en", "a", 0), (2, "another text of some words that stands alone", "en", "a", 0)]
     kept = jaccard.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_hashing_many_texts_holds_little(spark):
+    """Memory beyond the texts themselves, of which there are 6 MB; workers keep what they once took."""
+    texts = [" ".join(f"w{(i * j) % 977}" for j in range(500)) for i in range(2500)]
+    for use in (lambda: quality.features(texts), lambda: sum(len(s) for s in _text.shingle_sets(texts, 5, _text.NOT_WHITE))):
+        _text._powers.clear()
+        tracemalloc.start()
+        use()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 << 20, peak
+
+
+def test_batches_are_met_in_few_rows(spark):
+    """Texts become strings of Python some rows at a time; every row is met once and in order."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2500)), "text": [f"text {i}" for i in range(2500)]})
+    parts = list(_text.few_rows([batch, batch.slice(0, 0), batch.slice(7, 3)]))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500, 3]
+    assert [i for p in parts for i in p.column(0).to_pylist()] == [*range(2500), 7, 8, 9]
+
+
+def test_stages_of_batches_of_many_rows(spark):
+    """Rows at both ends of what is met at once: the same as one by one."""
+    item = " ".join(f"b{i}" for i in range(30))
+    rows = [(i, f"before {item} after" if i in (0, 999, 1000, 1001, 2599) else f"own words {i} of text {i * 7} in row {i * 13}") for i in range(2600)]
+    table, bench = spark.createDataFrame(rows, DOCS).coalesce(1), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.find_matches(table, bench).collect()) == [0, 999, 1000, 1001, 2599]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(table, bench).collect()) == sorted({i for i, _ in rows} - {0, 999, 1000, 1001, 2599})
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.jaccard_components(table).collect()}
+    assert len(found) == 2600 and {i for i, x in found.items() if x[1] != i} == {999, 1000, 1001, 2599} and found[0][2] == 0
+
+
+def test_redaction_writes_texts_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "written", lambda df, name: seen.append(df.columns) or _session.written(df, name))
+    docs = spark.createDataFrame([(1, "token = abcdefghijklmnop0123 here", 32), (2, None, 0)], DOCS + ", n_chars long")
+    left = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact_secrets(docs).collect()}
+    assert left == {1: ("[SECRET] here", 13), 2: (None, 0)}  # n_chars counts what stands after the last secret, too
+    assert seen == [["_row", "_base", "_runs"]]
