@@ -33,7 +33,7 @@ repeated rows, and count as often in training; without training texts all counts
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import _sums
 from shelfmark.llm._fit import held_out
 from shelfmark.llm._session import deleted, table, written, written_at
-from shelfmark.llm._text import NOT_WHITE, mix, pieces, spans, word_hashes
+from shelfmark.llm._text import NOT_WHITE, few_rows, mix, pieces, spans, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 SMOOTH = 0.1
@@ -56,31 +56,62 @@ KINDS = 3
 INNER_ROUNDS = 20
 #: Training tokens for each weight that a task counts observations for.
 TOKENS = 4
-#: Tokens that are looked at together, distinct histories held in a task, and those whose scores are in memory at once.
-BATCH, HELD, SCORES = 1 << 18, 1 << 19, 1 << 13
+#: Tokens that are looked at together, distinct words or histories held in a task (twice as many while they are added up), and
+#: histories whose scores are in memory at once. A worker is kept for other tasks and holds on to the most that it took.
+BATCH, HELD, SCORES = 1 << 18, 1 << 18, 1 << 13
 #: The end token's hash; words' hashes are of their bytes.
 END = np.uint64(0x51AB5EED0E4D0001)
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, hashes with an end after each text, where each text's tokens end)."""
-    for first, buf, begins in pieces(batch.column(column).to_pylist()):
+    for first, buf, begins in pieces(x.as_py() for x in batch.column(column)):
         starts, ends = spans(buf, NOT_WHITE)
         edge = np.searchsorted(starts, [*begins[1:], len(buf) + 1])
         hashes = np.insert(word_hashes(buf, starts, ends), edge, END)
         yield first, hashes, edge + np.arange(1, len(edge) + 1)
 
 
+def added_up(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sums of their counts."""
+    keys, times = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[cut], np.add.reduceat(times[order], cut)
+
+
+def tallied(found: Iterable[tuple[np.ndarray, np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Keys with their counts, of which the same key's are added up as far as ``HELD`` distinct ones go."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def batches() -> Iterator[pa.RecordBatch]:
+        keys, times = held[0]
+        for a in range(0, len(keys), BATCH):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + BATCH].view(np.int64)), pa.array(times[a : a + BATCH])], names=names)
+
+    for some in found:
+        held.append(some)
+        n += len(some[0])
+        if n >= 2 * HELD:
+            held[:] = [added_up(held)]
+            n = len(held[0][0])
+            if n >= HELD:
+                yield from batches()
+                held.clear()
+                n = 0
+    if held:
+        held[:] = [added_up(held)]
+        yield from batches()
+
+
 def vocabulary(train: DataFrame) -> DataFrame:
     """word (its hash), c: each token of the training texts; counts are summed within a task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(hashes, return_counts=True) for _, hashes, _ in _texts(batch, 0)]
-            if found:
-                words, at = np.unique(np.concatenate([w for w, _ in found]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([c for _, c in found]), minlength=len(words))
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "c"])
+        found = (np.unique(hashes, return_counts=True) for batch in batches for _, hashes, _ in _texts(batch, 0))
+        yield from tallied(found, ["word", "c"])
 
     return train.mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -102,6 +133,11 @@ def rows_for(tokens: int) -> int:
     return max(LEAST_ROWS, 1 << round(math.log2(GROWTH * max(1, tokens) ** (1 / 3))))
 
 
+def row_type(size: int) -> type[np.unsignedinteger]:
+    """What holds a row in the encoded texts."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
 class Lexicon:
     """The head of the vocabulary: counts, classes and feature rows of its words, by hash."""
 
@@ -146,7 +182,7 @@ def encode(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """For each row its tokens as classes and feature rows, the head's sums, and its other words with counts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             n = batch.num_rows
             tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
             base, inner = np.zeros(n), np.zeros(n)
@@ -154,7 +190,7 @@ def encode(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             for first, hashes, edge in _texts(batch, 2):
                 at, head = lexicon.find(hashes)
                 kind = np.where(head, lexicon.classes[at] if len(lexicon.classes) else 0, CLASSES - 1).astype(np.uint8)
-                row = np.where(head, lexicon.rows[at] if len(lexicon.rows) else 0, lexicon.hashed_rows(hashes)).astype(np.uint32)
+                row = np.where(head, lexicon.rows[at] if len(lexicon.rows) else 0, lexicon.hashed_rows(hashes)).astype(row_type(lexicon.size))
                 log_base = np.where(head, lexicon.log_base[at], 0) if len(lexicon.words) else np.zeros(len(at))
                 log_inner = np.where(head, lexicon.log_in_class[at], 0) if len(lexicon.words) else np.zeros(len(at))
                 for d, (a, b) in enumerate(zip([0, *edge[:-1]], edge, strict=True)):
@@ -202,11 +238,11 @@ def _gathered(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np
     """(text of each token, its class, its column, its history) for some texts at a time, a long one in parts."""
     held: list[tuple] = []
     tokens = 0
-    for i, (c, f) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-        kinds, rows = np.frombuffer(c, np.uint8), np.frombuffer(f, np.uint32)
+    for i, (c, f) in enumerate(zip(batch.column(0), batch.column(1), strict=True)):
+        kinds, rows = np.frombuffer(c.as_buffer(), np.uint8), np.frombuffer(f.as_buffer(), row_type(size))
         before, column = histories(rows, size), columns(rows)
         for a in range(0, len(kinds), BATCH):
-            held.append((np.full(len(kinds[a : a + BATCH]), i), *(x[a : a + BATCH] for x in (kinds, column, before))))
+            held.append((np.full(len(kinds[a : a + BATCH]), i, np.int32), *(x[a : a + BATCH] for x in (kinds, column, before))))
             tokens += len(held[-1][0])
             if tokens >= BATCH:
                 yield tuple(map(np.concatenate, zip(*held, strict=True)))
@@ -261,32 +297,12 @@ def history_counts(encoded: DataFrame, size: int) -> DataFrame:
     """history, n: how often each history occurs; counted within a task first, as far as it holds them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, times = np.empty(0, np.int64), np.empty(0, np.int64)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            found, at = np.unique(np.concatenate([keys, *(k for k, _ in held)]), return_inverse=True)
-            return found, np.bincount(at, weights=np.concatenate([times, *(n for _, n in held)]), minlength=len(found)).astype(np.int64)
-
-        for batch in batches:
-            for *_, before in _gathered(batch, size):
-                held.append(np.unique(before, return_counts=True))
-                if sum(len(k) for k, _ in held) >= HELD:
-                    keys, times = merged()
-                    held = []
-                    if len(keys) >= HELD:
-                        yield from _counted(keys, times)
-                        keys, times = keys[:0], times[:0]
-        yield from _counted(*merged())
+        found = (np.unique(before, return_counts=True) for batch in batches for *_, before in _gathered(batch, size))
+        yield from tallied(found, ["history", "n"])
 
     return encoded.select("classes", "features").mapInArrow(count, "history long, n long").groupBy("history").agg(F.sum("n").alias("n"))
 
 
-def _counted(keys: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(keys), BATCH):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + BATCH]), pa.array(times[a : a + BATCH])], names=["history", "n"])
-
-
 def expected_counts(counted: DataFrame, weights: np.ndarray, bias: np.ndarray, size: int) -> np.ndarray:
     """How often the model expects each class after each feature."""
 

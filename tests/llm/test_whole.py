@@ -6,10 +6,12 @@ import random
 import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.llm import _session, _text, decontaminate, jaccard, licenses, mixing, quality, secrets
+from shelfmark.llm import _session, _text, decontaminate, jaccard, langmodel, licenses, mixing, quality, secrets
 
 DOCS = "doc_id long, text string"
 
@@ -179,3 +181,59 @@ def test_redaction_writes_texts_once(spark, monkeypatch):
     left = {r.doc_id: (r.text, r.n_chars) for r in secrets.redact_secrets(docs).collect()}
     assert left == {1: ("[SECRET] here", 13), 2: (None, 0)}  # n_chars counts what stands after the last secret, too
     assert seen == [["_row", "_base", "_runs"]]
+
+
+class Taken:
+    """Stands for a DataFrame and keeps what tasks would run."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def __getattr__(self, name):
+        return lambda *_: self
+
+
+def test_language_model_holds_little(spark):
+    """What a task holds beyond its batch (of 25 MB of texts, here) and what it gives back at once; workers keep what they once took."""
+    word = lambda i, j: f"w{(i * j) % 9973}" if j % 3 else f"own{i * 300 + j}"
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(8000)), "held_out": [False] * 8000, "text": [" ".join(word(i, j) for j in range(400)) for i in range(8000)]})
+    lexicon = langmodel.Lexicon(np.arange(1000, dtype=np.uint64), np.full(1000, 5), 4_000_000, 1_100_000)
+    counted, encoded, seen = Taken(), Taken(), Taken()
+    langmodel.vocabulary(counted)
+    langmodel.encode(encoded, lexicon)
+    langmodel.history_counts(seen, lexicon.size)
+    given = pa.Table.from_batches(list(encoded.run([batch]))).select(["classes", "features"]).combine_chunks().to_batches()
+    for tasks, batches in ((counted, [batch.select(["text"])]), (encoded, [batch]), (seen, given)):
+        _text._powers.clear()
+        tracemalloc.start()
+        largest = max(x.nbytes for x in tasks.run(batches))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert largest < 8 << 20 and peak < 48 << 20, (largest, peak)
+
+
+@pytest.mark.parametrize("held", [1, 8, 1 << 18])
+def test_language_model_counts_whole(monkeypatch, held):
+    """However few keys a task holds, no count is lost."""
+    monkeypatch.setattr(langmodel, "HELD", held)
+    rng = random.Random(3)
+    keys = [[rng.randrange(40) - 20 for _ in range(rng.randrange(1, 30))] for _ in range(50)]
+    found, most = Counter(), 0
+    for x in langmodel.tallied((np.unique(np.array(k), return_counts=True) for k in keys), ["word", "c"]):
+        most = max(most, x.num_rows)
+        found.update(dict(zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)))
+    assert found == Counter(k for some in keys for k in some) and most <= min(40, 2 * held + 30)
+    assert not list(langmodel.tallied(iter(()), ["word", "c"]))
+
+
+@pytest.mark.parametrize("size", [1 << 16, 1 << 17])
+def test_language_model_rows_are_held_whole(size):
+    """The last row, which stands before a text's first word, and those around 65,536 come back from the encoded texts."""
+    rows = np.array([0, size - 1, 65_535, min(65_536, size - 1)])
+    batch = pa.RecordBatch.from_pydict({"classes": [b"\x00\x01", b"", b"\x02" * 4], "features": [rows[:2].astype(langmodel.row_type(size)).tobytes(), b"", rows.astype(langmodel.row_type(size)).tobytes()]})
+    found = list(langmodel._gathered(batch.slice(1), size))
+    assert len(found) == 1
+    text, kinds, column, before = found[0]
+    assert text.tolist() == [1] * 4 and kinds.tolist() == [2] * 4 and column.tolist() == langmodel.columns(rows).tolist()
+    assert before.tolist() == [one * size + two for one, two in zip([size - 1, *rows[:3]], [size - 1, size - 1, *rows[:2]], strict=True)]
